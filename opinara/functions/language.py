@@ -16,9 +16,12 @@ def _hits(text: Column, words: list[str]) -> Column:
     return reduce(lambda a, b: a + b, [F.contains(text, F.lit(w)).cast("int") for w in words])
 
 
-def language_by_indicators(c: Column | str) -> Column:
-    """``fr`` when French words lead, ``en`` when any English one occurs, else unknown."""
-    text = F.lower(F.trim(_col(c)))
+def language_by_indicators(c: Column | str, lowered: Column | None = None) -> Column:
+    """``fr`` when French words lead, ``en`` when any English one occurs, else unknown.
+
+    ``lowered`` is the lower-cased text where the caller already has it as a column.
+    """
+    text = F.lower(F.trim(_col(c))) if lowered is None else lowered
     fr, en = _hits(text, FRENCH_INDICATORS), _hits(text, ENGLISH_INDICATORS)
     return F.when(fr > en, "fr").when(en > 0, "en").otherwise("unknown")
 
@@ -28,6 +31,7 @@ def detect_language(
     model_lang: Column | None = None,
     model_prob: Column | None = None,
     threshold: float = 0.7,
+    lowered: Column | None = None,
 ) -> Column:
     """Language of a text: unknown, ar, fr, en or other.
 
@@ -45,4 +49,4 @@ def detect_language(
             model_prob > threshold,
             F.when(model_lang.isin("fr", "en"), model_lang).otherwise("other"),
         )
-    return out.otherwise(language_by_indicators(c))
+    return out.otherwise(language_by_indicators(c, lowered))

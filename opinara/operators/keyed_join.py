@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.001
+BROADCAST_ROWS = 100_000
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -64,12 +65,16 @@ def join_unique(
 
 
 def join_small(
-    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", max_rows: int = 100_000
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
+    max_rows: int = BROADCAST_ROWS, rows: int | None = None,
 ) -> DataFrame:
     """Broadcast ``right`` when it provably has at most ``max_rows`` rows, else shuffle.
 
-    ``right`` holds one row per key.
+    ``right`` holds one row per key.  ``rows`` is an upper bound of its size where
+    the caller knows one; otherwise it is counted up to the limit.
     """
-    if right.limit(max_rows + 1).count() <= max_rows:
+    if rows is None:
+        rows = right.limit(max_rows + 1).count()
+    if rows <= max_rows:
         return left.join(F.broadcast(right), on, how)
     return join_unique(left, right, on, how)

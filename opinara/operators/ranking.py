@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .keyed_join import join_unique
 
 BUCKETS = 64
+ONE_WINDOW_ROWS = 100_000
 
 
 def _bucket(value: Column, cuts: list[float]) -> Column:
@@ -20,16 +21,21 @@ def _bucket(value: Column, cuts: list[float]) -> Column:
 
 
 def rank_by(
-    df: DataFrame, value: str, rank_col: str, partition: list[str] | None = None, buckets: int = BUCKETS
+    df: DataFrame, value: str, rank_col: str, partition: list[str] | None = None,
+    buckets: int = BUCKETS, one_window_rows: int = ONE_WINDOW_ROWS,
 ) -> DataFrame:
     """Add ``RANK() OVER (PARTITION BY partition ORDER BY value DESC)``.
 
-    Distinct values are counted first (ties collapse in the map-side combine),
+    ``df`` is a written table: its size is checked first, and a small one is
+    ranked in a plain window.  A larger one is ranked range by range.  Distinct values are counted first (ties collapse in the map-side combine),
     then cut into value ranges.  The rank of a value is one plus the rows in
     higher ranges plus the rows above it in its own range, so no task sees more
     than one range of distinct values of one group.
     """
     part = list(partition or [])
+    if df.limit(one_window_rows + 1).count() <= one_window_rows:
+        window = W.partitionBy(*part).orderBy(F.col(value).desc_nulls_first())
+        return df.withColumn(rank_col, F.rank().over(window))
     values = df.groupBy(*part, value).agg(F.count("*").alias("n"))
     probes = [i / buckets for i in range(1, buckets)]
     cuts = values.agg(F.percentile_approx(value, probes, 10_000)).first()[0] or []

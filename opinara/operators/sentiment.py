@@ -49,23 +49,29 @@ def _tokens(text: Column) -> Column:
     return words(text, scripts=("latin", "arabic"))
 
 
-def _mean(total: Column, hits: Column) -> Column:
+def score_sentiment_fr(total: Column, hits: Column) -> Column:
+    """Mean polarity of the matched words; 0 without a match."""
     return F.when(hits > 0, total / WEIGHT_UNIT / hits).otherwise(F.lit(0.0))
 
 
-def _damped(total: Column) -> Column:
-    s = total / WEIGHT_UNIT
-    return s / F.sqrt(s * s + DAMPING)
+def score_sentiment_en(total: Column, hits: Column, intensity: Column) -> Column:
+    """Damped intensity sum and mean polarity, blended."""
+    s = intensity / WEIGHT_UNIT
+    damped = s / F.sqrt(s * s + DAMPING)
+    return damped * INTENSITY_SHARE + score_sentiment_fr(total, hits) * POLARITY_SHARE
 
 
-def _score(lang: Column, pol_sum: Column, pol_hits: Column, int_sum: Column, arabic: Column | None) -> Column:
-    """Polarity from matched-weight sums; an Arabic model score replaces its lexicon."""
-    mean = _mean(pol_sum, pol_hits)
-    english = _damped(int_sum) * INTENSITY_SHARE + mean * POLARITY_SHARE
-    out = F.when(lang == "en", english)
-    if arabic is not None:
-        out = out.when(lang == "ar", F.coalesce(arabic, F.lit(0.0)))
-    return out.otherwise(mean)
+def score_sentiment_ar(total: Column, hits: Column, model: Column | None = None) -> Column:
+    """Score of a classifier where there is one (0 if it fails), else mean polarity."""
+    return score_sentiment_fr(total, hits) if model is None else F.coalesce(model, F.lit(0.0))
+
+
+def _score(lang: Column, total: Column, hits: Column, intensity: Column, arabic: Column | None) -> Column:
+    return (
+        F.when(lang == "fr", score_sentiment_fr(total, hits))
+        .when(lang == "ar", score_sentiment_ar(total, hits, arabic))
+        .otherwise(score_sentiment_en(total, hits, intensity))
+    )
 
 
 def _short_lexicon(lexicon: DataFrame):

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -92,6 +94,19 @@ def _vocabulary_list(corpus: DataFrame, max_df: float, min_df: int, max_features
     return sorted(r["term"] for r in rows)
 
 
+@contextmanager
+def _held(vectors: DataFrame):
+    """Keep the vectors on the executors while a model passes over them.
+
+    Lost blocks are read again from the written table.
+    """
+    vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield vectors
+    finally:
+        vectors.unpersist()
+
+
 def _lda(k: int, iterations: int) -> LDA:
     return LDA(
         k=k, maxIter=iterations, seed=SEED, optimizer="online", subsamplingRate=1.0,
@@ -130,10 +145,11 @@ def choose_topic_count(
     vectors = materialise(vectorise(corpus, vocabulary).select("features"), "topic_vectors")
     top = min(max_topics, vectors.count() // 5, len(vocabulary) // 10)
     counts, perplexities = [], []
-    for k in range(min_topics, top + 1):
-        model = _lda(k, iterations).fit(vectors)
-        counts.append(k)
-        perplexities.append(math.exp(model.logPerplexity(vectors)))
+    with _held(vectors):
+        for k in range(min_topics, top + 1):
+            model = _lda(k, iterations).fit(vectors)
+            counts.append(k)
+            perplexities.append(math.exp(model.logPerplexity(vectors)))
     return pick_topic_count(counts, perplexities, min_topics)
 
 
@@ -151,7 +167,8 @@ def fit_topics(
         return None
     vectors = materialise(vectorise(corpus, vocabulary).select("features"), "topic_vectors")
     k = default_topic_count(vectors.count()) if k is None else min(k, len(vocabulary))
-    return _lda(max(k, 2), iterations).fit(vectors), vocabulary
+    with _held(vectors):
+        return _lda(max(k, 2), iterations).fit(vectors), vocabulary
 
 
 def topic_words(model: LDAModel, vocabulary: list[str], n: int = TOP_WORDS) -> DataFrame:

@@ -17,10 +17,9 @@ from ..operators import statistics as stats
 from ..plans import marts, reports, staging
 from ..plans.enrichment import enrich
 from ..sources import pages as page_source
-from ..sources import tables
+from ..sources import search, tables
 from ..sources.reviews import documents, hash_number, reviews_from_documents, reviews_raw, table
 from ..sources.scratch import materialise, new_folder
-from ..sources.search import search_grid
 from ..streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -358,9 +357,9 @@ def dq_unique(spark, d):
 # --- collection ----------------------------------------------------------------
 
 @query
-def search_requests(spark, d):
+def search_grid(spark, d):
     cities = reviews_raw(spark, d).select(geo.raw_city("bank_location").alias("city")).distinct()
-    return search_grid(cities)
+    return search.search_grid(cities)
 
 
 @query

@@ -33,21 +33,28 @@ POSITIVE_WEIGHT = 0.4
 PROMOTER_FROM = 4
 
 
-def _one_per_key(dim: DataFrame, key: str, attributes: list[str], grain_safe: bool) -> DataFrame:
-    """One row per key and attributes, with its multiplicity ``__m_<key>``."""
+Dim = tuple[DataFrame, int]  # one row per key, and an upper bound of the row count
+
+
+def _one_per_key(dim: DataFrame, key: str, attributes: list[str], grain_safe: bool) -> Dim:
+    """One row per key and attributes, with its multiplicity ``__m_<key>``.
+
+    The row count of the written dimension table (read from its footers) bounds
+    the size.
+    """
     rows = dim.groupBy(key, *attributes).agg(F.count("*").alias(f"__m_{key}"))
     if grain_safe:
         rows = rows.withColumn(f"__m_{key}", F.lit(1).cast("bigint"))
-    return rows
+    return rows, dim.count()
 
 
-def _join_dims(reduced: DataFrame, dims: list[DataFrame]) -> DataFrame:
+def _join_dims(reduced: DataFrame, dims: list[Dim]) -> DataFrame:
     """Join reduced fact rows with dimensions; ``w`` is how often each row repeats."""
     keys = []
-    for dim in dims:
+    for dim, size in dims:
         key = dim.columns[0]
         keys.append(f"__m_{key}")
-        reduced = join_small(reduced, dim, [key])
+        reduced = join_small(reduced, dim, [key], rows=size)
     weight = reduce(lambda a, b: a * b, [F.col(k) for k in keys])
     return reduced.withColumn("w", weight).drop(*keys)
 
@@ -70,27 +77,27 @@ def _counted(star_fact: DataFrame, keys: list[str]) -> DataFrame:
     return star_fact.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
-def _bank(star: Star, grain_safe: bool) -> DataFrame:
+def _bank(star: Star, grain_safe: bool) -> Dim:
     return _one_per_key(star.bank, "bank_id", ["bank_name"], grain_safe)
 
 
-def _branch(star: Star, grain_safe: bool) -> DataFrame:
+def _branch(star: Star, grain_safe: bool) -> Dim:
     return _one_per_key(star.branch, "branch_id", ["branch_name"], grain_safe)
 
 
-def _location(star: Star, grain_safe: bool) -> DataFrame:
+def _location(star: Star, grain_safe: bool) -> Dim:
     return _one_per_key(star.location, "location_id", ["city", "region"], grain_safe)
 
 
-def _sentiment(star: Star, grain_safe: bool) -> DataFrame:
+def _sentiment(star: Star, grain_safe: bool) -> Dim:
     return _one_per_key(star.sentiment, "sentiment_id", ["sentiment", "sentiment_score"], grain_safe)
 
 
-def _topic(star: Star, grain_safe: bool) -> DataFrame:
+def _topic(star: Star, grain_safe: bool) -> Dim:
     return _one_per_key(star.topic, "topic_id", ["topic_name"], grain_safe)
 
 
-def _date(star: Star, grain_safe: bool) -> DataFrame:
+def _date(star: Star, grain_safe: bool) -> Dim:
     return _one_per_key(star.date, "date_id", ["full_date", "day", "month", "year"], grain_safe)
 
 

@@ -41,7 +41,7 @@ def reviews_from_documents(docs: DataFrame) -> DataFrame:
     h0, h1, h2 = F.col("h0"), F.col("h1"), F.col("h2")
     bank = F.when(h0 % 97 != 0, F.concat(F.lit("Bank "), (h0 % 20).cast("string")))
     place = F.concat(
-        F.lit("No "), (h1 % 3).cast("string"), F.lit(", "),
+        F.lit("No "), (h2 % 3).cast("string"), F.lit(", "),
         F.element_at(F.array(*[F.lit(c) for c in TEST_CITIES]), (h1 % 12 + 1).cast("int")),
     )
     padded = F.when(doc % 5 == 0, F.concat(F.lit("  "), bank, F.lit(" "))).otherwise(bank)

@@ -118,7 +118,7 @@ SELECT doc_id, text, {hash_number('text', 0)} AS h0, {hash_number('text', 1)} AS
 
 STEPS["placed"] = f"""
 SELECT *, CASE WHEN h0 % 97 <> 0 THEN 'Bank ' || (h0 % 20) END AS bank,
-  'No ' || (h1 % 3) || ', ' || {listed(TEST_CITIES)}[h1 % 12 + 1] AS place FROM hashed"""
+  'No ' || (h2 % 3) || ', ' || {listed(TEST_CITIES)}[h1 % 12 + 1] AS place FROM hashed"""
 
 STEPS["reviews_raw"] = """
 SELECT doc_id,
@@ -436,7 +436,7 @@ SELECT topic_id, CASE WHEN label IS NOT NULL THEN label
   ELSE array_to_string(first[1:2], '_') END AS topic_name FROM grouped"""
 
 
-def search_requests() -> str:
+def search_grid() -> str:
     banks = ", ".join(f"({text(b)})" for b in L.SEARCH_BANKS)
     said = "bank_name || ' agence ' || city || ' Maroc'"
     return with_steps("reviews_raw", f"""
@@ -580,7 +580,7 @@ def build() -> dict[str, str]:
             UNION ALL SELECT 'bank_name', count(*) FILTER (bank_name IS NULL) FROM staged"""),
         "dq_unique": with_steps(
             "staged", "SELECT id, count(*) AS row_count FROM staged GROUP BY 1 HAVING count(*) > 1"),
-        "search_requests": search_requests(),
+        "search_grid": search_grid(),
         "top_k_per_group": """SELECT doc_id, source, lang, n_chars, CAST(place AS INTEGER) AS place FROM (
             SELECT doc_id, source, lang, n_chars,
             row_number() OVER (PARTITION BY source, lang ORDER BY n_chars DESC, doc_id) AS place
