@@ -50,7 +50,8 @@ def lemmatise(df: DataFrame, lemmas: DataFrame, tokens: str = "tokens", key: str
     rebuilt = spelled.groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("__pos", F.coalesce("lemma", "token").alias("t")))).alias("__seq")
     ).select(key, F.transform("__seq", lambda s: s["t"]).alias(tokens))
-    return df.drop(tokens).join(rebuilt, key)
+    empty = F.array().cast("array<string>")
+    return df.drop(tokens).join(rebuilt, key, "left").withColumn(tokens, F.coalesce(tokens, empty))
 
 
 def topic_terms(corpus: DataFrame, fold_accents: bool = False) -> DataFrame:

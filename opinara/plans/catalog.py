@@ -388,7 +388,8 @@ def append_batches(spark, d):
 
 
 TEST_SELECTORS = page_source.Selectors(
-    name=("h1",), address=("title",), rating=(".ad",), review=("p",), date=("b",), text=("p",), star=("br",),
+    name=("h1",), address=("title",), rating=("div.ad",), review=("nav li", "article"),
+    date=("b",), text=("li a", "article p"), star=("article p",),
 )
 
 

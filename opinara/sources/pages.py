@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, fields
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -20,100 +21,119 @@ _VOID = set("area base br col embed hr img input link meta source track wbr".spl
 
 @dataclass(frozen=True)
 class Selectors:
-    """Where review parts are found.
+    """Where review parts are found on a page.
 
-    Each entry is a list of alternatives ``tag``, ``tag.class`` , ``.class`` or
-    ``[attr]`` / ``[attr=value]``; the first element in page order that matches
-    any of them counts.
+    Each entry lists alternatives; the first element in page order that matches
+    one of them counts.  An alternative is ``tag``, ``tag.class``, ``.class``,
+    ``tag[attr]`` or ``[attr=value]``, and may be preceded by such selectors of
+    enclosing elements, separated by spaces.
     """
 
     # --- fixed values: selectors of a map page -------------------------------
     name: tuple[str, ...] = ("h1",)
-    address: tuple[str, ...] = ("div.Io6YTe", "[data-item-id=address]")
-    rating: tuple[str, ...] = ("div.F7nice", ".ceNzKf")
-    review: tuple[str, ...] = ("div.jftiEf", "div[data-review-id]")
+    address: tuple[str, ...] = (
+        "div.Io6YTe.fontBodyMedium.kR99db.fdkmkc", "[data-item-id=address]",
+    )
+    rating: tuple[str, ...] = ("div.F7nice span span", ".ceNzKf")
+    review: tuple[str, ...] = ("div.jftiEf.fontBodyMedium", "div[data-review-id]")
     date: tuple[str, ...] = ("span.rsqaWe", ".DU9Pgb")
     text: tuple[str, ...] = ("span.wiI7pd", ".MyEned")
     star: tuple[str, ...] = ("span.elGi1d",)
-    parts: tuple[str, ...] = field(default=("name", "address", "rating", "date", "text"), repr=False)
 
 
-def _matches(selector: str, tag: str, attrs: dict) -> bool:
-    wanted, _, rest = selector.partition("[")
-    name, _, cls = wanted.partition(".")
-    if name and name != tag:
-        return False
-    if cls and cls not in (attrs.get("class") or "").split():
-        return False
-    if rest:
-        attr, _, value = rest.rstrip("]").partition("=")
-        if attr not in attrs or (value and attrs[attr] != value.strip("'\"")):
-            return False
-    return True
+_STEP = re.compile(r"([\w-]*)((?:\.[\w-]+)*)(?:\[([\w-]+)(?:=([^\]]*))?\])?$")
+
+
+def _compile(selector: str) -> list[tuple]:
+    """The steps of a selector, innermost first: (tag, classes, attribute, value)."""
+    steps = []
+    for step in reversed(selector.split()):
+        found = _STEP.match(step)
+        if not found or not step:
+            raise ValueError(f"unsupported selector {selector!r}")
+        tag, classes, attr, value = found.groups()
+        steps.append((tag, set(filter(None, classes.split("."))), attr, value))
+    return steps
+
+
+def _fits(step: tuple, tag: str, attrs: dict) -> bool:
+    wanted, classes, attr, value = step
+    return (
+        (not wanted or wanted == tag)
+        and classes <= set((attrs.get("class") or "").split())
+        and (attr is None or (attr in attrs and (value is None or attrs[attr] == value)))
+    )
 
 
 class _PageReader(HTMLParser):
-    """One pass over a page that collects page-level parts and review blocks."""
+    """One pass over a page that collects page parts and review blocks."""
+
+    PAGE_PARTS = ("name", "address", "rating")
+    REVIEW_PARTS = ("date", "text")
 
-    def __init__(self, selectors: Selectors):
+    def __init__(self, selectors: dict[str, list[list[tuple]]]):
         super().__init__(convert_charrefs=True)
-        self.sel = selectors
+        self.selectors = selectors
         self.page: dict[str, str] = {}
         self.reviews: list[dict] = []
-        self.open: list[tuple[str, list[tuple[dict, str]]]] = []
-        self.review: dict | None = None
-        self.review_depth = 0
-
-    def _any(self, part: str, tag: str, attrs: dict) -> bool:
-        return any(_matches(s, tag, attrs) for s in getattr(self.sel, part))
+        # Open elements: tag, attributes, parts that collect its text, own review.
+        self.stack: list[tuple[str, dict, list, dict | None]] = []
+
+    def _is(self, part: str, tag: str, attrs: dict) -> bool:
+        for inner, *outer in self.selectors[part]:
+            if not _fits(inner, tag, attrs):
+                continue
+            above = iter(reversed(self.stack))
+            if all(any(_fits(step, t, a) for t, a, _, _ in above) for step in outer):
+                return True
+        return False
 
     def handle_starttag(self, tag, attrs):
         attrs = dict(attrs)
-        if self.review is None and self._any("review", tag, attrs):
-            self.review = {"stars": 0}
-            self.reviews.append(self.review)
-            self.review_depth = len(self.open)
-        targets = []
-        scope = self.page if self.review is None else self.review
-        wanted = ("name", "address", "rating") if self.review is None else ("date", "text")
-        for part in wanted:
-            if part not in scope and self._any(part, tag, attrs):
-                scope[part] = ""
-                targets.append((scope, part))
-        if self.review is not None and self._any("star", tag, attrs):
-            self.review["stars"] += 1
+        collecting = []
+        for part in self.PAGE_PARTS:
+            if part not in self.page and self._is(part, tag, attrs):
+                self.page[part] = ""
+                collecting.append((self.page, part))
+        inside = [review for _, _, _, review in self.stack if review is not None]
+        if inside:
+            found = [p for p in self.REVIEW_PARTS if self._is(p, tag, attrs)]
+            star = self._is("star", tag, attrs)
+            for review in inside:
+                review["stars"] += star
+                for part in found:
+                    if part not in review:
+                        review[part] = ""
+                        collecting.append((review, part))
+        own = None
+        if self._is("review", tag, attrs):
+            own = {"stars": 0}
+            self.reviews.append(own)
         if tag not in _VOID:
-            self.open.append((tag, targets))
+            self.stack.append((tag, attrs, collecting, own))
 
     def handle_endtag(self, tag):
-        if not any(t == tag for t, _ in self.open):
-            return
-        while self.open:
-            closed, _ = self.open.pop()
-            if closed == tag:
-                break
-        if self.review is not None and len(self.open) <= self.review_depth:
-            self.review = None
+        if any(t == tag for t, _, _, _ in self.stack):
+            while self.stack.pop()[0] != tag:
+                pass
 
     def handle_data(self, data):
-        for _, targets in self.open:
-            for scope, part in targets:
-                scope[part] += data
-
+        for _, _, collecting, _ in self.stack:
+            for owner, part in collecting:
+                owner[part] += data
 
-def _clean(text: str | None) -> str | None:
-    text = " ".join(text.split()) if text else ""
-    return text or None
 
-
-def _page_rows(page_id, url, html, selectors: Selectors) -> list[tuple]:
+def _page_rows(page_id, url, html, selectors) -> list[tuple]:
     reader = _PageReader(selectors)
     reader.feed(html or "")
     reader.close()
-    head = (page_id, url)
-    page = [_clean(reader.page.get(p)) for p in ("name", "address", "rating")]
+
+    def part(owner: dict, name: str) -> str | None:
+        return owner[name].strip() if name in owner else None
+
+    page = [part(reader.page, p) for p in reader.PAGE_PARTS]
     return [
-        (*head, i, *page, _clean(r.get("date")), _clean(r.get("text")), r["stars"] or None)
+        (page_id, url, i, *page, part(r, "date"), part(r, "text"), r["stars"] or None)
         for i, r in enumerate(reader.reviews)
     ]
 
@@ -121,12 +141,13 @@ def _page_rows(page_id, url, html, selectors: Selectors) -> list[tuple]:
 def pages_to_reviews(pages: DataFrame, selectors: Selectors = Selectors()) -> DataFrame:
     """One row per review block of ``pages(page_id, url, html)``, as found on the page."""
     names = PAGE_REVIEW.fieldNames()
+    compiled = {f.name: [_compile(s) for s in getattr(selectors, f.name)] for f in fields(selectors)}
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = [
                 row for p in batch.itertuples(index=False)
-                for row in _page_rows(p.page_id, p.url, p.html, selectors)
+                for row in _page_rows(p.page_id, p.url, p.html, compiled)
             ]
             out = pd.DataFrame(rows, columns=names)
             yield out.astype({"position": "Int32", "stars": "Int32"})
