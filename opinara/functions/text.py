@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .wordlists import ARABIC_BLOCK, FRENCH_ACCENTS, stop_words
@@ -98,6 +98,17 @@ def retention_percentage(cleaned: Column | str, original: Column | str) -> Colum
     return F.when(size > 0, ratio).otherwise(F.lit(0.0))
 
 
+def text_metrics(df: DataFrame, original: str, cleaned: str) -> DataFrame:
+    """Add lengths before and after cleaning, retention and word count."""
+    return df.select(
+        "*",
+        F.length(original).alias("original_length"),
+        F.length(cleaned).alias("normalized_length"),
+        retention_percentage(cleaned, original).alias("retention_percentage"),
+        word_count(cleaned).alias("word_count"),
+    )
+
+
 def select_text(
     cleaned: Column | str, advanced: Column | str, retention: Column | str, words: Column | str
 ) -> Column:

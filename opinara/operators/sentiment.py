@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.language import detect_language
 from ..functions.text import _col, words
 from .dedup import text_key
 from .keyed_join import join_small, join_unique
@@ -41,8 +42,15 @@ def classify_polarity(polarity: Column | str) -> tuple[Column, Column]:
     return label, F.round(p, 3)
 
 
-def effective_language(language: Column) -> Column:
-    return F.when(language.isin("fr", "ar"), language).otherwise("en")
+def effective_language(language: Column | None, text: Column) -> Column:
+    """Language whose lexicon scores a text: fr, ar or en.
+
+    A missing or unknown language is detected from the text first.
+    """
+    found = detect_language(text)
+    if language is not None:
+        found = F.when(language.isNull() | (language == "unknown"), found).otherwise(language)
+    return F.when(found.isin("fr", "ar"), found).otherwise("en")
 
 
 def _tokens(text: Column) -> Column:
@@ -175,7 +183,8 @@ def analyze_sentiment(
     if method == "row" and groups is None:
         raise ValueError("the lexicon is too long to compile into a row expression")
     columns = df.columns
-    routed = df.withColumn("__lang", effective_language(F.col(language)))
+    known = F.col(language) if language in columns else None
+    routed = df.withColumn("__lang", effective_language(known, F.col(text)))
     if groups is not None:
         scored = _score_in_row(routed, groups, text, arabic_score)
     else:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.topics import model_words, preprocess_for_topics, with_bigrams
 from ..functions.wordlists import TOPIC_RULES
-from ..sources.scratch import materialise
+from ..sources.scratch import write_once
 from .dedup import top_k_per_group
 from .keyed_join import join_unique
 
@@ -67,17 +67,18 @@ def topic_vocabulary(
 
     Terms in more than ``max_df`` of the documents or in fewer than ``min_df``
     are left out.  Counts are reduced map-side; ties go to the smaller term.
+    Terms are sorted inside each document, so that the first of equal ones can
+    count the document while all of them count the term.
     """
     total = corpus.count() if documents is None else documents
-    seen = F.concat(
-        F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))),
-        F.transform(
-            F.array_distinct("terms"),
-            lambda t: F.struct(t.alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df")),
-        ),
+    own = corpus.select(F.sort_array("terms").alias("__own"))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.slice("__own", 1, F.size("__own") - 1))
+    first = F.zip_with(
+        "__own", before,
+        lambda t, b: F.struct(t.alias("term"), (~t.eqNullSafe(b)).cast("int").alias("first")),
     )
-    counts = corpus.select(F.inline(seen)).groupBy("term").agg(
-        F.sum("tf").alias("term_count"), F.sum("df").alias("doc_count")
+    counts = own.filter(F.size("__own") > 0).select(F.inline(first)).groupBy("term").agg(
+        F.count("*").alias("term_count"), F.sum("first").alias("doc_count")
     )
     kept = counts.filter(F.col("doc_count").between(min_df, math.floor(max_df * total + 1e-9)))
     return kept.orderBy(F.col("term_count").desc(), "term").limit(max_features)
@@ -143,7 +144,7 @@ def choose_topic_count(
     vocabulary = _vocabulary_list(corpus, SEARCH_MAX_DF, SEARCH_MIN_DF, MAX_FEATURES)
     if not vocabulary:
         return min_topics
-    vectors = materialise(vectorise(corpus, vocabulary).select("features"), "topic_vectors")
+    vectors = write_once(vectorise(corpus, vocabulary).select("features"), "topic_vectors")
     top = min(max_topics, vectors.count() // 5, len(vocabulary) // 10)
     counts, perplexities = [], []
     with _held(vectors):
@@ -166,7 +167,7 @@ def fit_topics(
     vocabulary = _vocabulary_list(corpus, FINAL_MAX_DF, FINAL_MIN_DF, MAX_FEATURES)
     if not vocabulary:
         return None
-    vectors = materialise(vectorise(corpus, vocabulary).select("features"), "topic_vectors")
+    vectors = write_once(vectorise(corpus, vocabulary).select("features"), "topic_vectors")
     k = default_topic_count(vectors.count()) if k is None else min(k, len(vocabulary))
     with _held(vectors):
         return _lda(max(k, 2), iterations).fit(vectors), vocabulary
@@ -274,7 +275,7 @@ def extract_topics(
     so no join by id is needed.
     """
     corpus = topic_terms(prepare_corpus(reviews.select(text), text), fold_accents)
-    corpus = materialise(corpus.select("terms"), "topic_corpus")
+    corpus = write_once(corpus.select("terms"), "topic_corpus")
     if k is None and search:
         k = choose_topic_count(corpus, iterations=search_iterations)
     fitted = fit_topics(corpus, k, iterations)

@@ -19,7 +19,7 @@ from ..plans.enrichment import enrich
 from ..sources import pages as page_source
 from ..sources import search, tables
 from ..sources.reviews import documents, hash_number, reviews_from_documents, reviews_raw, table
-from ..sources.scratch import materialise, new_folder
+from ..sources.scratch import write_once, new_folder
 from ..streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,8 +65,8 @@ def cleaned(spark: SparkSession, d: str) -> DataFrame:
 def staged(spark: SparkSession, d: str) -> DataFrame:
     def build() -> DataFrame:
         df = cleaned(spark, d)
-        rollup = materialise(stats.bank_rollup(df), "bank_rollup")
-        return materialise(staging.impute(staging.final_filter(df), rollup), "staged")
+        rollup = write_once(stats.bank_rollup(df), "bank_rollup")
+        return write_once(staging.impute(staging.final_filter(df), rollup), "staged")
 
     return _once(spark, d, "staged", build)
 
@@ -98,7 +98,7 @@ def with_topics(df: DataFrame) -> DataFrame:
 
 
 def enriched(spark: SparkSession, d: str) -> DataFrame:
-    return _once(spark, d, "enriched", lambda: materialise(
+    return _once(spark, d, "enriched", lambda: write_once(
         with_topics(enrich(staged(spark, d), lexicon(spark, d))), "enriched"
     ))
 
@@ -134,14 +134,8 @@ def is_valid_text(spark, d):
 
 @query
 def text_metrics(spark, d):
-    clean = X.clean_text_basic("text")
-    base = documents(spark, d).select("doc_id", "text", clean.alias("cleaned"))
-    return base.select(
-        "doc_id", F.length("text").alias("original_length"),
-        F.length("cleaned").alias("normalized_length"),
-        X.retention_percentage("cleaned", "text").alias("retention_percentage"),
-        X.word_count("cleaned").alias("word_count"),
-    )
+    base = documents(spark, d).select("doc_id", "text", X.clean_text_basic("text").alias("cleaned"))
+    return X.text_metrics(base, "text", "cleaned").drop("text", "cleaned")
 
 
 @query
@@ -424,7 +418,7 @@ def topic_corpus(spark, d):
 @query
 def topic_vocabulary(spark, d):
     """The vectoriser's vocabulary over the whole corpus."""
-    corpus = materialise(_corpus(spark, d).select("terms"), "topic_corpus")
+    corpus = write_once(_corpus(spark, d).select("terms"), "topic_corpus")
     return topics.topic_vocabulary(corpus)
 
 

@@ -11,7 +11,7 @@ from ..functions import geo
 from ..functions.dates import date_text
 from ..functions.keys import score_text, surrogate_key
 from ..functions.wordlists import COUNTRY
-from ..sources.scratch import materialise
+from ..sources.scratch import write_once
 
 
 def _sentiment_id():
@@ -120,4 +120,4 @@ def build_star(reviews: DataFrame, region_from_city: bool = False) -> Star:
         "sentiment": dim_sentiment(reviews),
         "topic": dim_topic(reviews),
     }
-    return Star(**{name: materialise(df, f"star_{name}") for name, df in tables.items()})
+    return Star(**{name: write_once(df, f"star_{name}") for name, df in tables.items()})

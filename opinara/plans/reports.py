@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keyed_join import join_small
 from ..operators.ranking import rank_by
-from ..sources.scratch import materialise
+from ..sources.scratch import write_once
 from .marts import Star
 
 RATING = "decimal(12,4)"
@@ -135,7 +135,7 @@ def branch_performance(star: Star, grain_safe: bool = True) -> DataFrame:
     """Branch metrics with a performance score, its rank and the rank in the region."""
     score = F.col("avg_rating") * RATING_WEIGHT + F.col("positive_percentage") * POSITIVE_WEIGHT
     scored = branch_metrics(star, grain_safe).withColumn("performance_score", score)
-    scored = materialise(scored, "branch_scores")
+    scored = write_once(scored, "branch_scores")
     ranked = rank_by(scored, "performance_score", "overall_rank")
     return rank_by(ranked, "avg_rating", "regional_rank", ["region"])
 
@@ -169,7 +169,7 @@ def topic_analysis(star: Star, grain_safe: bool = True) -> DataFrame:
     stats = stats.withColumn(
         "sentiment_distribution", _ratio(F.col("occurrence_count"), in_topic) * 100
     )
-    ranked = rank_by(materialise(stats, "topic_stats"), "occurrence_count", "__rank")
+    ranked = rank_by(write_once(stats, "topic_stats"), "occurrence_count", "__rank")
     for label in ("positive", "negative"):
         ranked = ranked.withColumn(f"{label}_rank", F.when(F.col("sentiment") == label, F.col("__rank")))
     return ranked.drop("__rank")
@@ -279,7 +279,7 @@ def branch_ranking_in_bank(star: Star) -> DataFrame:
             F.sum("review_count"),
         ) * 100).alias("positive_percentage"),
     )
-    return rank_by(materialise(shares, "branch_shares"), "positive_percentage", "bank_rank", ["bank_name"])
+    return rank_by(write_once(shares, "branch_shares"), "positive_percentage", "bank_rank", ["bank_name"])
 
 
 def topic_share(star: Star) -> DataFrame:

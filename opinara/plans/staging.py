@@ -11,7 +11,7 @@ from ..functions.keys import review_id
 from ..operators.dedup import dedup_reviews
 from ..operators.keyed_join import join_unique
 from ..operators.statistics import bank_rollup, bank_statistics, global_stats
-from ..sources.scratch import materialise
+from ..sources.scratch import write_once
 
 
 def early_filter(df: DataFrame) -> DataFrame:
@@ -41,13 +41,7 @@ def normalise(df: DataFrame, scripts=("latin",), keep_negation: bool = False) ->
         "review_date", "review_text",
         X.clean_text_basic("review_text", scripts=scripts).alias("cleaned_text"),
     )
-    metrics = cleaned.select(
-        "*",
-        F.length("review_text").alias("original_length"),
-        F.length("cleaned_text").alias("normalized_length"),
-        X.retention_percentage("cleaned_text", "review_text").alias("retention_percentage"),
-        X.word_count("cleaned_text").alias("word_count"),
-    )
+    metrics = X.text_metrics(cleaned, "review_text", "cleaned_text")
     advanced = X.normalize_text(
         "review_text", min_length=3, languages=["fr"], scripts=scripts, keep_negation=keep_negation
     )
@@ -107,13 +101,13 @@ def cleaned_reviews(raw: DataFrame, **options) -> DataFrame:
     only its few numeric columns.
     """
     normal = normalise(dedup_reviews(early_filter(raw)), **options)
-    return text_selection(materialise(normal, "cleaned_reviews"))
+    return text_selection(write_once(normal, "cleaned_reviews"))
 
 
 def staging(raw: DataFrame, processed_at: bool = True, **options) -> DataFrame:
     """The whole cleaning chain from raw to cleaned reviews."""
     df = cleaned_reviews(raw, **options)
-    rollup = materialise(bank_rollup(df), "bank_rollup")
+    rollup = write_once(bank_rollup(df), "bank_rollup")
     out = impute(final_filter(df), rollup).drop("retention_percentage", "review_rating_clean")
     return out.withColumn("processed_at", F.current_timestamp()) if processed_at else out
 

@@ -73,7 +73,7 @@ def normalise_date_text(df: DataFrame, column: str = "review_date") -> DataFrame
     return df.withColumn(column, date_text(column))
 
 
-def materialise_as(df: DataFrame, name: str, kind: str = "table") -> None:
+def materialise(df: DataFrame, name: str, kind: str = "table") -> None:
     """Publish a result under a name: a Parquet ``table`` or a session ``view``."""
     if kind == "view":
         df.createOrReplaceTempView(name)

@@ -54,12 +54,12 @@ def test_tables_and_views(spark, warehouse):
     assert tables.read_table(spark, name).count() == 1
     tables.append_to(tables.normalise_date_text(df), name)
     assert tables.read_table(spark, name).count() == 3
-    tables.materialise_as(df, "review_view", "view")
+    tables.materialise(df, "review_view", "view")
     assert spark.table("review_view").count() == 2
-    tables.materialise_as(df, f"{warehouse}.again")
+    tables.materialise(df, f"{warehouse}.again")
     assert spark.table(f"{warehouse}.again").count() == 2
     with pytest.raises(ValueError):
-        tables.materialise_as(df, "x", "index")
+        tables.materialise(df, "x", "index")
 
 
 def test_batches_match_by_name(spark):
@@ -114,7 +114,7 @@ def test_selectors_are_checked(spark):
 
 def test_written_tables_keep_schema_and_prune(spark):
     df = spark.range(100).withColumn("t", F.lit("x"))
-    back = scratch.materialise(df, "test")
+    back = scratch.write_once(df, "test")
     assert back.schema.simpleString() == df.schema.simpleString() and back.count() == 100
     assert "ReadSchema: struct<id:bigint>" in back.select("id")._jdf.queryExecution().executedPlan().toString()
 

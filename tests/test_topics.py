@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from helpers import values
 from opinara.operators import topics as T
-from opinara.sources.scratch import materialise
+from opinara.sources.scratch import write_once
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +17,7 @@ def reviews(spark):
 
 @pytest.fixture(scope="module")
 def corpus(reviews):
-    return materialise(T.topic_terms(T.prepare_corpus(reviews)), "test_corpus")
+    return write_once(T.topic_terms(T.prepare_corpus(reviews)), "test_corpus")
 
 
 def test_corpus_drops_short_and_thin_texts(corpus):
