@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,17 +11,30 @@ from .wordlists import ARABIC_BLOCK, ENGLISH_INDICATORS, FRENCH_INDICATORS
 
 def _hits(text: Column, words: list[str]) -> Column:
     """How many of the words occur in the text, as substrings."""
-    return reduce(lambda a, b: a + b, [F.contains(text, F.lit(w)).cast("int") for w in words])
+    listed = F.array(*[F.lit(w) for w in words])
+    return F.size(F.filter(listed, lambda w: F.contains(text, w)))
 
 
-def language_by_indicators(c: Column | str, lowered: Column | None = None) -> Column:
+def language_by_indicators(c: Column | str, lowered: bool = False) -> Column:
     """``fr`` when French words lead, ``en`` when any English one occurs, else unknown.
 
-    ``lowered`` is the lower-cased text where the caller already has it as a column.
+    The one-element array binds the lower-cased text, so it is made once for all
+    words.  The words stay data: a chain of twenty tests would compile into a
+    method too large for the JIT.  ``lowered=True`` tells that the text is
+    lower-case already.
     """
-    text = F.lower(F.trim(_col(c))) if lowered is None else lowered
-    fr, en = _hits(text, FRENCH_INDICATORS), _hits(text, ENGLISH_INDICATORS)
-    return F.when(fr > en, "fr").when(en > 0, "en").otherwise("unknown")
+
+    def counts(text: Column) -> Column:
+        return F.struct(
+            _hits(text, FRENCH_INDICATORS).alias("fr"), _hits(text, ENGLISH_INDICATORS).alias("en")
+        )
+
+    def vote(n: Column) -> Column:
+        return F.when(n["fr"] > n["en"], "fr").when(n["en"] > 0, "en").otherwise("unknown")
+
+    text = F.coalesce(_col(c), F.lit(""))
+    votes = F.transform(F.array(text if lowered else F.lower(text)), counts)
+    return F.element_at(F.transform(votes, vote), 1)
 
 
 def detect_language(
@@ -31,7 +42,7 @@ def detect_language(
     model_lang: Column | None = None,
     model_prob: Column | None = None,
     threshold: float = 0.7,
-    lowered: Column | None = None,
+    lowered: bool = False,
 ) -> Column:
     """Language of a text: unknown, ar, fr, en or other.
 

@@ -65,11 +65,10 @@ def apply_language_model(df: DataFrame, model: PipelineModel, text: str = "final
     )
 
 
-def add_language(df: DataFrame, text: str = "final_text", model: PipelineModel | None = None) -> DataFrame:
+def add_language(
+    df: DataFrame, text: str = "final_text", model: PipelineModel | None = None, lowered: bool = False
+) -> DataFrame:
     """Add ``language``; without a model the indicator words decide."""
     scored = df if model is None else apply_language_model(df, model, text)
     votes = () if model is None else (F.col("model_lang"), F.col("model_prob"))
-    # The lower-cased text is its own column: twenty words are looked up in it.
-    lowered = scored.withColumn("__lowered", F.lower(F.trim(text)))
-    lang = detect_language(text, *votes, lowered=F.col("__lowered"))
-    return lowered.select(*df.columns, lang.alias("language"))
+    return scored.select(*df.columns, detect_language(text, *votes, lowered=lowered).alias("language"))

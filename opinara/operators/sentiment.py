@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from ..functions.language import detect_language
 from ..functions.text import _col, words
+from ..sources.scratch import write_once
 from .dedup import text_key
-from .keyed_join import join_small, join_unique
+from .keyed_join import BROADCAST_ROWS, join_unique
 
 # --- fixed values -----------------------------------------------------------
 POSITIVE_ABOVE = 0.1
@@ -42,19 +43,19 @@ def classify_polarity(polarity: Column | str) -> tuple[Column, Column]:
     return label, F.round(p, 3)
 
 
-def effective_language(language: Column | None, text: Column) -> Column:
+def effective_language(language: Column | None, text: Column, lowered: bool = False) -> Column:
     """Language whose lexicon scores a text: fr, ar or en.
 
     A missing or unknown language is detected from the text first.
     """
-    found = detect_language(text)
+    found = detect_language(text, lowered=lowered)
     if language is not None:
         found = F.when(language.isNull() | (language == "unknown"), found).otherwise(language)
     return F.when(found.isin("fr", "ar"), found).otherwise("en")
 
 
-def _tokens(text: Column) -> Column:
-    return words(text, scripts=("latin", "arabic"))
+def _tokens(text: Column, lowered: bool) -> Column:
+    return words(text, scripts=("latin", "arabic"), lowered=lowered)
 
 
 def score_sentiment_fr(total: Column, hits: Column) -> Column:
@@ -115,7 +116,9 @@ def _total(weights: Column) -> Column:
     return F.aggregate(weights, F.lit(0).cast("bigint"), lambda a, w: a + w)
 
 
-def _score_in_row(df: DataFrame, groups: dict, text: str, arabic: Column | None) -> DataFrame:
+def _score_in_row(
+    df: DataFrame, groups: dict, text: str, arabic: Column | None, lowered: bool
+) -> DataFrame:
     """Score with the lexicon inside the expression: no join, no shuffle."""
     lang, tokens = F.col("__lang"), F.col("__tokens")
     pol = (
@@ -124,7 +127,7 @@ def _score_in_row(df: DataFrame, groups: dict, text: str, arabic: Column | None)
         .otherwise(_weights(tokens, groups.get(("en", "polarity"))))
     )
     intensity = F.when(lang == "en", _weights(tokens, groups.get(("en", "intensity"))))
-    found = df.withColumn("__tokens", _tokens(F.col(text))).select(
+    found = df.withColumn("__tokens", _tokens(F.col(text), lowered)).select(
         *df.columns, pol.alias("__pol"), intensity.alias("__int")
     )
     score = _score(
@@ -133,62 +136,85 @@ def _score_in_row(df: DataFrame, groups: dict, text: str, arabic: Column | None)
     return found.withColumn("__polarity", score).drop("__pol", "__int")
 
 
-def _score_by_join(df: DataFrame, lexicon: DataFrame, text: str, arabic: Column | None) -> DataFrame:
-    """Score with the lexicon as a table, once per distinct (language, text).
+def _word_sums(words_found: DataFrame, weight: Column) -> DataFrame:
+    """Sums over the matched words of every text, and how often the text occurs.
+
+    ``weight`` is how often a row of ``words_found`` stands for its word.
+    """
+    pol, intensity = F.col("__w_pol"), F.col("__w_int")
+    return words_found.groupBy("__key").agg(
+        F.sum(weight * pol).alias("__pol_sum"),
+        F.sum(F.when(pol.isNotNull(), weight)).alias("__pol_hits"),
+        F.sum(weight * intensity).alias("__int_sum"),
+        F.sum("__first").alias("n"),
+    )
+
 
-    Word counts are reduced per text before they meet the lexicon; frequent words
-    and frequent texts are hot keys, which ``join_unique`` handles.
+def _score_by_join(
+    df: DataFrame, lexicon: DataFrame, text: str, arabic: Column | None, lowered: bool,
+    broadcast_rows: int,
+) -> DataFrame:
+    """Score with the lexicon as a table.
+
+    The words of a text leave the scan in one task.  With a broadcast lexicon
+    they are matched and summed there, and one small row per text is shuffled.
+    With a longer one the words are first counted per text and matched in a
+    shuffle join; frequent words are hot keys, which ``join_unique`` handles.
+    Sums are kept per distinct text and divided by its copies, so the text
+    itself moves only to meet its score.
     """
-    keyed = df.withColumn("__key", text_key(F.concat_ws(" ", F.col("__lang"), F.col(text))))
+    keyed = df.withColumn("__key", F.unhex(text_key(F.concat_ws(" ", F.col("__lang"), F.col(text)))))
     weight = F.round(F.col("weight") * WEIGHT_UNIT).cast("bigint")
     terms = lexicon.groupBy(F.col("lang").alias("__lang"), F.col("term").alias("__term")).agg(
         F.max(F.when(F.col("source") == "polarity", weight)).alias("__w_pol"),
         F.max(F.when(F.col("source") == "intensity", weight)).alias("__w_int"),
     )
-    counted = (
-        keyed.select("__key", "__lang", F.col(text).alias("__text"))
-        .dropDuplicates(["__key"])
-        .select("__key", "__lang", F.explode(_tokens(F.col("__text"))).alias("__term"))
-        .groupBy("__key", "__lang", "__term").agg(F.count("*").alias("__tf"))
-    )
-    tf = F.col("__tf")
-    scores = (
-        join_small(counted, terms, ["__lang", "__term"])
-        .groupBy("__key").agg(
-            F.sum(tf * F.col("__w_pol")).alias("__pol_sum"),
-            F.sum(F.when(F.col("__w_pol").isNotNull(), tf)).alias("__pol_hits"),
-            F.sum(tf * F.col("__w_int")).alias("__int_sum"),
+    terms = write_once(terms, "lexicon_terms")
+    found = keyed.select(
+        "__key", "__lang", F.posexplode(_tokens(F.col(text), lowered)).alias("__pos", "__term")
+    ).select("__key", "__lang", "__term", (F.col("__pos") == 0).cast("bigint").alias("__first"))
+    on = ["__lang", "__term"]
+    if terms.count() <= broadcast_rows:
+        sums = _word_sums(found.join(F.broadcast(terms), on, "left"), F.lit(1).cast("bigint"))
+    else:
+        counted = found.groupBy("__key", *on).agg(
+            F.count("*").alias("__tf"), F.sum("__first").alias("__first")
         )
-    )
-    joined = join_unique(keyed, scores, ["__key"])
-    zero = F.lit(0).cast("bigint")
+        sums = _word_sums(join_unique(write_once(counted, "word_counts"), terms, on), F.col("__tf"))
+    sums = write_once(sums, "text_sums")
+    joined = join_unique(keyed, sums, ["__key"], counts=sums.select("__key", "n"))
+
+    def per_copy(name: str) -> Column:
+        return F.coalesce(F.col(name) / F.col("n"), F.lit(0.0))
+
     score = _score(
-        F.col("__lang"), F.coalesce("__pol_sum", zero), F.coalesce("__pol_hits", zero),
-        F.coalesce("__int_sum", zero), arabic,
+        F.col("__lang"), per_copy("__pol_sum"), per_copy("__pol_hits"), per_copy("__int_sum"), arabic
     )
-    return joined.withColumn("__polarity", score).drop("__key", "__pol_sum", "__pol_hits", "__int_sum")
+    return joined.withColumn("__polarity", score).drop("__key", "n", "__pol_sum", "__pol_hits", "__int_sum")
 
 
 def analyze_sentiment(
     df: DataFrame, lexicon: DataFrame, text: str = "final_text", language: str = "language",
-    arabic_score: Column | None = None, method: str = "auto",
+    arabic_score: Column | None = None, method: str = "auto", lowered: bool = False,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``sentiment`` and ``sentiment_score``.
 
     A lexicon of at most ``MAX_TERMS`` terms is compiled into the expression and
     scored in the scan's own stage; a longer one is joined as a table.  Both give
     the same scores; ``method`` ("row" or "join") forces one of them.
+    ``lowered=True`` tells that the text is lower-case already, as cleaned text is.
     """
     groups = None if method == "join" else _short_lexicon(lexicon)
     if method == "row" and groups is None:
         raise ValueError("the lexicon is too long to compile into a row expression")
     columns = df.columns
     known = F.col(language) if language in columns else None
-    routed = df.withColumn("__lang", effective_language(known, F.col(text)))
+    routed = df.withColumn("__lang", effective_language(known, F.col(text), lowered))
     if groups is not None:
-        scored = _score_in_row(routed, groups, text, arabic_score)
+        scored = _score_in_row(routed, groups, text, arabic_score, lowered)
     else:
-        scored = _score_by_join(routed, lexicon, text, arabic_score)
+        scored = _score_by_join(routed, lexicon, text, arabic_score, lowered, broadcast_rows)
     label, score = classify_polarity("__polarity")
     long_enough = F.length(F.trim(text)) >= MIN_LENGTH
     return scored.select(

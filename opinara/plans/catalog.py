@@ -240,8 +240,8 @@ def analyze_sentiment(spark, d):
 @query
 def sentiment_by_lexicon_join(spark, d):
     """The same scores with the lexicon joined as a table."""
-    base = language_model.add_language(staged(spark, d))
-    scored = sentiment.analyze_sentiment(base, lexicon(spark, d), method="join")
+    base = language_model.add_language(staged(spark, d), lowered=True)
+    scored = sentiment.analyze_sentiment(base, lexicon(spark, d), method="join", lowered=True)
     return scored.select("id", "language", "sentiment", "sentiment_score").distinct()
 
 

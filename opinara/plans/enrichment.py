@@ -11,8 +11,12 @@ from ..operators.sentiment import analyze_sentiment
 
 def enrich(
     cleaned: DataFrame, lexicon: DataFrame | None = None, model=None,
-    arabic_score: Column | None = None, text: str = "final_text",
+    arabic_score: Column | None = None, text: str = "final_text", lowered: bool = True,
 ) -> DataFrame:
-    """Both steps run in the stage that reads the reviews when the lexicon is short."""
+    """Both steps run in the stage that reads the reviews when the lexicon is short.
+
+    Cleaned text is lower-case; pass ``lowered=False`` for other text.
+    """
     lexicon = default_lexicon(cleaned.sparkSession) if lexicon is None else lexicon
-    return analyze_sentiment(add_language(cleaned, text, model), lexicon, text, arabic_score=arabic_score)
+    with_language = add_language(cleaned, text, model, lowered)
+    return analyze_sentiment(with_language, lexicon, text, arabic_score=arabic_score, lowered=lowered)

@@ -38,16 +38,19 @@ def normalise(df: DataFrame, scripts=("latin",), keep_negation: bool = False) ->
         R.parse_decimal_comma("bank_rating").alias("bank_rating_decimal"),
         F.trim("bank_location").alias("bank_location"),
         R.clamp_rating("review_rating").alias("review_rating_clean"),
-        "review_date", "review_text",
-        X.clean_text_basic("review_text", scripts=scripts).alias("cleaned_text"),
+        "review_date", "review_text", F.lower("review_text").alias("lower_text"),
+    )
+    cleaned = cleaned.withColumn(
+        "cleaned_text", X.clean_text_basic("lower_text", scripts=scripts, lowered=True)
     )
     metrics = X.text_metrics(cleaned, "review_text", "cleaned_text")
     advanced = X.normalize_text(
-        "review_text", min_length=3, languages=["fr"], scripts=scripts, keep_negation=keep_negation
+        "lower_text", min_length=3, languages=["fr"], scripts=scripts, keep_negation=keep_negation,
+        lowered=True,
     )
     return metrics.withColumn(
         "final_text", X.select_text("cleaned_text", advanced, "retention_percentage", "word_count")
-    ).drop("review_text", "cleaned_text")
+    ).drop("review_text", "lower_text", "cleaned_text")
 
 
 def text_selection(df: DataFrame) -> DataFrame:

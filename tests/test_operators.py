@@ -164,8 +164,9 @@ class TestSentiment:
         rows = [(i, *base[0 if i % 3 else i % 4]) for i in range(120)]
         df = spark.createDataFrame(rows, "i int, final_text string, language string")
         a = S.analyze_sentiment(df, default_lexicon(spark), method="row")
-        b = S.analyze_sentiment(df, default_lexicon(spark), method="join")
-        assert values(a) == values(b, *a.columns)
+        for limit in (1000, 0):
+            b = S.analyze_sentiment(df, default_lexicon(spark), method="join", broadcast_rows=limit)
+            assert values(a) == values(b, *a.columns)
         # Two hits of +1.9 and one of -2.5; mean polarity (0.7 + 0.7 - 0.7) / 3.
         want = 0.6 * 1.3 / (1.3 ** 2 + 15) ** 0.5 + 0.4 * 0.7 / 3
         assert a.filter("i = 1").first()["sentiment_score"] == round(want, 3)
