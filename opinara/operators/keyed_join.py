@@ -32,9 +32,10 @@ def join_unique(
     """Join ``left`` with ``right``, which holds at most one row per key.
 
     A key is hot when it holds at least ``hot_share`` of the left rows, so there
-    are at most ``1 / hot_share`` hot keys whatever the data: their right rows
-    are broadcast and the hot left rows never move.  All other rows meet in an
-    ordinary shuffle join in which no key is large.  Null keys match null keys.
+    are at most ``1 / hot_share`` hot keys whatever the data: these few keys come
+    to the driver, their right rows are broadcast and the hot left rows never
+    move.  All other rows meet in an ordinary shuffle join in which no key is
+    large.  Null keys match null keys.
 
     ``counts`` (the keys plus ``n``, rows per key in ``left``) saves one
     aggregation when the caller has it.
@@ -42,11 +43,11 @@ def join_unique(
     if how not in ("left", "inner"):
         raise ValueError("how must be left or inner")
     if counts is None:
+        total = left.count()
         counts = left.groupBy(*on).agg(F.count("*").alias("n"))
-    counts = counts.select(*on, F.col("n").alias("__n"))
-    total = counts.agg(F.sum("__n")).first()[0] or 0
-    is_hot = F.col("__n") >= F.lit(max(1.0, total * hot_share))
-    hot_keys = _prefixed(counts.filter(is_hot).select(*on), on)
+    else:
+        total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.filter(F.col("n") >= F.lit(max(1.0, total * hot_share))).select(*on, "n").collect()
 
     def matched(rows: DataFrame, table: DataFrame, broadcast: bool) -> DataFrame:
         table = _prefixed(table, on)
@@ -55,12 +56,16 @@ def join_unique(
         out = rows.join(table, _same(rows, table, on), how)
         return out.drop(*[f"__{k}" for k in on])
 
-    hot_right = right.join(F.broadcast(hot_keys), _same(right, hot_keys, on), "left_semi")
-    if counts.filter(~is_hot).isEmpty():
+    if not hot:
+        return matched(left, right, False)
+    schema = counts.select(*on).schema
+    keys = left.sparkSession.createDataFrame([tuple(r)[:-1] for r in hot], schema)
+    keys = F.broadcast(_prefixed(keys, on))
+    hot_right = right.join(keys, _same(right, keys, on), "left_semi")
+    if sum(r["n"] for r in hot) == total:
         return matched(left, hot_right, True)
-    keys = F.broadcast(hot_keys)
-    hot_left = left.join(keys, _same(left, hot_keys, on), "left_semi")
-    cold_left = left.join(keys, _same(left, hot_keys, on), "left_anti")
+    hot_left = left.join(keys, _same(left, keys, on), "left_semi")
+    cold_left = left.join(keys, _same(left, keys, on), "left_anti")
     return matched(hot_left, hot_right, True).unionByName(matched(cold_left, right, False))
 
 
