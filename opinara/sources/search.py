@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions.wordlists import SEARCH_BANKS
 
+# --- fixed value: where search requests go -----------------------------------
+SEARCH_URL = "https://www.google.com/maps/search/"
+
 
 def search_grid(
     cities: DataFrame, banks: list[str] = SEARCH_BANKS,
-    base_url: str = "https://maps.example.org/search/",
+    base_url: str = SEARCH_URL,
 ) -> DataFrame:
     """One search request per (city, bank), with its query text and URL.
 

@@ -441,7 +441,7 @@ def search_grid() -> str:
     said = "bank_name || ' agence ' || city || ' Maroc'"
     return with_steps("reviews_raw", f"""
 SELECT city, bank_name, {said} AS search_query,
-  'https://maps.example.org/search/' || replace({said}, ' ', '+') AS search_url
+  'https://www.google.com/maps/search/' || replace({said}, ' ', '+') AS search_url
 FROM (SELECT DISTINCT {RAW_CITY} AS city FROM reviews_raw)
 CROSS JOIN (VALUES {banks}) AS b(bank_name)""")
 

@@ -71,7 +71,7 @@ def test_batches_match_by_name(spark):
 def test_search_grid(spark):
     got = search_grid(spark.createDataFrame([("Rabat",), ("Tata",)], "city string"), ["CIH BANK"])
     assert values(got, "search_query", "search_url")[0] == (
-        "CIH BANK agence Rabat Maroc", "https://maps.example.org/search/CIH+BANK+agence+Rabat+Maroc")
+        "CIH BANK agence Rabat Maroc", "https://www.google.com/maps/search/CIH+BANK+agence+Rabat+Maroc")
     assert search_grid(spark.createDataFrame([("Rabat",)], "city string")).count() == 6
 
 
