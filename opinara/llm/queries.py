@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_folder
-from . import packing, simple8b, tokens
+from . import packing, simple8b, tokens, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -30,6 +30,46 @@ def op2_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.read(spark, folder).drop("file")
 
 
+@query
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return winnowing.contamination(documents(spark, sf_dir), benchmark).select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        winnowing.contaminated().alias("contaminated"),
+    )
+
+
+ORACLE_SQL["op4_winnowing"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, list_aggregate(w[i:i + least(13, len(w)) - 1], 'string_agg', ' ') AS g, least(13, len(w)) AS n
+  FROM b, LATERAL (SELECT unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i) WHERE len(w) > 0
+), ns AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT r, i, n, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS g
+  FROM d, ns, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i)
+), h AS (SELECT r, i, n, item_id FROM dw JOIN bw USING (g, n)),
+p AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS j FROM h) GROUP BY r),
+t AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS s
+  FROM (SELECT DISTINCT r, item_id FROM h) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN p USING (r) LEFT JOIN t USING (r)
+""".replace("\\", "\")
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(documents(spark, sf_dir), tokens.path(), end_id=0, capacity=2048)
