@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_folder
-from . import packing, simple8b, tokens, winnowing
+from . import jaccard_join, packing, simple8b, tokens, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -30,6 +30,31 @@ def op2_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.read(spark, folder).drop("file")
 
 
+@query
+def op3_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_groups(documents(spark, sf_dir))
+
+
+ORACLE_SQL["op3_token_group_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, hash(list_aggregate(w[i:i + least(5, len(w)) - 1], 'string_agg', ' ')) AS g
+  FROM d, LATERAL (SELECT unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i) WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 80 * (na.n + nb.n - count(*))
+), r AS (
+  SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.a = d.doc_id GROUP BY d.doc_id, n.n
+""".replace("\\", "\")
+
+
 @query
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
