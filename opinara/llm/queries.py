@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_folder
-from . import jaccard_join, packing, simple8b, tokens, winnowing
+from . import jaccard_join, language_id, packing, simple8b, tokens, winnowing, wordcache
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -52,7 +52,7 @@ l AS (
 )
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(min(r.b), d.doc_id)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.a = d.doc_id GROUP BY d.doc_id, n.n
-""".replace("\\", "\")
+"""
 
 
 @query
@@ -92,7 +92,16 @@ t AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM d LEFT JOIN p USING (r) LEFT JOIN t USING (r)
-""".replace("\\", "\")
+"""
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = (wordcache.remainder("doc_id", 4) == 2).alias("held_out")
+    model = language_id.learn(docs.filter(wordcache.remainder("doc_id", 4) != 2), tokens.path())
+    return language_id.predict(docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text"), model, tokens.path())
+
 
 
 @query
