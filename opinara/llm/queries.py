@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_folder
-from . import jaccard_join, language_id, packing, simple8b, tokens, winnowing, wordcache
+from . import jaccard_join, language_id, packing, simple8b, tokens, toxicity, winnowing, wordcache
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -103,6 +103,16 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text"), model, tokens.path())
 
 
+@query
+def op7_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(wordcache.remainder("doc_id", 4) != 2)
+    model = toxicity.learn(docs, labels)
+    held_out = F.coalesce(wordcache.remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    return toxicity.score(docs.select("doc_id", held_out, "text"), model).withColumn(
+        "predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
 
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
