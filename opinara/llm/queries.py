@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_folder
-from . import jaccard_join, language_id, packing, simple8b, tokens, toxicity, winnowing, wordcache
+from . import jaccard_join, language_id, licenses, packing, simple8b, tokens, toxicity, winnowing, wordcache
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -117,3 +117,41 @@ def op7_noisy_channel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(documents(spark, sf_dir), tokens.path(), end_id=0, capacity=2048)
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+ORACLE_SQL["op9_license_scan"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), f AS (SELECT * FROM (VALUES @PHRASES@) AS f(phrase, label, n)),
+h AS (
+  SELECT r, i, label FROM (
+    SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d
+  ), f WHERE list_aggregate(w[i:i + n - 1], 'string_agg', ' ') = phrase
+), b AS (
+  SELECT r, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list(DISTINCT label) AS labels FROM h GROUP BY r
+), t AS (SELECT label, string_split(words, ' ') AS words FROM (VALUES @TEMPLATES@) AS t(label, words)),
+l AS (
+  SELECT r, list_distinct(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)
+), m AS (
+  SELECT r, list(DISTINCT label) AS labels, max(share) AS share FROM (
+    SELECT r, label, len(list_intersect(w, words)) / len(list_distinct(words)) AS share,
+      100 * len(list_intersect(w, words)) >= @PERCENT@ * len(list_distinct(words)) AS ok FROM l, t
+  ) WHERE ok GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ','), '') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(m.share, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN m USING (r)
+""".replace("@PHRASES@", ", ".join(f"('{p}', '{x}', {len(p.split())})" for p, x in licenses.PHRASES.items())
+).replace("@TEMPLATES@", ", ".join(f"('{x}', '{t}')" for x, t in licenses.TEMPLATES)).replace("@PERCENT@", str(licenses.PERCENT))
