@@ -10,10 +10,10 @@ the matrix row leaves room for enough overlap.
 3. The matrix is kept for the tokens that can decide: a set of n shingles with a partner
    shares one of its first ``n - ceil(0.8 n) + 1`` tokens with it, in any order that is the
    same for all sets.  The order puts tokens of many documents last and skips tokens of a
-   single one.  A node and a *different* group that share such a token and whose sizes fit
-   are a qualifying pair: first the member that shares most is compared, then, for pairs
-   still apart, every member that shares a token.
-4. Links found join the groups.
+   single one.  A node and a *different*, not smaller group that share such a token and whose
+   sizes fit are a qualifying pair: ``WITNESSES`` times one member of the group is compared
+   and groups that turn out to be linked are joined; then, for pairs still apart, every
+   member that shares a token is.
 
 Tokens of one and of many documents are known from counts over all documents, handed to
 the workers as bit sets of at most 2**28 bits; a wrong bit only changes the common order or
@@ -36,6 +36,8 @@ from .components import components
 
 PERMUTATIONS = 4
 MANY = 32
+WITNESSES = 2
+PARITY_BITS = 11
 MAX_BITS = 28
 COUNTED = 0.35  # share of a set's tokens, lowest hashes first, that is counted
 
@@ -66,8 +68,14 @@ def _each(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Rec
             yield batch.slice(at, len(texts)), shingle_sets(texts, size)
 
 
+def _parity(shingles: np.ndarray) -> bytes:
+    """For each value of a token's top bits, whether an odd number of tokens has it."""
+    odd = np.bincount((shingles >> np.uint64(64 - PARITY_BITS)).astype(np.int64), minlength=1 << PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n, node`` and the minima of the set under each hash function."""
+    """``doc_id, n, node``, the minima of the set under each hash function, and its parity bits."""
     salts = W.mix(np.arange(1, PERMUTATIONS + 1).astype(np.uint64))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,9 +84,10 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "n": pa.array(map(len, sets), pa.int64()),
                 "node": pa.array(map(_node, sets), pa.int64()), "least": pa.array(least, pa.list_(pa.int64())),
+                "parity": pa.array([_parity(s) if len(s) else None for s in sets], pa.binary()),
             })
 
-    return docs.mapInArrow(make, "doc_id long, n long, node long, least array<long>")
+    return docs.mapInArrow(make, "doc_id long, n long, node long, least array<long>, parity binary")
 
 
 def _prefix_size(n: int, percent: int) -> int:
@@ -161,8 +170,27 @@ def postings(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.mapInArrow(make, "token long, node long, n long")
 
 
+def near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose parity bits allow the similarity: bits differ in at most as many places as the sets do."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(len(batch), -1) for c in ("p_a", "p_b"))
+            differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            both = -(-percent * total // (100 + percent))  # least intersection of sets of these sizes
+            keep = pa.array(differ <= total - 2 * both)
+            yield batch.select(["a", "b"]).filter(keep)
+
+    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("parity").alias(f"p_{x}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(compare, "a long, b long")
+
+
 def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs ``a, b`` of nodes whose sets are similar enough, from their whole texts."""
+    pairs = write_once(near(pairs, nodes, percent), "near_pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     texts = write_once(
         docs.join(nodes.join(wanted, "node").select("node", F.col("first_doc").alias("doc")), F.col("doc_id").eqNullSafe(F.col("doc")))
@@ -200,7 +228,7 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
     table = write_once(sketches(docs, size), "sketches")
     nodes = write_once(
         table.filter("n > 0").groupBy("node")
-        .agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n"), F.first("least").alias("least")), "nodes")
+        .agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("parity").alias("parity")), "nodes")
     sizes = nodes.select("node", "n")
     fits = lambda x, y: (100 * F.col(x) >= percent * F.col(y)) & (100 * F.col(y) >= percent * F.col(x))
 
@@ -219,33 +247,46 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
         found = groups.select("node", F.col("label").alias("group"))
         return rows.join(found, "node", "left").withColumn("group", F.coalesce("group", "node"))
 
+    shared = lambda posts, by: (
+        posts.groupBy("token").agg(F.min(by).alias("low"), F.max(by).alias("high")).filter("low <> high").select("token"))
     posts = write_once(postings(docs, size, percent), "postings")
-    shared = posts.groupBy("token").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("token")
-    posts = write_once(grouped(posts.join(shared, "token").distinct()), "matrix_rows")
-    shared = posts.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high").select("token")
-    posts = write_once(posts.join(shared, "token"), "matrix_rows")
-    matrix = posts.groupBy("token", "group").agg(F.min("n").alias("n_low"), F.max("n").alias("n_high"))
-    qualifying = write_once(
-        posts.join(matrix.withColumnRenamed("group", "other"), "token")
-        .filter((F.col("group") != F.col("other")) & (100 * F.col("n_high") >= percent * F.col("n"))
-                & (100 * F.col("n") >= percent * F.col("n_low")))
-        .select("token", F.col("node").alias("a"), "n", "other"), "qualifying")
-    members = posts.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("other"))
-    opened = write_once(
-        qualifying.join(members, ["token", "other"]).filter(fits("n", "n_b"))
-        .groupBy("a", "b", "other").agg(F.count("*").alias("common")), "opened")
-    best = write_once(
-        opened.groupBy("a", "other").agg(F.max_by("b", "common").alias("b")).select("a", "b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "best_pairs")
-    links = links.union(write_once(verify(best, docs, nodes, size, percent), "best_links"))
-    groups = components(links)
-    apart = grouped(opened.select(F.col("a").alias("node"), "b")).select(F.col("node").alias("a"), "b", F.col("group").alias("group_a"))
-    apart = grouped(apart.withColumnRenamed("b", "node")).filter("group <> group_a").select("a", F.col("node").alias("b"))
-    apart = write_once(
-        apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        .join(best, ["a", "b"], "left_anti"), "pairs_apart")
-    if not apart.isEmpty():
-        groups = components(links.union(write_once(verify(apart, docs, nodes, size, percent), "last_links")))
+    posts = write_once(posts.join(shared(posts, "node"), "token").distinct(), "postings")
+    tried = None
+    for turn in range(WITNESSES + 1):
+        rows = write_once(grouped(posts), "matrix_rows")
+        rows = write_once(rows.join(shared(rows, "group"), "token"), "matrix_rows")
+        matrix = rows.groupBy("token", "group").agg(
+            F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.count("*").alias("members"),
+            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("node"), F.col("n").alias("n"))).alias("w"))
+        query = rows.join(matrix.select("token", "group", "members"), ["token", "group"])
+        other = matrix.select("token", F.col("group").alias("other"), "n_low", "n_high", F.col("members").alias("others"), "w")
+        # the group with fewer members asks the other; its documents and the other's sizes must fit
+        qualifying = query.join(other, "token").filter(
+            (F.struct("members", "group") < F.struct("others", "other"))
+            & (100 * F.col("n_high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("n_low")))
+        if turn < WITNESSES:
+            pairs = (
+                qualifying.filter((100 * F.col("w.n") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("w.n")))
+                .groupBy(F.col("node").alias("a"), "other").agg(F.min(F.struct("w.h", "w.node")).alias("w"))
+                .select("a", F.col("w.node").alias("b"))
+            )
+        else:
+            members = rows.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("other"))
+            pairs = (
+                qualifying.select("token", F.col("node").alias("a"), "n", "other").join(members, ["token", "other"])
+                .filter(fits("n", "n_b")).select("a", "b")
+            )
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = write_once(pairs, "pairs")
+        if pairs.isEmpty():
+            if turn < WITNESSES:
+                continue
+            break
+        tried = pairs if tried is None else tried.union(pairs)
+        links = links.union(write_once(verify(pairs, docs, nodes, size, percent), "links"))
+        groups = components(links)
 
     firsts = grouped(nodes.select("node", "first_doc"))
     least = firsts.groupBy("group").agg(F.min("first_doc").alias("component_id"))
