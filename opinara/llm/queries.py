@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_folder
-from . import jaccard_join, language_id, licenses, packing, simple8b, tokens, toxicity, winnowing, wordcache
+from . import jaccard_join, kneser_ney, language_id, licenses, packing, simple8b, tokens, toxicity, winnowing, wordcache
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -155,3 +155,11 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
 FROM d LEFT JOIN b USING (r) LEFT JOIN m USING (r)
 """.replace("@PHRASES@", ", ".join(f"('{p}', '{x}', {len(p.split())})" for p, x in licenses.PHRASES.items())
 ).replace("@TEMPLATES@", ", ".join(f"('{x}', '{t}')" for x, t in licenses.TEMPLATES)).replace("@PERCENT@", str(licenses.PERCENT))
+
+
+@query
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(wordcache.remainder("doc_id", 7) == 2, F.lit(False))
+    scores = kneser_ney.perplexity_table(documents(spark, sf_dir), ~held_out)
+    return scores.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
