@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_folder
-from . import jaccard_join, kneser_ney, language_id, licenses, packing, simple8b, tokens, toxicity, winnowing, wordcache
+from . import jaccard_join, kneser_ney, language_id, licenses, line_dedup, packing, simple8b, tokens, toxicity, winnowing, wordcache
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -95,6 +95,13 @@ FROM d LEFT JOIN p USING (r) LEFT JOIN t USING (r)
 """
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return line_dedup.remove_repeated(docs).select("doc_id", "lines", "lines_removed", "words_removed", "text")
+
+
+
 @query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
