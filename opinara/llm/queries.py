@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_folder
-from . import jaccard_join, kneser_ney, language_id, licenses, line_dedup, packing, simple8b, tokens, toxicity, winnowing, wordcache
+from . import jaccard_join, kneser_ney, language_id, licenses, line_dedup, packing, simple8b, spotsigs, tokens, toxicity, winnowing, wordcache
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -23,6 +23,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprint_edits(documents(spark, sf_dir))
+
+
+
 @query
 def op2_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token_ids")
