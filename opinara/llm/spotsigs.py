@@ -97,8 +97,11 @@ def _neighbours(docs: DataFrame, order: str, n_buckets: int) -> DataFrame:
     ranges; the result of that has one row per range.
     """
     edges = sorted(set(docs.approxQuantile(order, [i / n_buckets for i in range(1, n_buckets)], 0.1 / n_buckets))) if n_buckets > 1 else []
-    numbered = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol=order, outputCol="bucket").transform(docs)
-    numbered = numbered.withColumn("bucket", F.col("bucket").cast("int"))
+    if edges:
+        numbered = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol=order, outputCol="bucket").transform(docs)
+        numbered = numbered.withColumn("bucket", F.col("bucket").cast("int"))
+    else:
+        numbered = docs.withColumn("bucket", F.lit(0))
     heads = sorted(tuple(r) for r in numbered.groupBy("bucket").agg(F.max(order)).collect())  # one row per range
     target = [(head, heads[i + 1][0] if i + 1 < len(heads) else heads[0][0]) for i, (_, head) in enumerate(heads)]
     to = docs.sparkSession.createDataFrame(target, f"{order} double, also int")
