@@ -6,7 +6,7 @@ fingerprint inside them.  Documents and benchmark meet on fingerprints; every me
 extended to the longest common run and counts when the run is long enough.  Items shorter
 than that are one k-gram of their own length, looked up at every place.
 
-Documents are read once.  A bit set of the benchmark's fingerprints (at most 2**26 bits,
+Documents are read once.  A bit set of the benchmark's fingerprints (at most 2**28 bits,
 whatever the benchmark's size) goes to the workers and drops nearly all documents; texts
 of the others are written and joined with their items.
 """
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..sources.scratch import write_once
 from . import words as W
 
-MAX_BITS = 26
+MAX_BITS = 28
 
 
 def fingerprints(hashes: np.ndarray, text: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -128,15 +128,19 @@ def _benchmark_keys(benchmark: DataFrame, k: int, window: int, separators: np.nd
     return items.mapInArrow(make, "item_id string, key long, n_words long, text string")
 
 
+def _places(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of every key, from its two ends."""
+    return keys >> np.uint64(64 - bits), keys & np.uint64((1 << bits) - 1)
+
+
 def _bit_set(keys: DataFrame) -> tuple[int, np.ndarray]:
-    """Bits in use and the set of the keys' top bits, joined word by word in Spark."""
-    n = keys.count()
-    bits = min(MAX_BITS, max(16, (16 * n).bit_length()))
-    place = F.shiftrightunsigned("key", 64 - bits).alias("place")
+    """Bits in use, 256 or more a key up to the limit, and the set of both bits of every key, joined in Spark."""
+    bits = min(MAX_BITS, max(22, (256 * keys.count()).bit_length()))
+    both = F.array(F.shiftrightunsigned("key", 64 - bits), F.col("key").bitwiseAND(F.lit((1 << bits) - 1)))
     bit = F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bit")
     rows = (
-        keys.select(place).select(F.shiftright("place", 6).alias("word"), bit)
-        .groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()  # at most 2**20 rows
+        keys.select(F.explode(both).alias("place")).select(F.shiftright("place", 6).alias("word"), bit)
+        .groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()  # at most 2**22 rows
     )
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[rows["word"].to_numpy()] = rows["bit"].to_numpy().view(np.uint64)
@@ -166,8 +170,9 @@ def contamination(
             for at, texts in W.groups(batch.column("text").to_pylist()):
                 words = W.split(texts, separators)
                 owner, keys = keys_of(words, k, window, short)
-                place = keys >> np.uint64(64 - bits)
-                there = (present[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+                there = np.ones(len(keys), bool)
+                for place in _places(keys, bits):
+                    there &= (present[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
                 owner, keys = owner[there], keys[there]
                 order = np.argsort(owner, kind="stable")
                 cuts = np.searchsorted(owner[order], np.arange(len(texts) + 1))
