@@ -117,6 +117,9 @@ def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int)
     return found
 
 
+_ADDED = ("text_hash", "gone", "lines", "lines_removed", "words_removed")
+
+
 def remove_repeated(docs: DataFrame, min_words: int = 50) -> DataFrame:
     """``docs`` with repeated passages deleted from ``text``, and ``lines, lines_removed, words_removed``.
 
@@ -124,6 +127,7 @@ def remove_repeated(docs: DataFrame, min_words: int = 50) -> DataFrame:
     each other, and rows without one stay whole.  Null stays null, a text that loses all its
     lines becomes empty.  Texts with fewer than ``min_words`` words in common blocks stay as they are.
     """
+    docs = docs.drop(*_ADDED)  # new columns replace any of their names
     key = ["doc_id", "text_hash"]
     keyed = docs.withColumn("text_hash", F.xxhash64("text"))
 
