@@ -6,11 +6,12 @@ the matrix row leaves room for enough overlap.
 
 1. Equal sets become one node.
 2. Nodes with an equal minimum under one of ``PERMUTATIONS`` hash functions are compared with
-   one of them; connected nodes form a group.  The work is linear in the nodes.
+   one of them, then, while some are apart, with others of the largest group among them, up to
+   ``PIVOT_ROUNDS`` times; connected nodes form a group.  The work is linear in the nodes.
 3. The matrix is kept for the tokens that can decide: a set of n shingles with a partner
    shares one of its first ``n - ceil(0.8 n) + 1`` tokens with it, in any order that is the
-   same for all sets.  The order puts tokens of many documents last and skips tokens of a
-   single one.  A node and a *different*, not smaller group that share such a token and whose
+   same for all sets, and the smaller of the two shares one of a still shorter prefix.  The order puts tokens of more documents later (in steps, ``MANY``) and
+   skips tokens of a single one.  A node and a *different*, not smaller group that share such a token and whose
    sizes fit are a qualifying pair: ``WITNESSES`` times one member of the group is compared
    and groups that turn out to be linked are joined; then, for pairs still apart, every
    member that shares a token is.
@@ -35,7 +36,8 @@ from . import words as W
 from .components import components
 
 PERMUTATIONS = 4
-MANY = 32
+MANY = (8, 64, 512, 4096)
+PIVOT_ROUNDS = 5
 WITNESSES = 2
 PARITY_BITS = 11
 MAX_BITS = 28
@@ -94,6 +96,11 @@ def _prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _first_size(n: int, percent: int) -> int:
+    """Prefix of the smaller (or equal) set of a pair."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1
+
+
 def _counted(s: np.ndarray, percent: int) -> int:
     return max(_prefix_size(len(s), percent), int(COUNTED * len(s)))
 
@@ -110,21 +117,23 @@ def low_tokens(docs: DataFrame, size: int, percent: int) -> DataFrame:
     return docs.mapInArrow(make, "token long")
 
 
-def _prefix(s: np.ndarray, many: tuple[int, np.ndarray], percent: int) -> np.ndarray:
-    late = holds(many, s)
-    return np.concatenate([s[~late], s[late]])[: _prefix_size(len(s), percent)]
+def _prefix(s: np.ndarray, many: list[tuple[int, np.ndarray]], percent: int) -> np.ndarray:
+    level = sum(holds(filled, s).astype(np.int8) for filled in many)
+    return s[np.argsort(level, kind="stable")[: _prefix_size(len(s), percent)]]
 
 
-def late_tokens(docs: DataFrame, size: int, percent: int, many) -> DataFrame:
-    """Prefix tokens that ``low_tokens`` has not counted, as a prefix goes further without the tokens of many."""
+def late_tokens(docs: DataFrame, size: int, percent: int, many, whole: bool) -> DataFrame:
+    """Of sets whose prefix goes beyond what ``low_tokens`` counts: its tokens beyond, or all of theirs (``whole``)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _each(batches, size):
             found = [np.empty(0, np.uint64)]
             for s in sets:
                 if len(s):
-                    prefix = _prefix(s, many.value, percent)
-                    found.append(prefix[prefix > s[_counted(s, percent) - 1]])
+                    prefix, counted = _prefix(s, many.value, percent), _counted(s, percent)
+                    beyond = prefix[prefix > s[counted - 1]]
+                    if len(beyond):
+                        found.append(s[counted:] if whole else beyond)
             yield pa.RecordBatch.from_pydict({"token": pa.array(np.concatenate(found).view(np.int64))})
 
     return docs.mapInArrow(make, "token long")
@@ -147,27 +156,39 @@ def holds(filled: tuple[int, np.ndarray], tokens: np.ndarray) -> np.ndarray:
 
 
 def postings(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``token, node, n``: the prefix tokens that another set may hold too."""
+    """``token, node, n, first``: the prefix tokens that another set may hold too.
+
+    ``first`` marks those in the shorter prefix that is enough for the smaller set of a pair.
+    """
     spread = docs.sparkSession.sparkContext.broadcast
-    counts = write_once(low_tokens(docs, size, percent).groupBy("token").count().filter("count > 1"), "token_counts")
-    many_counts = counts.filter(F.col("count") > MANY)
-    many = spread(bit_set(many_counts, many_counts.count()))
-    late = write_once(late_tokens(docs, size, percent, many).distinct(), "late_tokens")
-    several = spread(bit_set(counts.select("token").union(late), counts.count() + late.count()))
+
+    def levels(counts: DataFrame):
+        some = [counts.filter(F.col("count") > n) for n in MANY]
+        return spread([bit_set(x, x.count()) for x in some])
+
+    low = write_once(low_tokens(docs, size, percent).groupBy("token").count().filter("count > 1"), "token_counts")
+    late = late_tokens(docs, size, percent, levels(low), whole=True).groupBy("token").count().filter("count > 1")
+    counts = write_once(low.union(late).groupBy("token").agg(F.sum("count").alias("count")), "token_counts")
+    many = levels(counts)
+    beyond = write_once(late_tokens(docs, size, percent, many, whole=False).distinct(), "late_tokens")
+    several = spread(bit_set(counts.select("token").union(beyond), counts.count() + beyond.count()))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _each(batches, size):
             sets = [s for s in sets if len(s)]
-            kept = [p[holds(several.value, p)] for p in (_prefix(s, many.value, percent) for s in sets)]
-            held = list(map(len, kept))
+            prefixes = [_prefix(s, many.value, percent) for s in sets]
+            keep = [holds(several.value, p) for p in prefixes]
+            first = [np.arange(len(p)) < _first_size(len(s), percent) for p, s in zip(prefixes, sets)]
+            held = [int(k.sum()) for k in keep]
             if sum(held):
                 yield pa.RecordBatch.from_pydict({
-                    "token": pa.array(np.concatenate(kept).view(np.int64)),
+                    "token": pa.array(np.concatenate([p[k] for p, k in zip(prefixes, keep)]).view(np.int64)),
                     "node": pa.array(np.repeat(np.array(list(map(_node, sets)), np.int64), held)),
                     "n": pa.array(np.repeat(np.array(list(map(len, sets)), np.int64), held)),
+                    "first": pa.array(np.concatenate([f[k] for f, k in zip(first, keep)])),
                 })
 
-    return docs.mapInArrow(make, "token long, node long, n long")
+    return docs.mapInArrow(make, "token long, node long, n long, first boolean")
 
 
 def near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -232,38 +253,64 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
     sizes = nodes.select("node", "n")
     fits = lambda x, y: (100 * F.col(x) >= percent * F.col(y)) & (100 * F.col(y) >= percent * F.col(x))
 
-    minima = nodes.select("node", "n", F.posexplode("least").alias("permutation", "value"))
-    pivots = (
-        minima.groupBy("permutation", "value").agg(F.min(F.struct("node", "n")).alias("pivot"), F.count("*").alias("members"))
-        .filter("members > 1").select("permutation", "value", F.col("pivot.node").alias("b"), F.col("pivot.n").alias("n_b"))
-    )
-    pairs = write_once(
-        minima.join(pivots, ["permutation", "value"]).filter((F.col("node") != F.col("b")) & fits("n", "n_b"))
-        .select(F.col("node").alias("a"), "b").distinct(), "pivot_pairs")
-    links = write_once(verify(pairs, docs, nodes, size, percent), "pivot_links")
-    groups = components(links)
+    minima = write_once(nodes.select("node", "n", F.posexplode("least").alias("permutation", "value")), "minima")
+    minima = write_once(minima.join(
+        minima.groupBy("permutation", "value").count().filter("count > 1").drop("count"), ["permutation", "value"]), "minima")
+    links = groups = tried = None
 
     def grouped(rows: DataFrame) -> DataFrame:
+        if groups is None:
+            return rows.withColumn("group", F.col("node"))
         found = groups.select("node", F.col("label").alias("group"))
         return rows.join(found, "node", "left").withColumn("group", F.coalesce("group", "node"))
 
+    def compare(pairs: DataFrame) -> bool:
+        """Join the groups that pairs not compared before turn out to link; whether there were any."""
+        nonlocal links, groups, tried
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = write_once(pairs, "pairs")
+        if pairs.isEmpty():
+            return False
+        tried = pairs if tried is None else tried.union(pairs)
+        found = write_once(verify(pairs, docs, nodes, size, percent), "links")
+        links = found if links is None else links.union(found)
+        groups = components(links)
+        return True
+
+    for turn in range(PIVOT_ROUNDS):
+        rows = grouped(minima)
+        per_group = rows.groupBy("permutation", "value", "group").agg(
+            F.count("*").alias("members"),
+            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("node"), F.col("n").alias("n"))).alias("w"))
+        largest = per_group.groupBy("permutation", "value").agg(
+            F.max(F.struct("members", "group", "w")).alias("x"), F.count("*").alias("groups")
+        ).filter("groups > 1").select(
+            "permutation", "value", F.col("x.group").alias("other"), F.col("x.w.node").alias("b"), F.col("x.w.n").alias("n_b"))
+        apart = rows.join(largest, ["permutation", "value"]).filter((F.col("group") != F.col("other")) & fits("n", "n_b"))
+        if not compare(apart.select(F.col("node").alias("a"), "b")):
+            break
+
     shared = lambda posts, by: (
         posts.groupBy("token").agg(F.min(by).alias("low"), F.max(by).alias("high")).filter("low <> high").select("token"))
     posts = write_once(postings(docs, size, percent), "postings")
     posts = write_once(posts.join(shared(posts, "node"), "token").distinct(), "postings")
-    tried = None
     for turn in range(WITNESSES + 1):
         rows = write_once(grouped(posts), "matrix_rows")
         rows = write_once(rows.join(shared(rows, "group"), "token"), "matrix_rows")
         matrix = rows.groupBy("token", "group").agg(
-            F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.count("*").alias("members"),
+            F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min(F.when(F.col("first"), F.col("n"))).alias("first_low"),
+            F.count("*").alias("members"),
             F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("node"), F.col("n").alias("n"))).alias("w"))
         query = rows.join(matrix.select("token", "group", "members"), ["token", "group"])
-        other = matrix.select("token", F.col("group").alias("other"), "n_low", "n_high", F.col("members").alias("others"), "w")
+        other = matrix.select("token", F.col("group").alias("other"), "n_low", "n_high", "first_low", F.col("members").alias("others"), "w")
         # the group with fewer members asks the other; its documents and the other's sizes must fit
-        qualifying = query.join(other, "token").filter(
-            (F.struct("members", "group") < F.struct("others", "other"))
-            & (100 * F.col("n_high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("n_low")))
+        sizes_fit = (100 * F.col("n_high") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("n_low"))
+        asks = (F.struct("members", "group") < F.struct("others", "other")) & sizes_fit
+        smaller_first = F.col("first_low") <= F.col("n")
+        qualifying = query.filter("first").join(other, "token").filter(asks & (smaller_first | (F.col("n_high") >= F.col("n")))).union(
+            query.filter("NOT first").join(other.filter("first_low IS NOT NULL"), "token").filter(asks & smaller_first))
         if turn < WITNESSES:
             pairs = (
                 qualifying.filter((100 * F.col("w.n") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("w.n")))
@@ -271,22 +318,14 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
                 .select("a", F.col("w.node").alias("b"))
             )
         else:
-            members = rows.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("other"))
+            members = rows.select(
+                "token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("other"), F.col("first").alias("first_b"))
+            shares = (F.col("first") & (F.col("n") <= F.col("n_b"))) | (F.col("first_b") & (F.col("n_b") <= F.col("n")))
             pairs = (
-                qualifying.select("token", F.col("node").alias("a"), "n", "other").join(members, ["token", "other"])
-                .filter(fits("n", "n_b")).select("a", "b")
+                qualifying.select("token", F.col("node").alias("a"), "n", "first", "other").join(members, ["token", "other"])
+                .filter(fits("n", "n_b") & shares).select("a", "b")
             )
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = write_once(pairs, "pairs")
-        if pairs.isEmpty():
-            if turn < WITNESSES:
-                continue
-            break
-        tried = pairs if tried is None else tried.union(pairs)
-        links = links.union(write_once(verify(pairs, docs, nodes, size, percent), "links"))
-        groups = components(links)
+        compare(pairs)
 
     firsts = grouped(nodes.select("node", "first_doc"))
     least = firsts.groupBy("group").agg(F.min("first_doc").alias("component_id"))
