@@ -185,24 +185,27 @@ def remove_repeated(docs: DataFrame, min_words: int = 50) -> DataFrame:
         .mapInArrow(compare, "doc_id long, text_hash long, gone array<int>").filter(F.size("gone") > 0)
         .groupBy(*key).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
     )
+    removed = F.aggregate("gone", F.lit(0).cast("long"), lambda total, i: total + F.get("words", i))
+    gone = table.join(gone, key, "left").select(
+        *key, F.size("hashes").cast("long").alias("lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("lines_removed"),
+        F.coalesce(removed, F.lit(0).cast("long")).alias("words_removed"), "gone")
     others = [c for c in docs.columns if c != "text"]
+    counts = ["lines", "lines_removed", "words_removed"]
 
     def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, counts = [], []
-            for text, places in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist()):
-                begin, end, _, words = lines(text or "")
-                places = sorted(places or [])
+            texts = batch.column("text").to_pylist()
+            for n, places in enumerate(batch.column("gone").to_pylist()):
                 if places:
-                    dropped = set(places)
-                    text = "".join(text[a:b] for i, (a, b) in enumerate(zip(begin.tolist(), end.tolist())) if i not in dropped)
-                texts.append(text)
-                counts.append((len(begin), len(places), int(words[places].sum()) if places else 0))
+                    dropped, (begin, end, _, _) = set(places), lines(texts[n])
+                    texts[n] = "".join(texts[n][a:b] for i, (a, b) in enumerate(zip(begin.tolist(), end.tolist())) if i not in dropped)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in others), pa.array(texts, pa.string()), *(pa.array(c, pa.int64()) for c in (zip(*counts) if counts else [[]] * 3))],
-                [*others, "text", "lines", "lines_removed", "words_removed"])
+                [*(batch.column(c) for c in [*others, *counts]), pa.array(texts, pa.string())], [*others, *counts, "text"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    joined = keyed.join(write_once(gone, "lines_gone"), key, "left")
-    out = joined.select(*others, "text", "gone").mapInArrow(delete, f"{kinds}, text string, lines long, lines_removed long, words_removed long")
-    return out.select(*docs.columns, "lines", "lines_removed", "words_removed")
+    # the other side has a row for every text: both are shuffled at any size
+    joined = keyed.join(write_once(gone, "lines_gone").hint("merge"), key, "left")
+    zero = {c: F.coalesce(c, F.lit(0).cast("long")) for c in counts}
+    out = joined.withColumns(zero).select(*others, *counts, "text", "gone").mapInArrow(
+        delete, f"{kinds}, lines long, lines_removed long, words_removed long, text string")
+    return out.select(*docs.columns, *counts)
