@@ -9,17 +9,18 @@ from .text import _col
 
 # --- fixed values: units in days, and the five patterns in matching order ---
 UNIT_DAYS = [("jour", 1), ("semaine", 7), ("mois", 30), ("an", 365)]
-COUNTED_UNITS = "jour|jours|mois|semaine|semaines|an|ans|année|années"
-SINGLE_UNITS = "semaine|mois|an|année"
 RELATIVE_PATTERNS = [
-    rf"il y a (\d+)\s*({COUNTED_UNITS})",
-    rf"il y a (une?|un)\s*({SINGLE_UNITS})",
-    rf"(\d+)\s*({COUNTED_UNITS})",
-    rf"(une?|un)\s*({SINGLE_UNITS})",
+    r"il y a (\d+)\s*(jour|jours|mois|semaine|semaines|an|ans|année|années)",
+    r"il y a (une?|un)\s*(semaine|mois|an|année)",
+    r"(\d+)\s*(jour|jours|mois|semaine|semaines|an|ans|année|années)",
+    r"(une?|un)\s*(semaine|mois|an|année)",
 ]
 DAY_WORDS = r"(hier|aujourd'hui|today|yesterday)"
-
-_MAX_DAYS = 1_000_000
+# The patterns of ``extended=True``.
+EXTENDED_PATTERNS = [
+    r"(\d+)\s*(jour|jours|mois|semaine|semaines|an|ans|année|années|heures?|minutes?|secondes?)",
+    r"(une?|un)\s*(jour|semaine|mois|an|année|heures?|minutes?|secondes?)",
+]
 
 
 def relative_days(c: Column | str, extended: bool = False) -> Column:
@@ -31,12 +32,8 @@ def relative_days(c: Column | str, extended: bool = False) -> Column:
     units = UNIT_DAYS
     patterns = RELATIVE_PATTERNS
     if extended:
-        more = "heures?|minutes?|secondes?"
         units = units + [("heure", 0), ("minute", 0), ("seconde", 0)]
-        patterns = [
-            rf"(\d+)\s*({COUNTED_UNITS}|{more})",
-            rf"(une?|un)\s*(jour|{SINGLE_UNITS}|{more})",
-        ]
+        patterns = EXTENDED_PATTERNS
 
     def days(pattern: str) -> Column:
         count = F.regexp_extract(text, pattern, 1)
@@ -59,7 +56,7 @@ def parse_relative_date(c: Column | str, as_of: Column | str, extended: bool = F
     as_of = F.lit(as_of) if isinstance(as_of, str) else as_of
     day = as_of.cast("date")
     # Ages that reach before year 1 have no date.
-    oldest = F.least(F.datediff(day, F.lit("0001-01-01").cast("date")), F.lit(_MAX_DAYS))
+    oldest = F.datediff(day, F.lit("0001-01-01").cast("date"))
     return F.when(n <= oldest, F.date_sub(day, n.cast("int")))
 
 

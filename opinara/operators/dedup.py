@@ -28,6 +28,24 @@ def text_key(c: Column | str) -> Column:
     return F.sha2(c, 256)
 
 
+def _key_parts() -> list[Column]:
+    norm = lambda name: F.lower(F.trim(F.col(name)))
+    return [text_key(norm("review_text")), norm("branch_name"), norm("bank_name"), F.col("review_date")]
+
+
+def review_key() -> Column:
+    """Hash of bank, branch, text (case and padding ignored) and date; nulls differ from all texts."""
+    part = lambda c: F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-"))
+    return text_key(F.concat_ws("\u0001", *map(part, _key_parts())))
+
+
+def preference() -> Column:
+    """What ``dedup_reviews`` orders by: of two rows with one key the smaller stays."""
+    first = [F.when(F.col(c).isNotNull(), 1).otherwise(2) for c in ("review_rating", "bank_rating")]
+    rest = ["review_rating", "bank_rating", "bank_location", "bank_name", "branch_name", "review_text"]
+    return F.struct(*[c.alias(f"p{i}") for i, c in enumerate([*first, *map(F.col, rest)])])
+
+
 def dedup_reviews(df: DataFrame) -> DataFrame:
     """Keep one review per bank, branch, text (case and padding ignored) and date.
 
@@ -36,17 +54,7 @@ def dedup_reviews(df: DataFrame) -> DataFrame:
     order.  Text enters the shuffle key as a hash, first, because it is the most
     selective part of the sort key.
     """
-    norm = lambda name: F.lower(F.trim(F.col(name)))
-    keys = [
-        text_key(norm("review_text")), norm("branch_name"), norm("bank_name"), F.col("review_date"),
-    ]
-    order = [
-        F.when(F.col("review_rating").isNotNull(), 1).otherwise(2),
-        F.when(F.col("bank_rating").isNotNull(), 1).otherwise(2),
-        F.col("review_rating"), F.col("bank_rating"), F.col("bank_location"),
-        F.col("bank_name"), F.col("branch_name"), F.col("review_text"),
-    ]
-    return top_k_per_group(df, keys, order, 1)
+    return top_k_per_group(df, _key_parts(), [preference()], 1)
 
 
 def cap_links(links: DataFrame, keys: list[str], position: str, url: str, k: int = 5) -> DataFrame:

@@ -23,6 +23,8 @@ from ..sources.scratch import write_once
 from .dedup import text_key
 from .keyed_join import BROADCAST_ROWS, join_unique
 
+ArabicModel = Callable[[Column], Column]
+
 # --- fixed values -----------------------------------------------------------
 POSITIVE_ABOVE = 0.1
 NEGATIVE_BELOW = -0.1
@@ -32,6 +34,7 @@ DAMPING = 15
 MIN_LENGTH = 3
 
 WEIGHT_UNIT = 10_000
+# Only the plan depends on these two: both routes give the same scores.
 MAX_TERMS = 5_000
 MAX_WEIGHTS = 64
 
@@ -83,14 +86,30 @@ def _score(lang: Column, total: Column, hits: Column, intensity: Column, arabic:
     )
 
 
-def _short_lexicon(lexicon: DataFrame):
+def lexicon_terms(lexicon: DataFrame) -> DataFrame:
+    """One row per (lang, term) with its weights in units of 1/10,000: what both routes read.
+
+    Rows without a language, source, term or weight are left out; of repeated rows the
+    largest weight counts; halves are rounded away from zero.
+    """
+    weight = F.round(F.col("weight") * WEIGHT_UNIT).cast("bigint")
+    found = lexicon.filter(" AND ".join(f"{c} IS NOT NULL" for c in ("lang", "source", "term", "weight")))
+    return found.groupBy(F.col("lang").alias("__lang"), F.col("term").alias("__term")).agg(
+        F.max(F.when(F.col("source") == "polarity", weight)).alias("__w_pol"),
+        F.max(F.when(F.col("source") == "intensity", weight)).alias("__w_int"),
+    )
+
+
+def _short_lexicon(terms: DataFrame):
     """{(lang, source): {weight: [terms]}} when the lexicon is small, else None."""
-    rows = lexicon.select("lang", "source", "term", "weight").limit(MAX_TERMS + 1).collect()
+    rows = terms.limit(MAX_TERMS + 1).collect()
     if len(rows) > MAX_TERMS:
         return None
     groups: dict = defaultdict(lambda: defaultdict(list))
-    for lang, source, term, weight in rows:
-        groups[lang, source][round(weight * WEIGHT_UNIT)].append(term)
+    for row in rows:
+        for source, weight in (("polarity", row["__w_pol"]), ("intensity", row["__w_int"])):
+            if weight is not None:
+                groups[row["__lang"], source][weight].append(row["__term"])
     if any(len(g) > MAX_WEIGHTS for g in groups.values()):
         return None
     return groups
@@ -99,14 +118,14 @@ def _short_lexicon(lexicon: DataFrame):
 def _weights(tokens: Column, classes: dict | None) -> Column:
     """Weights of the tokens found in the lexicon, in text order."""
     if not classes:
-        return F.array().cast("array<int>")
+        return F.array().cast("array<bigint>")
     every = [t for terms in classes.values() for t in terms]
 
     def weight(t: Column) -> Column:
         out = None
         for w, terms in classes.items():
             hit = t.isin(terms)
-            out = F.when(hit, F.lit(w)) if out is None else out.when(hit, F.lit(w))
+            out = F.when(hit, F.lit(w).cast("bigint")) if out is None else out.when(hit, F.lit(w).cast("bigint"))
         return out
 
     return F.transform(F.filter(tokens, lambda t: t.isin(every)), weight)
@@ -151,7 +170,7 @@ def _word_sums(words_found: DataFrame, weight: Column) -> DataFrame:
 
 
 def _score_by_join(
-    df: DataFrame, lexicon: DataFrame, text: str, arabic: Column | None, lowered: bool,
+    df: DataFrame, terms: DataFrame, text: str, arabic: Column | None, lowered: bool,
     broadcast_rows: int,
 ) -> DataFrame:
     """Score with the lexicon as a table.
@@ -164,12 +183,6 @@ def _score_by_join(
     itself moves only to meet its score.
     """
     keyed = df.withColumn("__key", F.unhex(text_key(F.concat_ws(" ", F.col("__lang"), F.col(text)))))
-    weight = F.round(F.col("weight") * WEIGHT_UNIT).cast("bigint")
-    terms = lexicon.groupBy(F.col("lang").alias("__lang"), F.col("term").alias("__term")).agg(
-        F.max(F.when(F.col("source") == "polarity", weight)).alias("__w_pol"),
-        F.max(F.when(F.col("source") == "intensity", weight)).alias("__w_int"),
-    )
-    terms = write_once(terms, "lexicon_terms")
     found = keyed.select(
         "__key", "__lang", F.posexplode(_tokens(F.col(text), lowered)).alias("__pos", "__term")
     ).select("__key", "__lang", "__term", (F.col("__pos") == 0).cast("bigint").alias("__first"))
@@ -195,26 +208,30 @@ def _score_by_join(
 
 def analyze_sentiment(
     df: DataFrame, lexicon: DataFrame, text: str = "final_text", language: str = "language",
-    arabic_score: Column | None = None, method: str = "auto", lowered: bool = False,
+    arabic_score: ArabicModel | None = None, method: str = "auto", lowered: bool = False,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``sentiment`` and ``sentiment_score``.
 
     A lexicon of at most ``MAX_TERMS`` terms is compiled into the expression and
-    scored in the scan's own stage; a longer one is joined as a table.  Both give
-    the same scores; ``method`` ("row" or "join") forces one of them.
+    scored in the scan's own stage; a longer one is joined as a table.  Both read
+    ``lexicon_terms`` and give the same scores; ``method`` ("row" or "join") forces one
+    of them.  ``arabic_score`` turns a column of texts into scores, as ``model_score``
+    does; it gets the Arabic texts and null for all others.
     ``lowered=True`` tells that the text is lower-case already, as cleaned text is.
     """
-    groups = None if method == "join" else _short_lexicon(lexicon)
+    terms = write_once(lexicon_terms(lexicon), "lexicon_terms")
+    groups = None if method == "join" else _short_lexicon(terms)
     if method == "row" and groups is None:
         raise ValueError("the lexicon is too long to compile into a row expression")
     columns = df.columns
     known = F.col(language) if language in columns else None
     routed = df.withColumn("__lang", effective_language(known, F.col(text), lowered))
+    arabic = None if arabic_score is None else arabic_score(F.when(F.col("__lang") == "ar", F.col(text)))
     if groups is not None:
-        scored = _score_in_row(routed, groups, text, arabic_score, lowered)
+        scored = _score_in_row(routed, groups, text, arabic, lowered)
     else:
-        scored = _score_by_join(routed, lexicon, text, arabic_score, lowered, broadcast_rows)
+        scored = _score_by_join(routed, terms, text, arabic, lowered, broadcast_rows)
     label, score = classify_polarity("__polarity")
     long_enough = F.length(F.trim(text)) >= MIN_LENGTH
     return scored.select(
@@ -224,28 +241,36 @@ def analyze_sentiment(
     )
 
 
-def model_score(load: Callable[[], Callable[[list[str]], list[tuple[str, float]]]]):
+def model_score(
+    load: Callable[[], Callable[[list[str]], list[tuple[str, float]]]], on_missing: str = "raise"
+) -> ArabicModel:
     """A pandas UDF around a user's classifier, loaded once per Python worker.
 
     ``load()`` returns a function from texts to (label, confidence).  Positive
-    labels give the confidence, negative labels its opposite, others 0; whole
-    texts are passed on.
+    labels give the confidence, negative labels its opposite, others 0.  The classifier
+    gets whole texts, and no nulls; those stay null.  A classifier that cannot be loaded stops the
+    job; with ``on_missing="zero"`` it scores everything 0.
     """
+    if on_missing not in ("raise", "zero"):
+        raise ValueError("on_missing is 'raise' or 'zero'")
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        try:
-            classify = load()
-        except Exception:  # a missing model scores everything 0
-            classify = None
+        classify = None
         for texts in batches:
-            if classify is None:
-                yield pd.Series([0.0] * len(texts))
-                continue
-            out = []
-            for label, conf in classify(texts.fillna("").tolist()):
-                name = label.lower()
-                out.append(conf if "pos" in name else -conf if "neg" in name else 0.0)
-            yield pd.Series(out, dtype="float64")
+            out = pd.Series([None] * len(texts), dtype="float64")
+            some = texts.notna().to_numpy().nonzero()[0]
+            if len(some) and classify is None:
+                try:
+                    classify = load()
+                except Exception:
+                    if on_missing == "raise":
+                        raise
+                    classify = lambda rows: [("", 0.0)] * len(rows)
+            if len(some):
+                for i, (label, conf) in zip(some, classify(texts.iloc[some].tolist())):
+                    name = label.lower()
+                    out.iloc[i] = conf if "pos" in name else -conf if "neg" in name else 0.0
+            yield out
 
     return score

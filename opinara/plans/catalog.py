@@ -224,17 +224,19 @@ def detect_language(spark, d):
 
 @query
 def language_model_accuracy(spark, d):
-    """A model trained on all labelled documents, judged on the same documents."""
+    """A model trained on three quarters of the labelled documents, judged on the others."""
     docs = documents(spark, d)
-    model = language_model.fit_language_model(docs)
-    found = language_model.add_language(docs, "text", model)
-    return found.groupBy("lang", "language").agg(F.count("*").alias("documents"))
+    held_out = hash_number(F.col("doc_id").cast("string"), 0) % 4 == 0
+    model = language_model.fit_language_model(docs.filter(~held_out))
+    found = language_model.apply_language_model(docs.filter(held_out), model, "text")
+    right = F.count_if(F.col("lang") == F.col("model_lang"))
+    return found.agg(F.count("*").alias("held_out"), (right >= 0.95 * F.count("*")).alias("accurate"))
 
 
 @query
 def analyze_sentiment(spark, d):
     columns = ["id", "language", "sentiment", "sentiment_score"]
-    return enriched(spark, d).select(*columns).distinct()
+    return enriched(spark, d).select(*columns)
 
 
 @query
@@ -242,7 +244,16 @@ def sentiment_by_lexicon_join(spark, d):
     """The same scores with the lexicon joined as a table."""
     base = language_model.add_language(staged(spark, d), lowered=True)
     scored = sentiment.analyze_sentiment(base, lexicon(spark, d), method="join", lowered=True)
-    return scored.select("id", "language", "sentiment", "sentiment_score").distinct()
+    return scored.select("id", "language", "sentiment", "sentiment_score")
+
+
+@query
+def sentiment_row_route(spark, d):
+    """Scores with a quarter of the terms, compiled into the row expression."""
+    base = language_model.add_language(staged(spark, d), lowered=True)
+    short = lexicon(spark, d).filter(F.substring(F.md5("term"), 1, 1) < "4")
+    scored = sentiment.analyze_sentiment(base, short, method="row", lowered=True)
+    return scored.select("id", "language", "sentiment", "sentiment_score")
 
 
 @query
@@ -255,7 +266,13 @@ def classify_polarity(spark, d):
 
 @query
 def validate_sentiment(spark, d):
-    return quality.validate_sentiment(enriched(spark, d))
+    """Labels and scores of which some are taken away or turned round, by the id."""
+    turn = F.conv(F.substring("id", 1, 4), 16, 10).cast("int") % 10
+    planted = enriched(spark, d).withColumns({
+        "sentiment": F.when(turn == 1, None).when(turn == 2, "positive").when(turn == 3, "negative").otherwise(F.col("sentiment")),
+        "sentiment_score": F.when(turn == 4, None).otherwise(F.col("sentiment_score")),
+    })
+    return quality.validate_sentiment(planted)
 
 
 @query
@@ -340,12 +357,14 @@ def average_rating_per_bank(spark, d):
 
 @query
 def dq_not_null(spark, d):
-    return quality.dq_not_null(staged(spark, d), ["id", "bank_name"])
+    """Nulls in raw reviews."""
+    return quality.dq_not_null(reviews_raw(spark, d), ["bank_name", "review_date", "review_rating", "review_text"])
 
 
 @query
 def dq_unique(spark, d):
-    return quality.dq_unique(staged(spark, d), "id")
+    """Branches with more than one raw review."""
+    return quality.dq_unique(reviews_raw(spark, d), "branch_name")
 
 
 # --- collection ----------------------------------------------------------------
@@ -522,15 +541,17 @@ def negative_spike_alert_stream(spark, d):
 
 @query
 def incremental_reviews(spark, d):
-    """Streaming de-duplication of dated reviews: the review keys that remain."""
-    schema = table(spark, d, "documents").schema
-    docs = incremental.read_review_stream(spark, d, schema, "parquet", glob="documents.parquet")
-    reviews = staging.early_filter(reviews_from_documents(docs)).filter("review_date IS NOT NULL")
-    timed = reviews.withColumn("ts", F.col("review_date").cast("timestamp"))
-    unique = incremental.incremental_reviews(timed, "ts").select(
-        F.trim("bank_name").alias("bank_name"), "branch_name", "review_date",
-        F.md5(F.lower(F.trim("review_text"))).alias("text_md5"),
-    )
-    folder = new_folder(spark, "incremental")
-    incremental.write_stream(unique, folder, new_folder(spark, "incremental_state")).awaitTermination()
-    return spark.read.schema(unique.schema).parquet(folder)
+    """Reviews of three files, the newest first, taken in one by one: the batch result."""
+    raw = staging.early_filter(reviews_raw(spark, d))
+    inbox, store = new_folder(spark, "inbox"), new_folder(spark, "incremental")
+    parts = [
+        F.col("review_date") >= "1999-06-01",
+        (F.col("review_date") < "1999-06-01") & (F.col("review_date") >= "1997-01-01"),
+        (F.col("review_date") < "1997-01-01") | F.col("review_date").isNull(),
+    ]
+    state = new_folder(spark, "incremental_state")
+    for number, part in enumerate(parts):
+        raw.filter(part | (F.crc32(F.col("review_text").cast("binary")) % 7 == number)).write.parquet(f"{inbox}/{number}")
+        stream = incremental.read_review_stream(spark, f"{inbox}/*", raw.schema, "parquet")
+        incremental.incremental_reviews(stream, store, state).awaitTermination()
+    return incremental.stored_reviews(spark, store, raw.schema).drop("doc_id")

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from ..functions.lexicon import default_lexicon
 from ..operators.language import add_language
-from ..operators.sentiment import analyze_sentiment
+from ..operators.sentiment import ArabicModel, analyze_sentiment
 
 
 def enrich(
     cleaned: DataFrame, lexicon: DataFrame | None = None, model=None,
-    arabic_score: Column | None = None, text: str = "final_text", lowered: bool = True,
+    arabic_score: ArabicModel | None = None, text: str = "final_text", lowered: bool = True,
 ) -> DataFrame:
     """Both steps run in the stage that reads the reviews when the lexicon is short.
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
+from ..operators.sentiment import ArabicModel
 from ..operators.topics import extract_topics
 from ..sources.tables import read_table, write_replace, write_staging
 from . import reports
@@ -18,7 +19,7 @@ REPORTS = ("branch_performance", "sentiment_trends", "topic_analysis", "customer
 
 def refresh_reviews(
     raw: DataFrame, database: str, lexicon: DataFrame | None = None, language_model=None,
-    arabic_score: Column | None = None, topics: int | None = None, **topic_options,
+    arabic_score: ArabicModel | None = None, topics: int | None = None, **topic_options,
 ) -> DataFrame:
     """Clean, enrich and classify reviews; every step is a table the next one reads."""
     spark = raw.sparkSession

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.alerts import negative_spike_alert
-from ..operators.dedup import text_key
+from ..operators.dedup import dedup_reviews, preference, review_key
 
 
 def read_review_stream(
@@ -26,16 +27,42 @@ def read_review_stream(
     return reader.load(path)
 
 
-def incremental_reviews(reviews: DataFrame, ts: str, delay: str = "7 days") -> DataFrame:
-    """Drop repeats of a review that arrive within ``delay`` of its time.
+def incremental_reviews(reviews: DataFrame, store: str, checkpoint: str) -> StreamingQuery:
+    """Take in new reviews, whatever their dates; ``stored_reviews(store)`` is then the batch result.
 
-    Same key as the batch de-duplication.  State holds one hash per review, not
-    its text, and is dropped once the watermark has passed.
+    Every micro-batch is de-duplicated by the batch rule, and of the rest those rows are
+    stored that the rule prefers to all stored ones of their key.  The key is a hash, and
+    only keys and preferences of stored rows are read.  A replayed batch writes its own
+    folder again.
     """
-    norm = lambda c: F.coalesce(F.lower(F.trim(F.col(c).cast("string"))), F.lit("\u0000"))
-    parts = [norm(c) for c in ("bank_name", "branch_name", "review_text", "review_date")]
-    keyed = reviews.withColumn("__key", text_key(F.concat_ws("\u0001", *parts)))
-    return keyed.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["__key"]).drop("__key")
+
+    def take_in(batch: DataFrame, batch_id: int) -> None:
+        new = dedup_reviews(batch).withColumns({"key_hash": review_key(), "preference": preference()})
+        earlier = _stored(batch.sparkSession, store, new.schema).filter(F.col("batch_id") < batch_id)
+        held = earlier.select(F.col("key_hash").alias("k"), F.col("preference").alias("p"))
+        better = (F.col("key_hash") == F.col("k")) & (F.col("p") <= F.col("preference"))
+        new.join(held, better, "left_anti").write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+
+    return refresh_stream(reviews, take_in, checkpoint)
+
+
+def _stored(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
+    schema = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(schema).option("basePath", store).option("ignoreMissingFiles", True).parquet(store) if _exists(
+        spark, store) else spark.createDataFrame([], schema)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    except AnalysisException:
+        return False
+    return True
+
+
+def stored_reviews(spark: SparkSession, store: str, schema: T.StructType) -> DataFrame:
+    """One row per review of a store, with the columns of ``schema``: the same as ``dedup_reviews`` over all files."""
+    return dedup_reviews(_stored(spark, store, schema).drop("batch_id"))
 
 
 def alert_stream(

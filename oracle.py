@@ -477,12 +477,6 @@ GROUP BY 1, 2""")
 
 ONE_TOPIC = "(SELECT DISTINCT topic_id, topic_name FROM dim_topic) t ON f.topic_id = t.topic_id"
 
-INCREMENTAL = f"""
-SELECT DISTINCT {trim('bank_name')} AS bank_name, branch_name, review_date,
-  md5(lower({trim('review_text')})) AS text_md5
-FROM valid_raw WHERE review_date IS NOT NULL"""
-
-
 def build() -> dict[str, str]:
     enriched = lambda body: with_steps("enriched", body)
     sql = {
@@ -527,10 +521,12 @@ def build() -> dict[str, str]:
             WHEN ({hash_number('text', 0)} % 100) > 70
               THEN CASE WHEN lang IN ('fr', 'en') THEN lang ELSE 'other' END
             ELSE {by_indicators('text')} END AS language FROM documents""",
-        "analyze_sentiment": enriched(
-            "SELECT DISTINCT id, language, sentiment, sentiment_score FROM enriched"),
-        "sentiment_by_lexicon_join": enriched(
-            "SELECT DISTINCT id, language, sentiment, sentiment_score FROM enriched"),
+        "analyze_sentiment": enriched("SELECT id, language, sentiment, sentiment_score FROM enriched"),
+        "language_model_accuracy": f"""SELECT count(*) AS held_out, true AS accurate FROM documents
+            WHERE {hash_number('CAST(doc_id AS VARCHAR)', 0)} % 4 = 0""",
+        "sentiment_by_lexicon_join": enriched("SELECT id, language, sentiment, sentiment_score FROM enriched"),
+        "sentiment_row_route": enriched("SELECT id, language, sentiment, sentiment_score FROM enriched").replace(
+            "WHERE length(term) >= 3", "WHERE length(term) >= 3 AND substr(md5(term), 1, 1) < '4'"),
         "classify_polarity": f"""SELECT doc_id, {label('p')} AS sentiment,
             {exact_round('p', 3)} AS sentiment_score FROM (SELECT doc_id,
             CAST({hash_number('text', 1)} % 20001 - 10000 AS DOUBLE) / 10000 AS p FROM documents)""",
@@ -539,7 +535,9 @@ def build() -> dict[str, str]:
             count(*) FILTER (sentiment_score IS NULL) AS missing_scores,
             count(*) FILTER (sentiment = 'positive' AND sentiment_score < 0) AS positive_with_negative_score,
             count(*) FILTER (sentiment = 'negative' AND sentiment_score > 0) AS negative_with_positive_score
-            FROM enriched"""),
+            FROM (SELECT CASE WHEN turn = 1 THEN NULL WHEN turn = 2 THEN 'positive' WHEN turn = 3 THEN 'negative'
+              ELSE sentiment END AS sentiment, CASE WHEN turn <> 4 THEN sentiment_score END AS sentiment_score
+              FROM (SELECT *, CAST('0x' || substr(id, 1, 4) AS BIGINT) % 10 AS turn FROM enriched))"""),
         "language_profile": profile("language"),
         "sentiment_profile": profile("sentiment"),
         "topic_profile": profile("topic_name"),
@@ -575,11 +573,12 @@ def build() -> dict[str, str]:
             SELECT bank_name, count(*) AS review_count,
             {r(avg('sum(CAST(review_rating AS DECIMAL(4, 1)))', 'count(*)'))} AS avg_rating
             FROM staged GROUP BY 1"""),
-        "dq_not_null": with_steps("staged", """
-            SELECT 'id' AS column_name, count(*) FILTER (id IS NULL) AS null_count FROM staged
-            UNION ALL SELECT 'bank_name', count(*) FILTER (bank_name IS NULL) FROM staged"""),
-        "dq_unique": with_steps(
-            "staged", "SELECT id, count(*) AS row_count FROM staged GROUP BY 1 HAVING count(*) > 1"),
+        "dq_not_null": with_steps("reviews_raw", " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count FROM reviews_raw"
+            for c in ("bank_name", "review_date", "review_rating", "review_text"))),
+        "dq_unique": with_steps("reviews_raw", """
+            SELECT branch_name, count(*) AS row_count FROM reviews_raw WHERE branch_name IS NOT NULL
+            GROUP BY 1 HAVING count(*) > 1"""),
         "search_grid": search_grid(),
         "top_k_per_group": """SELECT doc_id, source, lang, n_chars, CAST(place AS INTEGER) AS place FROM (
             SELECT doc_id, source, lang, n_chars,
@@ -632,7 +631,7 @@ def build() -> dict[str, str]:
             FROM fact f JOIN {ONE_TOPIC} GROUP BY 1"""),
         "negative_spike_alert": alert(),
         "negative_spike_alert_stream": alert(),
-        "incremental_reviews": with_steps("valid_raw", INCREMENTAL),
+        "incremental_reviews": with_steps("deduped", "SELECT * EXCLUDE (doc_id) FROM deduped"),
     }
     for name in ("bank", "branch", "date", "location", "sentiment", "topic"):
         sql[f"dim_{name}"] = with_steps(f"dim_{name}", f"SELECT * FROM dim_{name}")

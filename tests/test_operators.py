@@ -199,16 +199,48 @@ class TestSentiment:
 
         df = spark.createDataFrame([("جيد جدا", "ar"), ("بطيء جدا", "ar"), ("good day", "en")],
                                    "final_text string, language string")
-        model = S.model_score(load)(F.col("final_text"))
+        model = S.model_score(load)
         got = values(S.analyze_sentiment(df, default_lexicon(spark), arabic_score=model), "language", "sentiment_score")
         assert got[:2] == [("ar", -0.8), ("ar", 0.9)]
 
         def broken():
             raise OSError("no model")
 
-        none = S.model_score(broken)(F.col("final_text"))
+        none = S.model_score(broken, on_missing="zero")
         got = S.analyze_sentiment(df.filter("language = 'ar'"), default_lexicon(spark), arabic_score=none)
         assert values(got, "sentiment", "sentiment_score") == [("neutral", 0.0)] * 2
+        with pytest.raises(Exception, match="no model"):
+            S.analyze_sentiment(df, default_lexicon(spark), arabic_score=S.model_score(broken)).collect()
+
+    def test_the_classifier_gets_arabic_texts_only(self, spark):
+        def load():
+            def classify(texts):
+                assert all("\u0600" <= t[0] <= "\u06ff" for t in texts), texts
+                return [("pos", 0.5)] * len(texts)
+
+            return classify
+
+        df = spark.createDataFrame([("جيد جدا", "ar"), ("good day", "en"), ("bon jour", "fr"), (None, "ar")],
+                                   "final_text string, language string")
+        for method in ("row", "join"):
+            got = S.analyze_sentiment(df, default_lexicon(spark), arabic_score=S.model_score(load), method=method)
+            assert values(got.filter("language = 'ar'"), "sentiment_score") == [(0.0,), (0.5,)]
+
+    def test_routes_agree_on_repeated_halfway_and_null_weights(self, spark):
+        lex = [("fr", "polarity", "mot", 0.5), ("fr", "polarity", "mot", -0.5), ("fr", "polarity", "demi", 0.10005),
+               ("fr", "polarity", "vide", None), (None, "polarity", "mot", 1.0), ("fr", "polarity", None, 1.0),
+               ("en", "intensity", "word", 2.00005), ("en", "polarity", "word", None), ("en", "intensity", "word", -3.0)]
+        df = spark.createDataFrame([("mot mot",  "fr"), ("demi", "fr"), ("vide mot demi", "fr"), ("word", "en"), ("none", "en")],
+                                   "final_text string, language string")
+        ddl = "lang string, source string, term string, weight double"
+        seen = set()
+        for rows in (lex, lex[::-1], lex[4:] + lex[:4]):
+            for method in ("row", "join"):
+                got = S.analyze_sentiment(df, spark.createDataFrame(rows, ddl), method=method)
+                seen.add(tuple(values(got, "final_text", "sentiment", "sentiment_score")))
+        assert len(seen) == 1
+        assert {r[0]: r[1] for r in seen.pop()} == {
+            "mot mot": "positive", "demi": "positive", "vide mot demi": "positive", "word": "positive", "none": "neutral"}
 
 
 class TestLanguageModel:

@@ -5,7 +5,6 @@ from opinara.operators.dedup import dedup_reviews
 from opinara.plans.staging import early_filter
 from opinara.schemas import REVIEW
 from opinara.sources.reviews import reviews_from_documents
-from opinara.sources.scratch import new_folder
 from opinara.streaming import incremental
 
 
@@ -14,32 +13,48 @@ def rows(spark, spec):
     return spark.createDataFrame(data, REVIEW)
 
 
-def test_repeats_across_files_are_dropped(spark, tmp_path):
-    inbox = str(tmp_path / "in")
-    rows(spark, [("2024-01-05", "Bon service"), ("2024-01-06", "lent")]).write.mode("append").json(inbox)
+def take_in(spark, inbox, store, state):
     stream = incremental.read_review_stream(spark, f"{inbox}/*.json", REVIEW, files_per_batch=1)
-    timed = stream.withColumn("ts", F.col("review_date").cast("timestamp"))
-    unique = incremental.incremental_reviews(timed, "ts", "7 days").drop("ts")
-    out, state = str(tmp_path / "out"), str(tmp_path / "state")
-    incremental.write_stream(unique, out, state).awaitTermination()
-    assert spark.read.schema(REVIEW).parquet(out).count() == 2
-    # A second run takes up where the first ended: the state knows the first review.
-    rows(spark, [("2024-01-05", " BON service"), ("2024-01-07", "parfait")]).write.mode("append").json(inbox)
-    incremental.write_stream(unique, out, state).awaitTermination()
-    got = values(spark.read.schema(REVIEW).parquet(out), "review_date", "review_text")
-    assert got == [("2024-01-05", "Bon service"), ("2024-01-06", "lent"), ("2024-01-07", "parfait")]
-
-
-def test_stream_keeps_as_many_reviews_as_the_batch(spark, sf_dir):
+    incremental.incremental_reviews(stream, store, state).awaitTermination()
+    return incremental.stored_reviews(spark, store, REVIEW)
+
+
+def test_old_undated_and_rated_reviews_are_kept(spark, tmp_path):
+    inbox, store, state = (str(tmp_path / x) for x in ("in", "store", "state"))
+    files = [
+        [("2024-06-05", "Bon service", None), ("2024-06-06", "lent", 2)],
+        [("2021-03-01", "vieux", 3), (None, "sans date", 4)],
+        [("2024-06-05", " BON service", 5), ("2023-01-01", "parfait", 5), (None, "sans date", None)],
+        [("2024-06-05", "bon service", None), ("2024-06-06", "lent", 2)],
+    ]
+    every = None
+    for i, spec in enumerate(files):
+        data = [("cih", "a", None, "x, Rabat", day, text, stars) for day, text, stars in spec]
+        new = spark.createDataFrame(data, REVIEW).coalesce(1)
+        new.write.mode("append").json(inbox)
+        every = new if every is None else every.union(new)
+        got = take_in(spark, inbox, store, state)
+        assert values(got) == values(dedup_reviews(every))
+    assert got.count() == 5
+    assert got.filter("review_rating = 5 AND review_date = '2024-06-05'").count() == 1
+    stored = spark.read.option("basePath", store).parquet(store)
+    assert stored.filter("batch_id = 3").count() == 0  # nothing in the last file is preferred
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    inbox, store = str(tmp_path / "in"), str(tmp_path / "store")
+    rows(spark, [("2024-01-05", "Bon service"), ("2024-01-06", "lent")]).write.json(inbox)
+    first = values(take_in(spark, inbox, store, str(tmp_path / "state")))
+    assert values(take_in(spark, inbox, store, str(tmp_path / "lost_state"))) == first
+
+
+def test_stream_equals_the_batch(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    dated = early_filter(reviews_from_documents(docs)).filter("review_date IS NOT NULL")
     stream = incremental.read_review_stream(spark, sf_dir, docs.schema, "parquet", glob="documents.parquet")
-    live = early_filter(reviews_from_documents(stream)).filter("review_date IS NOT NULL")
-    live = live.withColumn("ts", F.col("review_date").cast("timestamp"))
-    out = new_folder(spark, "test_incremental")
-    unique = incremental.incremental_reviews(live, "ts").select("doc_id")
-    incremental.write_stream(unique, out, new_folder(spark, "test_state")).awaitTermination()
-    assert spark.read.schema("doc_id bigint").parquet(out).count() == dedup_reviews(dated).count()
+    live, store = early_filter(reviews_from_documents(stream)), str(tmp_path / "store")
+    incremental.incremental_reviews(live, store, str(tmp_path / "state")).awaitTermination()
+    got = incremental.stored_reviews(spark, store, live.schema)
+    assert values(got) == values(dedup_reviews(early_filter(reviews_from_documents(docs))))
 
 
 def test_alert_stream_updates_windows(spark, tmp_path):
