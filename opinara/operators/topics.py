@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.topics import model_words, preprocess_for_topics, with_bigrams
 from ..functions.wordlists import TOPIC_RULES
 from ..sources.scratch import write_once
-from .dedup import top_k_per_group
+from .dedup import text_key, top_k_per_group
 from .keyed_join import join_unique
 
 # --- fixed values: model settings -------------------------------------------
@@ -40,18 +40,21 @@ def prepare_corpus(df: DataFrame, text: str = "final_text", **options) -> DataFr
     )
 
 
-def lemmatise(df: DataFrame, lemmas: DataFrame, tokens: str = "tokens", key: str = "id") -> DataFrame:
+def lemmatise(df: DataFrame, lemmas: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Replace tokens by their lemma from a table (token, lemma), keeping word order.
 
-    ``key`` is unique per row.
+    Of several lemmas of a token the first by name is used.  Rows are matched by their
+    tokens, so ids may repeat and equal rows are rewritten once.
     """
-    place = F.posexplode(tokens).alias("__pos", "token")
-    spelled = join_unique(df.select(key, place), lemmas.select("token", "lemma"), ["token"])
-    rebuilt = spelled.groupBy(key).agg(
+    one = lemmas.filter("token IS NOT NULL AND lemma IS NOT NULL").groupBy("token").agg(F.min("lemma").alias("lemma"))
+    keyed = df.withColumn("__tokens_key", text_key(F.concat_ws("\u0001", tokens)))
+    lists = keyed.filter(F.size(tokens) > 0).groupBy("__tokens_key").agg(F.first(tokens).alias(tokens))
+    spelled = join_unique(lists.select("__tokens_key", F.posexplode(tokens).alias("__pos", "token")), one, ["token"])
+    rebuilt = spelled.groupBy("__tokens_key").agg(
         F.sort_array(F.collect_list(F.struct("__pos", F.coalesce("lemma", "token").alias("t")))).alias("__seq")
-    ).select(key, F.transform("__seq", lambda s: s["t"]).alias(tokens))
-    empty = F.array().cast("array<string>")
-    return df.drop(tokens).join(rebuilt, key, "left").withColumn(tokens, F.coalesce(tokens, empty))
+    ).select("__tokens_key", F.transform("__seq", lambda s: s["t"]).alias("__lemmas"))
+    out = join_unique(keyed, write_once(rebuilt, "lemmas"), ["__tokens_key"])
+    return out.withColumn(tokens, F.coalesce("__lemmas", tokens)).select(*df.columns)
 
 
 def topic_terms(corpus: DataFrame, fold_accents: bool = False) -> DataFrame:
@@ -267,20 +270,21 @@ def merge_topics(original: DataFrame, assigned: DataFrame, key: str = "id") -> D
 def extract_topics(
     reviews: DataFrame, text: str = "final_text", k: int | None = None, search: bool = True,
     iterations: int = FINAL_ITERATIONS, search_iterations: int = SEARCH_ITERATIONS,
-    fold_accents: bool = False,
+    fold_accents: bool = False, lemmas: DataFrame | None = None,
 ) -> DataFrame:
     """The whole topic step: corpus, topic count, model, labels, assignment.
 
     Reviews are scored in place (those outside the corpus become Unclassified),
-    so no join by id is needed.
+    so no join by id is needed.  With ``lemmas(token, lemma)`` tokens are replaced first.
     """
-    corpus = topic_terms(prepare_corpus(reviews.select(text), text), fold_accents)
+    spelled = (lambda df: df) if lemmas is None else (lambda df: lemmatise(df, lemmas))
+    corpus = topic_terms(spelled(prepare_corpus(reviews.select(text), text)), fold_accents)
     corpus = write_once(corpus.select("terms"), "topic_corpus")
     if k is None and search:
         k = choose_topic_count(corpus, iterations=search_iterations)
     fitted = fit_topics(corpus, k, iterations)
     tokens = preprocess_for_topics(text)
-    prepared = topic_terms(reviews.withColumn("tokens", tokens), fold_accents)
+    prepared = topic_terms(spelled(reviews.withColumn("tokens", tokens)), fold_accents)
     inside = (F.length(text) >= MIN_TEXT_LENGTH) & (F.size("tokens") >= MIN_TOKENS)
     scored = assign_topics(prepared, fitted)
     columns = ["topic_id", "topic_name", "topic_confidence"]

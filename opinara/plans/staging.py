@@ -107,11 +107,16 @@ def cleaned_reviews(raw: DataFrame, **options) -> DataFrame:
     return text_selection(write_once(normal, "cleaned_reviews"))
 
 
-def staging(raw: DataFrame, processed_at: bool = True, **options) -> DataFrame:
-    """The whole cleaning chain from raw to cleaned reviews."""
+def staging(raw: DataFrame, processed_at: bool = True, order_columns: bool = False, **options) -> DataFrame:
+    """The whole cleaning chain from raw to cleaned reviews.
+
+    ``order_columns=True`` keeps the two columns that ``presentation_order`` reads.
+    """
     df = cleaned_reviews(raw, **options)
     rollup = write_once(bank_rollup(df), "bank_rollup")
-    out = impute(final_filter(df), rollup).drop("retention_percentage", "review_rating_clean")
+    out = impute(final_filter(df), rollup)
+    if not order_columns:
+        out = out.drop("retention_percentage", "review_rating_clean")
     return out.withColumn("processed_at", F.current_timestamp()) if processed_at else out
 
 

@@ -15,6 +15,10 @@ from .marts import (
 from .staging import staging
 
 REPORTS = ("branch_performance", "sentiment_trends", "topic_analysis", "customer_experience")
+SIMPLE_REPORTS = (
+    "reviews_by_sentiment_over_time", "sentiment_by_bank", "sentiment_by_topic", "volume_by_topic_sentiment",
+    "branch_ranking_in_bank", "topic_share",
+)
 
 
 def refresh_reviews(
@@ -45,9 +49,11 @@ def refresh_star(reviews: DataFrame, database: str) -> Star:
 
 
 def refresh_reports(star: Star, database: str, grain_safe: bool = True) -> None:
-    """Write the four reports."""
+    """Write all ten reports."""
     for name in REPORTS:
         write_replace(getattr(reports, name)(star, grain_safe), f"{database}.{name}")
+    for name in SIMPLE_REPORTS:
+        write_replace(getattr(reports, name)(star), f"{database}.{name}")
 
 
 def refresh(raw: DataFrame, database: str, grain_safe: bool = True, **options) -> Star:

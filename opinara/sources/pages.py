@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_relative_date
@@ -76,8 +77,12 @@ class _PageReader(HTMLParser):
         self.selectors = selectors
         self.page: dict[str, str] = {}
         self.reviews: list[dict] = []
-        # Open elements: tag, attributes, parts that collect its text, own review.
-        self.stack: list[tuple[str, dict, list, dict | None]] = []
+        # Open elements: tag, attributes, how many parts collect its text, own review.
+        self.stack: list[tuple[str, dict, int, dict | None]] = []
+        # The same by kind, so that no step looks through the whole stack.
+        self.open: Counter[str] = Counter()
+        self.collecting: list[tuple[dict, str]] = []
+        self.inside: list[dict] = []
 
     def _is(self, part: str, tag: str, attrs: dict) -> bool:
         for inner, *outer in self.selectors[part]:
@@ -95,11 +100,10 @@ class _PageReader(HTMLParser):
             if part not in self.page and self._is(part, tag, attrs):
                 self.page[part] = ""
                 collecting.append((self.page, part))
-        inside = [review for _, _, _, review in self.stack if review is not None]
-        if inside:
+        if self.inside:
             found = [p for p in self.REVIEW_PARTS if self._is(p, tag, attrs)]
             star = self._is("star", tag, attrs)
-            for review in inside:
+            for review in self.inside if found or star else ():
                 review["stars"] += star
                 for part in found:
                     if part not in review:
@@ -110,17 +114,25 @@ class _PageReader(HTMLParser):
             own = {"stars": 0}
             self.reviews.append(own)
         if tag not in _VOID:
-            self.stack.append((tag, attrs, collecting, own))
+            self.stack.append((tag, attrs, len(collecting), own))
+            self.open[tag] += 1
+            self.collecting += collecting
+            if own is not None:
+                self.inside.append(own)
 
     def handle_endtag(self, tag):
-        if any(t == tag for t, _, _, _ in self.stack):
-            while self.stack.pop()[0] != tag:
-                pass
+        while self.open[tag]:
+            top, _, collecting, own = self.stack.pop()
+            self.open[top] -= 1
+            del self.collecting[len(self.collecting) - collecting :]
+            if own is not None:
+                self.inside.pop()
+            if top == tag:
+                break
 
     def handle_data(self, data):
-        for _, _, collecting, _ in self.stack:
-            for owner, part in collecting:
-                owner[part] += data
+        for owner, part in self.collecting:
+            owner[part] += data
 
 
 def _page_rows(page_id, url, html, selectors) -> list[tuple]:
@@ -161,17 +173,18 @@ def branch_name(name, location):
 
 
 def page_reviews_to_raw(
-    found: DataFrame, bank: str, city: str, as_of: str, per_branch: int = 10
+    found: DataFrame, bank: Column | str, city: Column | str, as_of: str, per_branch: int | None = None
 ) -> DataFrame:
     """Raw review rows from page reviews: defaults, composed names, dates, limits.
 
-    ``bank`` and ``city`` are what was searched for; they stand in for a missing
-    name and address.  The first ``per_branch`` blocks of a page are used, and of
-    these the ones with a text or a rating.
+    ``bank`` and ``city`` are what was searched for, as texts or as columns; they stand in
+    for a missing name and address.  All blocks of a page are used, or the first ``per_branch``, and
+    of these the ones with a text or a rating.
     """
-    first = top_k_per_group(found, ["page_id"], [F.col("position")], per_branch)
-    name = F.coalesce("name", F.lit(bank))
-    place = F.coalesce("address", F.concat(F.lit(city), F.lit(" - Localisation inconnue")))
+    first = found if per_branch is None else top_k_per_group(found, ["page_id"], [F.col("position")], per_branch)
+    bank, city = (F.lit(x) if isinstance(x, str) else x for x in (bank, city))
+    name = F.coalesce("name", bank)
+    place = F.coalesce("address", F.concat(city, F.lit(" - Localisation inconnue")))
     return keep_informative(first.select(
         name.alias("bank_name"), branch_name(name, place).alias("branch_name"),
         F.col("rating").alias("bank_rating"), place.alias("bank_location"),

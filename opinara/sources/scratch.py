@@ -28,7 +28,7 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark)}/opinara/{label}-{uuid.uuid4().hex}"
 
 
-def write_once(df: DataFrame, label: str, cluster_by: list[str] | None = None) -> DataFrame:
+def write_once(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     Readers get column pruning, filter push-down and real size statistics, and
@@ -36,8 +36,6 @@ def write_once(df: DataFrame, label: str, cluster_by: list[str] | None = None) -
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    if cluster_by:
-        df = df.sortWithinPartitions(*cluster_by)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -123,3 +123,25 @@ def test_spread_leaves_wide_inputs_alone(spark):
     wide = spark.range(0, 100, 1, 16)
     assert scratch.spread(wide, "id") is wide
     assert scratch.spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_many_unclosed_tags_take_linear_time(spark):
+    import time
+
+    from opinara.sources.pages import _PageReader, _compile
+
+    selectors = {p: [_compile(x)] for p, x in (
+        ("name", "h1"), ("address", "h2"), ("rating", "h3"), ("review", "article"), ("date", "b"), ("text", "p"), ("star", "i"))}
+    reader = _PageReader(selectors)
+    start = time.perf_counter()
+    reader.feed("<div>x</em>" * 60_000 + "<article><p>good</p></article>")
+    reader.close()
+    assert time.perf_counter() - start < 20
+    assert [r["text"] for r in reader.reviews] == ["good"]
+
+
+def test_bank_and_city_of_the_search_are_columns(spark):
+    found = pages.pages_to_reviews(
+        spark.createDataFrame([(1, "u", "<x>")], "page_id long, url string, html string").limit(0))
+    searched = found.withColumns({"bank": F.lit("CIH"), "town": F.lit("Rabat")})
+    assert pages.page_reviews_to_raw(searched, F.col("bank"), F.col("town"), "2024-03-31").count() == 0

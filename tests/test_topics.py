@@ -109,3 +109,9 @@ def test_lemmas_keep_word_order(spark):
     df = spark.createDataFrame(rows, "id string, tokens array<string>")
     lemmas = spark.createDataFrame([("cartes", "carte")], "token string, lemma string")
     assert values(T.lemmatise(df, lemmas), "id", "tokens") == [("1", ["carte", "perdues", "carte"]), ("2", [])]
+
+
+def test_lemmas_with_repeated_ids_and_several_lemmas(spark):
+    df = spark.createDataFrame([("1", ["cartes", "x"]), ("1", ["y", "cartes"]), ("1", ["y", "cartes"])], "id string, tokens array<string>")
+    lemmas = spark.createDataFrame([("cartes", "carte"), ("cartes", "quarte"), ("x", None), (None, "z")], "token string, lemma string")
+    assert values(T.lemmatise(df, lemmas), "tokens") == [(["carte", "x"],), (["y", "carte"],), (["y", "carte"],)]
