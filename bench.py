@@ -20,6 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from opinara.plans import catalog  # noqa: E402
+from opinara.session import configure  # noqa: E402
 
 HEADLINE = [
     "clean_text_basic", "normalize_text", "text_metrics", "dedup_reviews", "staging_reviews_cleaned",
@@ -36,15 +37,13 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     wanted = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or HEADLINE
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName("opinara-bench")
-        .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "12g")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    spark = configure(builder, initial_partitions=int(cpus)).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
 
     def timed(action) -> float:
