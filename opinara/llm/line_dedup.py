@@ -143,10 +143,10 @@ def remove_repeated(docs: DataFrame, min_words: int = 50) -> DataFrame:
     table = write_once(
         keyed.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text_hash", "text")
         .mapInArrow(cut, "doc_id long, text_hash long, hashes array<long>, words array<long>").dropDuplicates(key), "lines")
-    first = (
+    first = write_once(
         table.select(*key, F.explode(F.array_distinct("hashes")).alias("hash"))
-        .groupBy("hash").agg(F.min(F.struct(*key)).alias("first"), F.count("*").alias("n")).filter("n > 1").select("hash", "first")
-    )
+        .groupBy("hash").agg(F.min(F.struct(*key)).alias("first"), F.count("*").alias("n")).filter("n > 1").select("hash", "first"),
+        "first_lines")  # its own table: a line of very many documents can then be split in the join
     places = table.select(*key, F.posexplode(F.arrays_zip("hashes", "words")).alias("place", "x"))
     known = (
         places.select(*key, "place", F.col("x.hashes").alias("hash"), F.col("x.words").alias("words")).join(first, "hash")

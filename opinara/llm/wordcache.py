@@ -50,6 +50,13 @@ def remainder(doc_id: str, n: int) -> Column:
 
 
 def bounded_sample(ids: DataFrame, by: str, rows: int) -> DataFrame:
-    """At most ``rows`` of ``ids`` for each value of ``by``, in a hashed order of ``doc_id``."""
+    """At most ``rows`` of ``ids`` for each value of ``by``, in a hashed order of ``doc_id``.
+
+    Rows far behind in that order are left out first, by the counts of the values, so a
+    value of very many rows brings about ``2 * rows`` of them together.
+    """
+    counts = ids.groupBy(by).agg(F.count("*").alias("rows_of_value"))
+    place = F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5
+    near = ids.join(counts, by).filter(place * F.col("rows_of_value") <= 2.0 * rows + 100).drop("rows_of_value")
     window = Window.partitionBy(by).orderBy(F.xxhash64("doc_id"), "doc_id")
-    return ids.withColumn("nth", F.row_number().over(window)).filter(F.col("nth") <= rows).drop("nth")
+    return near.withColumn("nth", F.row_number().over(window)).filter(F.col("nth") <= rows).drop("nth")
