@@ -1,20 +1,22 @@
-"""Removal of passages that an earlier document already has, by pairwise alignment.
+"""Removal of passages that an earlier document already has.
 
-A line is a line of the text, cut further after sentence ends so that passages inside long
-lines are seen too.  A document whose consecutive lines all occur in earlier documents, with
-enough words, is aligned by patience diff with the first document of each of these lines; the
-rarest line of a passage leads to the passage's first document.  Blocks of consecutive aligned
-lines with at least ``min_words`` words are deleted from the later document.
+A passage is any run of ``min_words`` or more words, wherever it begins or ends in a line.  Every
+run of exactly ``min_words`` words is looked up by hash, and deleted from a document when a
+document of smaller doc_id has it too.  A longer passage is the union of such runs, so none is
+lost, whichever documents share its parts and however often any of them repeats it.
 
-Lines meet by hash, with counts combined before the shuffle.  A line of very many documents
-adds one pair per document, never pairs among them, and only arrays of hashes are moved to
-be aligned.
+Two steps keep this small.  Each run is marked by the smallest hash among the half-runs in it;
+neighbouring runs mostly share their mark, and equal runs have equal marks, so only runs whose mark
+stands in two different texts are looked up.  Counts are combined before every shuffle, a run of
+very many documents meets one row, and documents are never paired.  Runs are compared by 64-bit
+hashes.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import write_once
 from . import words as W
+from .winnowing import _bit_set, _places
 
 
 def lines(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -117,95 +120,147 @@ def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int)
     return found
 
 
-_ADDED = ("text_hash", "gone", "lines", "lines_removed", "words_removed")
+class Runs(NamedTuple):
+    """Words of texts laid end to end, and of every run inside a text: its first word, hash, and mark."""
 
+    words: W.Words
+    first: np.ndarray
+    hash: np.ndarray
+    mark: np.ndarray
 
-def remove_repeated(docs: DataFrame, min_words: int = 50) -> DataFrame:
-    """``docs`` with repeated passages deleted from ``text``, and ``lines, lines_removed, words_removed``.
 
-    The later document is that of the larger doc_id; rows of one doc_id are not compared with
-    each other, and rows without one stay whole.  Null stays null, a text that loses all its
-    lines becomes empty.  Texts with fewer than ``min_words`` words in common blocks stay as they are.
+def runs(texts: list[str], min_words: int) -> Runs:
+    words = W.split(texts, lower=False)
+    n, half = len(words.hash) - min_words + 1, max(1, min_words // 2)
+    if n <= 0:
+        return Runs(words, np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64))
+    at = np.arange(len(words.hash) - half + 1)
+    mark, width, window = W.run_hashes(words.hash, at, at + half), 1, min_words - half + 1
+    while width < window:
+        step = min(width, window - width)
+        mark, width = np.minimum(mark[:-step], mark[step:]), width + step
+    first = np.flatnonzero(words.text[:n] == words.text[min_words - 1 :])
+    return Runs(words, first, W.run_hashes(words.hash, first, first + min_words), mark[first])
+
+
+def cut(text: str, first: list[int], min_words: int) -> tuple[int, int, int, str]:
+    """Lines, lines of which all words go, words that go, and the text without the runs that begin at words ``first``.
+
+    Blanks after a word go with it, and those before the first word of the text with that one.
     """
-    docs = docs.drop(*_ADDED)  # new columns replace any of their names
-    key = ["doc_id", "text_hash"]
-    keyed = docs.withColumn("text_hash", F.xxhash64("text"))
+    begin, end, _, _ = lines(text)
+    if not first:
+        return len(begin), 0, 0, text
+    start = W.split([text], lower=False).start
+    edges = np.zeros(len(start) + 1, np.int64)
+    np.add.at(edges, first, 1)
+    np.add.at(edges, np.array(first) + min_words, -1)
+    gone = np.cumsum(edges[:-1]) > 0
+    before = np.concatenate([[0], np.cumsum(gone)])
+    low, high = np.searchsorted(start, begin), np.searchsorted(start, end)
+    whole = (high > low) & (before[high] - before[low] == high - low)
+    start[0] = 0
+    turns = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=np.int8(1), append=np.int8(1)))
+    places = np.append(start, len(text))[turns].tolist()
+    kept = "".join(text[a:b] for a, b in zip(places[::2], places[1::2]))
+    return len(begin), int(whole.sum()), int(gone.sum()), kept
+
+
+_ADDED = ("text_hash", "gone", "copy", "lines", "lines_removed", "words_removed")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [lines(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("text_hash"),
-                pa.array([x[2].view(np.int64) for x in found], pa.list_(pa.int64())),
-                pa.array([x[3] for x in found], pa.list_(pa.int64())),
-            ], ["doc_id", "text_hash", "hashes", "words"])
-
-    table = write_once(
-        keyed.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text_hash", "text")
-        .mapInArrow(cut, "doc_id long, text_hash long, hashes array<long>, words array<long>").dropDuplicates(key), "lines")
-    first = write_once(
-        table.select(*key, F.explode(F.array_distinct("hashes")).alias("hash"))
-        .groupBy("hash").agg(F.min(F.struct(*key)).alias("first"), F.count("*").alias("n")).filter("n > 1").select("hash", "first"),
-        "first_lines")  # its own table: a line of very many documents can then be split in the join
-    places = table.select(*key, F.posexplode(F.arrays_zip("hashes", "words")).alias("place", "x"))
-    known = (
-        places.select(*key, "place", F.col("x.hashes").alias("hash"), F.col("x.words").alias("words")).join(first, "hash")
-        .filter(F.col("first.doc_id") < F.col("doc_id")).groupBy(*key)
-        .agg(F.sort_array(F.collect_list(F.struct("place", "words", F.col("first.doc_id").alias("d"), F.col("first.text_hash").alias("h")))).alias("known"))
-    )
 
-    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def repeated_runs(keyed: DataFrame, min_words: int) -> DataFrame:
+    """``doc_id, text_hash, gone``: for every text its smallest doc_id, and the first words of the runs an earlier document has."""
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                mine, run, size, last = set(), set(), 0, -2
-                for x in [*row["known"], {"place": -9, "words": 0, "d": None, "h": None}]:
-                    if x["place"] != last + 1:
-                        if size >= min_words:
-                            mine |= run
-                        run, size = set(), 0
-                    run.add((x["d"], x["h"]))
-                    size += x["words"]
-                    last = x["place"]
-                out += [(row["doc_id"], row["text_hash"], d, h) for d, h in mine]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 4)], ["doc_id", "text_hash", "d", "h"])
+            hashes = batch.column("text_hash").to_numpy()
+            for at, texts in W.groups(batch.column("text").to_pylist()):
+                found = runs(texts, min_words)
+                text, new = found.words.text[found.first], np.ones(len(found.first), bool)
+                new[1:] = (found.mark[1:] != found.mark[:-1]) | (text[1:] != text[:-1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.mark[new].view(np.int64)), pa.array(hashes[at + text[new]])], ["key", "text_hash"])
 
-    pairs = write_once(known.mapInArrow(partners, "doc_id long, text_hash long, d long, h long"), "line_pairs")
-    earlier = table.select(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), F.col("hashes").alias("earlier"))
+    spark = keyed.sparkSession
+    marked = write_once(
+        keyed.select("text_hash", "text").mapInArrow(marks, "key long, text_hash long")
+        .groupBy("key").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("b")).filter("a < b").select("key"), "marks")
+    bits, filled = _bit_set(marked)
+    shared = spark.sparkContext.broadcast(filled)
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        present = shared.value
         for batch in batches:
-            out = [common_blocks(r["earlier"], r["hashes"], r["words"], min_words) for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "text_hash", "gone"])
+            ids, hashes = batch.column("doc_id").to_numpy(), batch.column("text_hash").to_numpy()
+            for at, texts in W.groups(batch.column("text").to_pylist()):
+                found = runs(texts, min_words)
+                there = np.ones(len(found.first), bool)
+                for place in _places(found.mark, bits):
+                    there &= (present[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+                first = found.first[there]
+                owner, sizes = np.unique(found.words.text[first], return_counts=True)
+                bounds = W.offsets(found.words, len(texts))
+                ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(ids[at + owner]), pa.array(hashes[at + owner]),
+                    pa.ListArray.from_arrays(ends, pa.array((first - np.repeat(bounds[owner], sizes)).astype(np.int32))),
+                    pa.ListArray.from_arrays(ends, pa.array(found.hash[there].view(np.int64))),
+                ], ["doc_id", "text_hash", "first", "hashes"])
 
-    gone = (
-        pairs.join(earlier, ["d", "h"]).join(table, key).select(*key, "hashes", "words", "earlier")
-        .mapInArrow(compare, "doc_id long, text_hash long, gone array<int>").filter(F.size("gone") > 0)
-        .groupBy(*key).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+    looked = write_once(
+        keyed.select("doc_id", "text_hash", "text")
+        .mapInArrow(look_up, "doc_id long, text_hash long, first array<int>, hashes array<long>"), "runs")
+    holder = write_once(
+        looked.select("doc_id", F.explode("hashes").alias("hash")).groupBy("hash")
+        .agg(F.min("doc_id").alias("holder"), F.max("doc_id").alias("last")).filter("holder < last").select("hash", "holder"),
+        "first_runs")  # its own table: a run of very many documents can then be split in the join
+    # the first document of every text; its later copies go whole and need no look-up
+    texts = keyed.groupBy("text_hash").agg(F.min("doc_id").alias("doc_id"))
+    own = looked.join(texts, ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    met = (
+        own.select("doc_id", "text_hash", F.inline(F.arrays_zip("first", F.col("hashes").alias("hash"))))
+        .join(holder, "hash").filter("holder < doc_id")
+        .groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list("first")).alias("gone"))
     )
-    removed = F.aggregate("gone", F.lit(0).cast("long"), lambda total, i: total + F.get("words", i))
-    gone = table.join(gone, key, "left").select(
-        *key, F.size("hashes").cast("long").alias("lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("lines_removed"),
-        F.coalesce(removed, F.lit(0).cast("long")).alias("words_removed"), "gone")
+    return texts.join(met, ["doc_id", "text_hash"], "left").select("doc_id", "text_hash", "gone")
+
+
+def remove_repeated(docs: DataFrame, min_words: int = 50) -> DataFrame:
+    """``docs`` with repeated passages deleted from ``text``, and ``lines, lines_removed, words_removed``.
+
+    Every run of ``min_words`` words that a document of smaller doc_id has is deleted, also inside lines.
+    Words are parted by blanks and compared as written.  Rows of one doc_id are not compared with
+    each other, and rows without one stay whole.  Null stays null, a text that loses all its
+    words becomes empty.  ``lines_removed`` counts lines that lose all their words.
+    """
+    docs = docs.drop(*_ADDED)  # new columns replace any of their names
+    keyed = docs.withColumn("text_hash", F.xxhash64("text"))
+    known = repeated_runs(
+        keyed.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text_hash", "text"),
+        min_words).withColumn("copy", F.lit(False))
     others = [c for c in docs.columns if c != "text"]
     counts = ["lines", "lines_removed", "words_removed"]
 
     def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for n, places in enumerate(batch.column("gone").to_pylist()):
-                if places:
-                    dropped, (begin, end, _, _) = set(places), lines(texts[n])
-                    texts[n] = "".join(texts[n][a:b] for i, (a, b) in enumerate(zip(begin.tolist(), end.tolist())) if i not in dropped)
+            rows = []
+            for text, gone, copy in zip(*(batch.column(c).to_pylist() for c in ("text", "gone", "copy"))):
+                if text is None:
+                    rows.append((0, 0, 0, None))
+                    continue
+                if copy:
+                    gone = range(len(W.split([text], lower=False).start) - min_words + 1)
+                rows.append(cut(text, list(gone or ()), min_words))
+            out = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in [*others, *counts]), pa.array(texts, pa.string())], [*others, *counts, "text"])
+                [*(batch.column(c) for c in others), *(pa.array(x, pa.int64()) for x in out[:3]), pa.array(out[3], pa.string())],
+                [*others, *counts, "text"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
     # the other side has a row for every text: both are shuffled at any size
-    joined = keyed.join(write_once(gone, "lines_gone").hint("merge"), key, "left")
-    zero = {c: F.coalesce(c, F.lit(0).cast("long")) for c in counts}
-    out = joined.withColumns(zero).select(*others, *counts, "text", "gone").mapInArrow(
+    joined = keyed.join(write_once(known, "runs_gone").hint("merge"), ["doc_id", "text_hash"], "left")
+    copy = F.coalesce("copy", F.col("text").isNotNull() & F.col("doc_id").isNotNull()).alias("copy")
+    out = joined.select(*others, "text", "gone", copy).mapInArrow(
         delete, f"{kinds}, lines long, lines_removed long, words_removed long, text string")
     return out.select(*docs.columns, *counts)

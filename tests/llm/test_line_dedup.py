@@ -70,3 +70,25 @@ def test_odd_rows(make_docs):
     same = [(1, "x y. " * 60), (1, "x y. " * 60), (2, "x y. " * 60), (2, None)]
     got = sorted((r["doc_id"], r["text"] or "") for r in L.remove_repeated(make_docs(same)).collect())
     assert got == [(1, same[0][1]), (1, same[0][1]), (2, ""), (2, "")]
+
+
+def kept_words(texts, min_words):
+    """Words left of every text, by comparing all runs with those of all earlier texts."""
+    seen, out = set(), []
+    for text in texts:
+        words = text.split()
+        runs = [tuple(words[i : i + min_words]) for i in range(len(words) - min_words + 1)]
+        gone = {i + k for i, run in enumerate(runs) if run in seen for k in range(min_words)}
+        seen |= set(runs)
+        out.append([w for i, w in enumerate(words) if i not in gone])
+    return out
+
+
+def test_passages_of_lines_that_each_occurred_earlier(make_docs):
+    rng = random.Random(5)
+    parts = [sentence(rng) for _ in range(6)]
+    texts = ["\n".join(parts[:3]), "\n".join(parts[3:])]
+    texts += ["\n".join([sentence(rng), *parts, sentence(rng)]) for _ in range(30)]
+    rows = sorted(L.remove_repeated(make_docs(texts)).collect())
+    assert [r["words_removed"] for r in rows] == [0, 0, 0] + [72] * 29
+    assert all(r["lines_removed"] == 6 and len(r["text"].split()) == 24 for r in rows[3:])
