@@ -92,3 +92,13 @@ def test_passages_of_lines_that_each_occurred_earlier(make_docs):
     rows = sorted(L.remove_repeated(make_docs(texts)).collect())
     assert [r["words_removed"] for r in rows] == [0, 0, 0] + [72] * 29
     assert all(r["lines_removed"] == 6 and len(r["text"].split()) == 24 for r in rows[3:])
+
+
+def test_a_document_that_repeats_its_own_passage(make_docs):
+    rng = random.Random(6)
+    p = [sentence(rng) for _ in range(6)]
+    x, y, z, u, v, w = ([sentence(rng)] for _ in range(6))
+    texts = ["\n".join(t) for t in (x + p + y + p + z, u + p + v, w + p + p + u[:0] + v[:0], p)]
+    rows = sorted(L.remove_repeated(make_docs(texts)).collect())
+    assert [r["words_removed"] for r in rows] == [0, 72, 144, 72]
+    assert rows[1]["text"].split() == "\n".join(u + v).split() and rows[2]["text"].split() == w[0].split()
