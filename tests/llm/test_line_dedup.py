@@ -102,3 +102,28 @@ def test_a_document_that_repeats_its_own_passage(make_docs):
     rows = sorted(L.remove_repeated(make_docs(texts)).collect())
     assert [r["words_removed"] for r in rows] == [0, 72, 144, 72]
     assert rows[1]["text"].split() == "\n".join(u + v).split() and rows[2]["text"].split() == w[0].split()
+
+
+def test_passages_that_begin_and_end_inside_lines(make_docs):
+    rng = random.Random(7)
+    word = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    inside, bare = sentence(rng, 60).rstrip("."), word(55)
+    texts = []
+    for _ in range(2):
+        texts.append(" ".join([*word(9), *inside.split(), *word(9)]) + ". " + sentence(rng))
+        texts.append(" ".join([*word(30), *bare, *word(30)]))
+        texts.append(" ".join([*word(5), *bare[:49], *word(5)]))  # one word less than a passage
+    rows = sorted(L.remove_repeated(make_docs(texts)).collect())
+    assert [r["words_removed"] for r in rows] == [0, 0, 0, 60, 55, 0]
+    assert rows[3]["lines_removed"] == 0 and rows[4]["text"].split() == [w for w in texts[4].split() if w not in bare]
+
+
+def test_equals_comparing_all_runs(make_docs):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    texts += [texts[3], "  " + texts[5] + "\n", *(" ".join(rng.sample(texts, 2)) for _ in range(10))]
+    for n in (1, 2, 5, 8):
+        rows = sorted(L.remove_repeated(make_docs(texts), n).collect())
+        want = kept_words(texts, n)
+        assert [r["text"].split() for r in rows] == want
+        assert [r["words_removed"] for r in rows] == [len(t.split()) - len(w) for t, w in zip(texts, want)]
