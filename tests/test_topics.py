@@ -115,3 +115,18 @@ def test_lemmas_with_repeated_ids_and_several_lemmas(spark):
     df = spark.createDataFrame([("1", ["cartes", "x"]), ("1", ["y", "cartes"]), ("1", ["y", "cartes"])], "id string, tokens array<string>")
     lemmas = spark.createDataFrame([("cartes", "carte"), ("cartes", "quarte"), ("x", None), (None, "z")], "token string, lemma string")
     assert values(T.lemmatise(df, lemmas), "tokens") == [(["carte", "x"],), (["y", "carte"],), (["y", "carte"],)]
+
+
+def test_registered_query_runs_the_whole_step(monkeypatch):
+    from opinara.plans import catalog
+
+    calls = []
+    monkeypatch.setattr(catalog, "staged", lambda spark, d: "reviews")
+    monkeypatch.setattr(catalog.topics, "extract_topics", lambda *a, **options: calls.append((a, options)) or _Frame())
+    catalog.QUERIES["assign_topics"](None, "")
+    assert calls == [(("reviews",), {})]  # all defaults: the search and 50 iterations
+
+
+class _Frame:
+    def select(self, *columns):
+        return self
