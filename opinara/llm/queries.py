@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.scratch import new_folder
-from . import jaccard_join, kneser_ney, language_id, licenses, line_dedup, packing, simple8b, spotsigs, tokens, toxicity, winnowing, wordcache
+from . import (
+    alignment, circulant_minhash, jaccard_join, kneser_ney, language_id, lexical_search, licenses, line_dedup, packing, simple8b, spotsigs,
+    tokens, toxicity, winnowing, wordcache,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -176,3 +179,53 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = kneser_ney.perplexity_table(documents(spark, sf_dir), ~held_out)
     return scores.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir))
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical_search.ranked(documents(spark, sf_dir), benchmark, k=10)
+
+
+ORACLE_SQL["op12_lexical_search"] = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), s AS (SELECT count(*) AS nd, CAST(sum(len(w)) AS BIGINT) AS nt FROM d WHERE len(w) > 0),
+i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), t AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM i) GROUP BY r, term
+), f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+p AS (
+  SELECT t.r, t.term, CAST(floor(1000 * ln((2 * nd + 2) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * len(w) * nd) // nt)))) AS part
+  FROM t JOIN f USING (term) JOIN d USING (r), s
+), c AS (
+  SELECT item_id, r, CAST(sum(part) AS BIGINT) AS score FROM i JOIN p USING (term) GROUP BY item_id, r
+), k AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM c JOIN d USING (r) WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+
+@query
+def op13_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant_minhash.near_duplicates(documents(spark, sf_dir))
+
+
+ORACLE_SQL["op13_circulant_minhash"] = (
+    "SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM ("
+    + ORACLE_SQL["op3_token_group_join"].replace("least(5,", "least(3,").replace("80 *", "85 *") + ")")

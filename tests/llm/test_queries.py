@@ -21,4 +21,4 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in queries.QUERIES) == list(range(1, 14))
