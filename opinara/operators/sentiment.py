@@ -40,10 +40,14 @@ MAX_WEIGHTS = 64
 
 
 def classify_polarity(polarity: Column | str) -> tuple[Column, Column]:
-    """(label, score): label from the exact value, score rounded to three decimals."""
-    p = _col(polarity)
-    label = F.when(p > POSITIVE_ABOVE, "positive").when(p < NEGATIVE_BELOW, "negative").otherwise("neutral")
-    return label, F.round(p, 3)
+    """(label, score): label from the value with nine decimals, score from the same rounded to three.
+
+    A double like -0.057499999999999996 stands for a half and is read as one.
+    """
+    p = _col(polarity).cast("decimal(18,9)")
+    above, below = F.lit(str(POSITIVE_ABOVE)).cast("decimal(18,9)"), F.lit(str(NEGATIVE_BELOW)).cast("decimal(18,9)")
+    label = F.when(p > above, "positive").when(p < below, "negative").otherwise("neutral")
+    return label, F.round(p, 3).cast("double")
 
 
 def effective_language(language: Column | None, text: Column, lowered: bool = False) -> Column:

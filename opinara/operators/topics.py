@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.topics import model_words, preprocess_for_topics, with_bigrams
@@ -29,6 +30,8 @@ DOC_TOPIC_PRIOR, TOPIC_WORD_PRIOR, SEED = 0.1, 0.01, 42
 MIN_TOPICS, MAX_TOPICS = 3, 15
 FLAT_STEP_PCT = 5.0
 TOP_WORDS, LABEL_WORDS = 10, 5
+# Candidate counts fitted at once; a curve is not judged on fewer points.
+AT_ONCE, LEAST_POINTS = 3, 3
 
 
 def prepare_corpus(df: DataFrame, text: str = "final_text", **options) -> DataFrame:
@@ -62,18 +65,12 @@ def topic_terms(corpus: DataFrame, fold_accents: bool = False) -> DataFrame:
     return corpus.withColumn("terms", with_bigrams(model_words("tokens", fold_accents)))
 
 
-def topic_vocabulary(
-    corpus: DataFrame, max_df: float = FINAL_MAX_DF, min_df: int = FINAL_MIN_DF,
-    max_features: int = MAX_FEATURES, documents: int | None = None,
-) -> DataFrame:
-    """(term, term_count, doc_count) of the most frequent terms.
+def term_counts(corpus: DataFrame, min_df: int = FINAL_MIN_DF) -> DataFrame:
+    """(term, term_count, doc_count) of all terms in at least ``min_df`` documents.
 
-    Terms in more than ``max_df`` of the documents or in fewer than ``min_df``
-    are left out.  Counts are reduced map-side; ties go to the smaller term.
-    Terms are sorted inside each document, so that the first of equal ones can
-    count the document while all of them count the term.
+    Counts are reduced map-side.  Terms are sorted inside each document, so that the first
+    of equal ones can count the document while all of them count the term.
     """
-    total = corpus.count() if documents is None else documents
     own = corpus.select(F.sort_array("terms").alias("__own"))
     before = F.concat(F.array(F.lit(None).cast("string")), F.slice("__own", 1, F.size("__own") - 1))
     first = F.zip_with(
@@ -83,20 +80,50 @@ def topic_vocabulary(
     counts = own.filter(F.size("__own") > 0).select(F.inline(first)).groupBy("term").agg(
         F.count("*").alias("term_count"), F.sum("first").alias("doc_count")
     )
-    kept = counts.filter(F.col("doc_count").between(min_df, math.floor(max_df * total + 1e-9)))
+    return counts.filter(F.col("doc_count") >= min_df)
+
+
+def vocabulary_of(
+    counts: DataFrame, documents: int, max_df: float = FINAL_MAX_DF, min_df: int = FINAL_MIN_DF,
+    max_features: int = MAX_FEATURES,
+) -> DataFrame:
+    """The most frequent of counted terms.
+
+    Terms in more than ``max_df`` of the documents or in fewer than ``min_df`` are left
+    out; ties go to the smaller term.
+    """
+    kept = counts.filter(F.col("doc_count").between(min_df, math.floor(max_df * documents + 1e-9)))
     return kept.orderBy(F.col("term_count").desc(), "term").limit(max_features)
 
 
-def vectorise(corpus: DataFrame, vocabulary: list[str]) -> DataFrame:
+def topic_vocabulary(
+    corpus: DataFrame, max_df: float = FINAL_MAX_DF, min_df: int = FINAL_MIN_DF,
+    max_features: int = MAX_FEATURES, documents: int | None = None,
+) -> DataFrame:
+    """(term, term_count, doc_count) of the vocabulary of a corpus."""
+    total = corpus.count() if documents is None else documents
+    return vocabulary_of(term_counts(corpus, min_df), total, max_df, min_df, max_features)
+
+
+def vectorise(corpus: DataFrame, vocabulary: list[str], features: str = "features") -> DataFrame:
     """Add ``features``: sparse term counts over the vocabulary."""
-    model = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="terms", outputCol="features")
+    model = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="terms", outputCol=features)
     return model.transform(corpus)
 
 
-def _vocabulary_list(corpus: DataFrame, max_df: float, min_df: int, max_features: int) -> list[str]:
-    """The vocabulary as a list: at most ``max_features`` terms reach the driver."""
-    rows = topic_vocabulary(corpus, max_df, min_df, max_features).select("term").collect()
-    return sorted(r["term"] for r in rows)
+def vector_rows(vectors: DataFrame, vocabulary: list[str], features: str = "features") -> DataFrame:
+    """Sparse vectors as rows: all other columns, ``term`` and ``count`` of every entry."""
+    names = F.array(*[F.lit(v) for v in vocabulary])
+    inner = F.unwrap_udt(features)
+    entries = F.arrays_zip(inner["indices"].alias("i"), inner["values"].alias("v"))
+    others = [c for c in vectors.columns if c != features]
+    return vectors.select(*others, F.explode(entries).alias("__e")).select(
+        *others, F.element_at(names, F.col("__e.i") + 1).alias("term"), F.col("__e.v").cast("bigint").alias("count"))
+
+
+def _listed(vocabulary: DataFrame) -> list[str]:
+    """A vocabulary as a list: at most its ``max_features`` terms reach the driver."""
+    return sorted(r["term"] for r in vocabulary.select("term").collect())
 
 
 @contextmanager
@@ -112,50 +139,130 @@ def _held(vectors: DataFrame):
         vectors.unpersist()
 
 
-def _lda(k: int, iterations: int) -> LDA:
+def _lda(k: int, iterations: int, features: str = "features") -> LDA:
     return LDA(
         k=k, maxIter=iterations, seed=SEED, optimizer="online", subsamplingRate=1.0,
         docConcentration=[DOC_TOPIC_PRIOR] * k, topicConcentration=TOPIC_WORD_PRIOR,
-        optimizeDocConcentration=False, featuresCol="features",
+        optimizeDocConcentration=False, featuresCol=features,
     )
 
 
+def _finite(topic_counts: list[int], perplexities: list[float]) -> list[tuple[int, float]]:
+    return [(k, p) for k, p in zip(topic_counts, perplexities) if math.isfinite(p)]
+
+
+def _first_flat(points: list[tuple[int, float]]) -> int | None:
+    """The count before the first step that changes perplexity by less than 5 %, given enough points."""
+    if len(points) >= LEAST_POINTS:
+        for (k, p), (_, after) in zip(points, points[1:]):
+            if abs(after - p) / p * 100 < FLAT_STEP_PCT:
+                return k
+    return None
+
+
 def pick_topic_count(topic_counts: list[int], perplexities: list[float], default: int = MIN_TOPICS) -> int:
     """The count before the first step that changes perplexity by less than 5 %.
 
     Without such a step, or with fewer than three points, the lowest perplexity
     wins.
     """
-    points = [(k, p) for k, p in zip(topic_counts, perplexities) if math.isfinite(p)]
+    points = _finite(topic_counts, perplexities)
     if not points:
         return default
-    if len(points) >= 3:
-        for (k, p), (_, after) in zip(points, points[1:]):
-            if abs(after - p) / p * 100 < FLAT_STEP_PCT:
-                return k
-    return min(points, key=lambda kp: kp[1])[0]
+    flat = _first_flat(points)
+    return min(points, key=lambda kp: kp[1])[0] if flat is None else flat
+
+
+def pick_topic_counts(curves: DataFrame, keys: list[str]) -> DataFrame:
+    """``pick_topic_count`` for many corpora: ``topic_count`` per ``keys`` of curves (topic_count, perplexity).
+
+    A curve has as many points as counts were tried, so it fits one row of a group.
+    """
+    finite = F.col("perplexity").isNotNull() & ~F.isnan("perplexity") & (F.abs("perplexity") != float("inf"))
+    step = F.abs(F.lead("perplexity").over(_curve(keys)) - F.col("perplexity")) / F.col("perplexity") * 100
+    points = curves.filter(finite).withColumn("__flat", step < FLAT_STEP_PCT)
+    enough = F.count("*") >= LEAST_POINTS
+    first_flat = F.when(enough, F.min(F.when(F.col("__flat"), F.col("topic_count"))))
+    lowest = F.min(F.struct("perplexity", "topic_count"))["topic_count"]
+    return points.groupBy(*keys).agg(F.coalesce(first_flat, lowest).alias("topic_count"))
+
+
+def _curve(keys: list[str]):
+    return Window.partitionBy(*keys).orderBy("topic_count")
+
+
+def _at_once(spark, jobs: list[Callable[[], float]]) -> list[float]:
+    """Results of Spark jobs that run at the same time, each in a scheduler pool of its own.
+
+    With ``spark.scheduler.mode=FAIR`` they share the executors evenly.
+    """
+    def pooled(number: int, job: Callable[[], float]) -> float:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"topics-{number}")
+        try:
+            return job()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        # each job inherits the session's properties anew
+        return list(pool.map(lambda x: inheritable_thread_target(spark)(pooled)(*x), enumerate(jobs)))
+
+
+def search_topic_counts(
+    vectors: DataFrame, topic_counts: Iterable[int], iterations: int = SEARCH_ITERATIONS,
+    at_once: int = AT_ONCE, features: str = "features", whole: bool = False,
+) -> list[tuple[int, float]]:
+    """(count, perplexity) of the counts that were fitted, in order.
+
+    ``at_once`` models are fitted at the same time on the held vectors.  The search stops
+    when no later point can change the choice: with three finite points the first flat
+    step decides, wherever the curve goes from there.  ``whole=True`` fits them all.
+    """
+    left, found = list(topic_counts), []
+
+    def perplexity(k: int) -> float:
+        return math.exp(_lda(k, iterations, features).fit(vectors).logPerplexity(vectors))
+
+    while left:
+        now, left = left[:at_once], left[at_once:]
+        found += zip(now, _at_once(vectors.sparkSession, [lambda k=k: perplexity(k) for k in now]))
+        if not whole and _first_flat(_finite(*zip(*found))) is not None:
+            break
+    return found
 
 
 def choose_topic_count(
     corpus: DataFrame, min_topics: int = MIN_TOPICS, max_topics: int = MAX_TOPICS,
-    iterations: int = SEARCH_ITERATIONS,
+    iterations: int = SEARCH_ITERATIONS, at_once: int = AT_ONCE, whole: bool = False,
 ) -> int:
-    """Fit one model per candidate count and pick by perplexity.
+    """Fit models of growing topic count and pick by perplexity; ``corpus`` has ``terms``."""
+    return _choose(_prepared(corpus), min_topics, max_topics, iterations, at_once, whole)
+
+
+def _prepared(corpus: DataFrame) -> tuple[DataFrame, int, list[str], list[str]]:
+    """Written vectors over both vocabularies, the number of documents, and the vocabularies.
 
-    ``corpus`` has ``terms``.  Vectors are written once and read by every fit.
+    Terms are counted once for the two, and both vectors of a review leave one pass.
     """
-    vocabulary = _vocabulary_list(corpus, SEARCH_MAX_DF, SEARCH_MIN_DF, MAX_FEATURES)
+    documents = corpus.count()
+    counts = write_once(term_counts(corpus, min(SEARCH_MIN_DF, FINAL_MIN_DF)), "topic_terms")
+    search = _listed(vocabulary_of(counts, documents, SEARCH_MAX_DF, SEARCH_MIN_DF))
+    final = _listed(vocabulary_of(counts, documents, FINAL_MAX_DF, FINAL_MIN_DF))
+    vectors = corpus.select("terms")
+    for name, vocabulary in (("search", search), ("final", final)):
+        vectors = vectorise(vectors, vocabulary, name) if vocabulary else vectors
+    vectors = write_once(vectors.drop("terms"), "topic_vectors") if search or final else vectors
+    return vectors, documents, search, final
+
+
+def _choose(prepared, min_topics: int, max_topics: int, iterations: int, at_once: int, whole: bool = False) -> int:
+    vectors, documents, vocabulary, _ = prepared
     if not vocabulary:
         return min_topics
-    vectors = write_once(vectorise(corpus, vocabulary).select("features"), "topic_vectors")
-    top = min(max_topics, vectors.count() // 5, len(vocabulary) // 10)
-    counts, perplexities = [], []
-    with _held(vectors):
-        for k in range(min_topics, top + 1):
-            model = _lda(k, iterations).fit(vectors)
-            counts.append(k)
-            perplexities.append(math.exp(model.logPerplexity(vectors)))
-    return pick_topic_count(counts, perplexities, min_topics)
+    top = min(max_topics, documents // 5, len(vocabulary) // 10)
+    with _held(vectors.select("search")) as held:
+        found = search_topic_counts(held, range(min_topics, top + 1), iterations, at_once, "search", whole)
+    return pick_topic_count([k for k, _ in found], [p for _, p in found], min_topics)
 
 
 def default_topic_count(documents: int) -> int:
@@ -167,13 +274,16 @@ def fit_topics(
     corpus: DataFrame, k: int | None = None, iterations: int = FINAL_ITERATIONS
 ) -> tuple[LDAModel, list[str]] | None:
     """(model, vocabulary) of a corpus with ``terms``; None when no term qualifies."""
-    vocabulary = _vocabulary_list(corpus, FINAL_MAX_DF, FINAL_MIN_DF, MAX_FEATURES)
+    return _fit(_prepared(corpus), k, iterations)
+
+
+def _fit(prepared, k: int | None, iterations: int) -> tuple[LDAModel, list[str]] | None:
+    vectors, documents, _, vocabulary = prepared
     if not vocabulary:
         return None
-    vectors = write_once(vectorise(corpus, vocabulary).select("features"), "topic_vectors")
-    k = default_topic_count(vectors.count()) if k is None else min(k, len(vocabulary))
-    with _held(vectors):
-        return _lda(max(k, 2), iterations).fit(vectors), vocabulary
+    k = default_topic_count(documents) if k is None else min(k, len(vocabulary))
+    with _held(vectors.select(F.col("final").alias("features"))) as held:
+        return _lda(max(k, 2), iterations).fit(held), vocabulary
 
 
 def topic_words(model: LDAModel, vocabulary: list[str], n: int = TOP_WORDS) -> DataFrame:
@@ -280,9 +390,10 @@ def extract_topics(
     spelled = (lambda df: df) if lemmas is None else (lambda df: lemmatise(df, lemmas))
     corpus = topic_terms(spelled(prepare_corpus(reviews.select(text), text)), fold_accents)
     corpus = write_once(corpus.select("terms"), "topic_corpus")
+    vectors = _prepared(corpus)
     if k is None and search:
-        k = choose_topic_count(corpus, iterations=search_iterations)
-    fitted = fit_topics(corpus, k, iterations)
+        k = _choose(vectors, MIN_TOPICS, MAX_TOPICS, search_iterations, AT_ONCE)
+    fitted = _fit(vectors, k, iterations)
     tokens = preprocess_for_topics(text)
     prepared = topic_terms(spelled(reviews.withColumn("tokens", tokens)), fold_accents)
     inside = (F.length(text) >= MIN_TEXT_LENGTH) & (F.size("tokens") >= MIN_TOKENS)

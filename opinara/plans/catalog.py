@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dates, geo, keys, language, ratings
 from ..functions import text as X
 from ..functions import topics as TF
+from ..functions.wordlists import TOPIC_RULES
 from ..operators import alerts, dedup, quality, sentiment, topics
 from ..operators import language as language_model
 from ..operators import statistics as stats
@@ -27,10 +28,7 @@ QUERIES: dict[str, Query] = {}
 AS_OF = "2025-07-22"
 
 # Stand-in topic names for reports; real names come from the topic model.
-TOPIC_NAMES = [
-    "Service_Quality", "Wait_Time", "Card_Services", "Fees_Charges", "Mobile_App",
-    "Branch_Experience", "Credit_Services",
-]
+TOPIC_NAMES = list(dict.fromkeys(label for _, label in TOPIC_RULES))
 
 _written: dict[tuple, object] = {}
 
@@ -97,9 +95,19 @@ def with_topics(df: DataFrame) -> DataFrame:
     })
 
 
+def held_out() -> Column:
+    return hash_number(F.col("doc_id").cast("string"), 0) % 4 == 0
+
+
+def trained_language_model(spark: SparkSession, d: str) -> DataFrame:
+    """The model of three quarters of the labelled documents."""
+    return _once(spark, d, "language_model", lambda: language_model.fit_language_model(
+        documents(spark, d).filter(~held_out())))
+
+
 def enriched(spark: SparkSession, d: str) -> DataFrame:
     return _once(spark, d, "enriched", lambda: write_once(
-        with_topics(enrich(staged(spark, d), lexicon(spark, d))), "enriched"
+        with_topics(enrich(staged(spark, d), lexicon(spark, d), trained_language_model(spark, d))), "enriched"
     ))
 
 
@@ -225,14 +233,27 @@ def detect_language(spark, d):
 @query
 def language_model_accuracy(spark, d):
     """A model trained on three quarters of the labelled documents, judged on the others."""
-    docs = documents(spark, d)
-    held_out = hash_number(F.col("doc_id").cast("string"), 0) % 4 == 0
-    model = language_model.fit_language_model(docs.filter(~held_out))
-    found = language_model.apply_language_model(docs.filter(held_out), model, "text")
+    found = language_model.apply_language_model(
+        documents(spark, d).filter(held_out()), trained_language_model(spark, d), "text")
     right = F.count_if(F.col("lang") == F.col("model_lang"))
     return found.agg(F.count("*").alias("held_out"), (right >= 0.95 * F.count("*")).alias("accurate"))
 
 
+@query
+def language_model_table(spark, d):
+    """The model itself: weight of every trigram in every language."""
+    return trained_language_model(spark, d)
+
+
+@query
+def language_by_model(spark, d):
+    """Language of the held-out documents, model first."""
+    docs = documents(spark, d).filter(held_out())
+    found = language_model.apply_language_model(docs, trained_language_model(spark, d), "text")
+    votes = language.detect_language("text", F.col("model_lang"), F.col("model_prob"))
+    return rounded(found.select("doc_id", "model_lang", "model_prob", votes.alias("language")))
+
+
 @query
 def analyze_sentiment(spark, d):
     columns = ["id", "language", "sentiment", "sentiment_score"]
@@ -242,7 +263,7 @@ def analyze_sentiment(spark, d):
 @query
 def sentiment_by_lexicon_join(spark, d):
     """The same scores with the lexicon joined as a table."""
-    base = language_model.add_language(staged(spark, d), lowered=True)
+    base = language_model.add_language(staged(spark, d), model=trained_language_model(spark, d), lowered=True)
     scored = sentiment.analyze_sentiment(base, lexicon(spark, d), method="join", lowered=True)
     return scored.select("id", "language", "sentiment", "sentiment_score")
 
@@ -250,7 +271,7 @@ def sentiment_by_lexicon_join(spark, d):
 @query
 def sentiment_row_route(spark, d):
     """Scores with a quarter of the terms, compiled into the row expression."""
-    base = language_model.add_language(staged(spark, d), lowered=True)
+    base = language_model.add_language(staged(spark, d), model=trained_language_model(spark, d), lowered=True)
     short = lexicon(spark, d).filter(F.substring(F.md5("term"), 1, 1) < "4")
     scored = sentiment.analyze_sentiment(base, short, method="row", lowered=True)
     return scored.select("id", "language", "sentiment", "sentiment_score")
@@ -441,6 +462,56 @@ def topic_vocabulary(spark, d):
     return topics.topic_vocabulary(corpus)
 
 
+@query
+def vectorise(spark, d):
+    """Sparse vectors of the whole corpus over its vocabulary, one row per entry."""
+    corpus = write_once(_corpus(spark, d).select("doc_id", "terms"), "topic_corpus")
+    vocabulary = sorted(r["term"] for r in topics.topic_vocabulary(corpus).select("term").collect())
+    return topics.vector_rows(topics.vectorise(corpus, vocabulary).select("doc_id", "features"), vocabulary)
+
+
+@query
+def lemmatise(spark, d):
+    """Tokens of the corpus replaced by the first four letters of half of the words; every document twice.
+
+    The dictionary comes from the words of ``benchmark`` and of the corpus, with two lemmas for some.
+    """
+    docs = documents(spark, d).select("doc_id", F.col("text").alias("final_text"))
+    corpus = topics.prepare_corpus(docs)
+    words = corpus.select(F.explode("tokens").alias("token")).distinct()
+    half = words.filter(hash_number(F.col("token"), 0) % 2 == 0)
+    lemmas = half.select("token", F.substring("token", 1, 4).alias("lemma")).union(
+        half.filter(hash_number(F.col("token"), 1) % 3 == 0).select("token", F.lit("zzz")))
+    twice = corpus.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    found = topics.lemmatise(twice, lemmas)
+    return found.select("doc_id", "copy", F.size("tokens").alias("token_count"), F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
+
+
+CURVE = {"low": 300, "spread": 400}
+
+
+@query
+def pick_topic_counts(spark, d):
+    """The rule that picks a topic count, on a curve of perplexities per document made from hashes."""
+    counts = F.explode(F.sequence(F.lit(topics.MIN_TOPICS), F.lit(topics.MAX_TOPICS))).alias("topic_count")
+    curve = documents(spark, d).select("doc_id", counts)
+    said = F.concat_ws(":", "doc_id", "topic_count")
+    value = (hash_number(said, 0) % CURVE["spread"] + CURVE["low"]).cast("double")
+    curve = curve.withColumn("perplexity", F.when(hash_number(said, 1) % 7 != 0, value))
+    return topics.pick_topic_counts(curve, ["doc_id"])
+
+
+@query
+def choose_topic_count(spark, d):
+    """One row: the search that stops early picks what the whole search over all counts picks."""
+    corpus = write_once(_corpus(spark, d).select("terms"), "topic_corpus")
+    whole = topics.choose_topic_count(corpus, iterations=5, whole=True)
+    early = topics.choose_topic_count(corpus, iterations=5)
+    return corpus.agg(F.count("*").alias("documents")).select(
+        "documents", F.lit(early == whole).alias("same_choice"),
+        F.lit(topics.MIN_TOPICS <= early <= topics.MAX_TOPICS).alias("in_range"))
+
+
 @query
 def label_topics(spark, d):
     """Labels of pseudo-topics: the ten most frequent words of every source."""
@@ -463,7 +534,7 @@ def assign_topics(spark, d):
 @query
 def topic_assignment_checks(spark, d):
     """One row about the topics of all cleaned reviews; everything but the sizes must be 0."""
-    found = write_once(assign_topics(spark, d), "topic_assignments")
+    found = _once(spark, d, "topic_assignments", lambda: write_once(assign_topics(spark, d), "topic_assignments"))
     inside, share = F.col("topic_id") >= 0, F.col("topic_confidence")
     in_range = F.col("topic_id").between(-1, topics.MAX_TOPICS - 1)
     likely = F.when(inside, share.between(1 / topics.MAX_TOPICS, 1)).otherwise(share == 0)

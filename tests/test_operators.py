@@ -8,6 +8,7 @@ from helpers import plan, values
 from opinara.functions.lexicon import default_lexicon
 from opinara.operators import dedup, quality
 from opinara.operators import language as language_model
+from opinara.plans.enrichment import enrich
 from opinara.operators import sentiment as S
 from opinara.operators.alerts import negative_spike_alert
 from opinara.operators.keyed_join import join_small, join_unique
@@ -243,6 +244,15 @@ class TestSentiment:
             "mot mot": "positive", "demi": "positive", "vide mot demi": "positive", "word": "positive", "none": "neutral"}
 
 
+    def test_labels_and_scores_at_halves(self, spark):
+        halves = [-0.057499999999999996, 0.0575, 0.1, 0.10000000000000002, -0.1, 0.1000000009, -0.1000000011, 0.0005, None]
+        df = spark.createDataFrame([(i, x) for i, x in enumerate(halves)], "i int, p double")
+        label, score = S.classify_polarity("p")
+        assert [(r["l"], r["s"]) for r in df.select("i", label.alias("l"), score.alias("s")).orderBy("i").collect()] == [
+            ("neutral", -0.058), ("neutral", 0.058), ("neutral", 0.1), ("neutral", 0.1), ("neutral", -0.1),
+            ("positive", 0.1), ("negative", -0.1), ("neutral", 0.001), ("neutral", None)]
+
+
 class TestLanguageModel:
     def test_learns_and_stays_unsure_of_noise(self, spark):
         rows = [(f"le service de la banque est très bon et rapide {i}", "fr") for i in range(20)]
@@ -260,6 +270,32 @@ class TestLanguageModel:
         assert probs[0]["model_prob"] < 0.7 < probs[1]["model_prob"] <= 1.0
 
 
+    def test_model_is_a_bounded_table(self, spark):
+        rows = [("aaa bbb", "x"), ("aaa ccc", "y"), ("ab", "x"), (None, "x"), ("ddd", None)]
+        labelled = spark.createDataFrame(rows, "text string, lang string")
+        model = language_model.fit_language_model(labelled, size=3)
+        assert model.count() == 6 and model.select("trigram").distinct().count() == 3
+        assert values(model.filter("trigram = ' aa'"), "language", "weight") == [("x", -1253), ("y", -1253)]
+        seen = language_model.apply_language_model(
+            spark.createDataFrame([("aaa",), ("qqq",), ("",), (None,)], "final_text string"), model).collect()
+        # equal sums: the first by name; no trigram of the model: no language
+        assert [(r["model_lang"], r["model_prob"]) for r in seen] == [("x", 0.5), (None, 0.0), (None, 0.0), (None, 0.0)]
+        empty = language_model.fit_language_model(labelled.limit(0))
+        assert empty.count() == 0
+        assert language_model.apply_language_model(labelled.select("text"), empty, "text").filter("model_prob > 0").isEmpty()
+
+    def test_built_in_model(self, spark):
+        model = language_model.default_language_model(spark)
+        reviews = [
+            ("le personnel de cette agence est vraiment très accueillant", "fr"), ("the people at this counter were very helpful", "en"),
+            ("el personal de esta oficina es muy amable y rápido", "other"), ("die mitarbeiter sind immer sehr freundlich", "other"),
+            ("خدمة ممتازة", "ar"), ("ok", "unknown"), (None, "unknown")]
+        df = spark.createDataFrame(reviews, "final_text string, want string")
+        got = enrich(df)
+        assert values(got, "final_text", "language") == sorted(reviews, key=lambda r: (r[0] is None, str(r[0])))
+        assert model.select("language").distinct().count() == 6
+
+
 class TestAlerts:
     def test_windows_with_many_negatives(self, spark):
         rows = [("2024-01-01 10:00:00", "n")] * 4 + [("2024-01-01 11:00:00", "p")] * 6

@@ -41,6 +41,47 @@ def test_topic_count_rule(ks, perplexities, want):
     assert T.pick_topic_count(ks, perplexities) == want
 
 
+@pytest.mark.parametrize("curve", [
+    [100.0, 90.0, 89.0, 50.0], [100.0, 80.0, 60.0, 45.0], [100.0, 99.0], [float("nan"), 100.0, 99.0, 20.0, 10.0],
+    [100.0, 99.0, float("inf")], [],
+])
+def test_rule_over_a_table_and_early_exit(spark, monkeypatch, curve):
+    """The table rule, and the search that stops early, choose what the rule chooses on the whole curve."""
+    ks = list(range(3, 3 + len(curve)))
+    rows = [("c", k, p) for k, p in zip(ks, curve)]
+    table = spark.createDataFrame(rows, "corpus string, topic_count int, perplexity double")
+    want = T.pick_topic_count(ks, curve, -1)
+    assert [r["topic_count"] for r in T.pick_topic_counts(table, ["corpus"]).collect()] == ([want] if rows else [])
+    fitted = []
+
+    class Model:
+        def __init__(self, k):
+            self.k = k
+
+        def fit(self, vectors):
+            fitted.append(self.k)
+            return self
+
+        def logPerplexity(self, vectors):
+            p = curve[self.k - 3]
+            return float("nan") if p != p else T.math.log(p)
+
+    monkeypatch.setattr(T, "_lda", lambda k, *a: Model(k))
+    monkeypatch.setattr(T.math, "exp", lambda x, e=T.math.exp: x if x != x else round(e(x), 6))
+    for at_once in (1, 2, 3):
+        found = T.search_topic_counts(table, ks, 1, at_once)
+        assert T.pick_topic_count([k for k, _ in found], [p for _, p in found], -1) == want
+    fitted.clear()
+    T.search_topic_counts(table, ks, 1, 1)
+    assert fitted == ks[:3] if curve[:1] == [100.0] and len(curve) == 4 and curve[1] == 90.0 else set(fitted) <= set(ks)
+
+
+def test_vector_rows(spark):
+    docs = spark.createDataFrame([(1, ["b", "a", "b", "zz"]), (2, []), (3, ["c"])], "id int, terms array<string>")
+    vectors = T.vectorise(docs, ["a", "b", "c"]).select("id", "features")
+    assert values(T.vector_rows(vectors, ["a", "b", "c"])) == [(1, "a", 1), (1, "b", 2), (3, "c", 1)]
+
+
 def test_default_topic_count():
     assert [T.default_topic_count(n) for n in (0, 120, 10_000)] == [3, 4, 8]
 
@@ -60,6 +101,11 @@ def test_model_separates_themes_and_repeats(spark, reviews, corpus):
     assert [r["n"] for r in split] == [1, 1]
 
 
+def test_early_choice_is_the_whole_choice(corpus):
+    assert T.choose_topic_count(corpus, max_topics=7, iterations=3) == T.choose_topic_count(
+        corpus, max_topics=7, iterations=3, whole=True)
+
+
 def test_search_stays_in_range(corpus):
     assert 3 <= T.choose_topic_count(corpus, max_topics=4, iterations=3) <= 4
 
