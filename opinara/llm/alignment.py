@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -282,8 +283,8 @@ def aligned_chunks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
 def _counted(rows: pa.Table, known: pa.Table) -> pa.Table:
     """Documents of one chunk with the corpus-wide figures of its pairs."""
-    book = rows.filter(pa.compute.is_valid(rows["pairs"]))
-    rows = rows.filter(pa.compute.is_null(rows["pairs"]))
+    book = rows.filter(pc.is_valid(rows["pairs"]))
+    rows = rows.filter(pc.is_null(rows["pairs"]))
     arrays = {c: book[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("unit_sizes", "unit_pairs", "unit_times")}
     n_pairs = len(book["pairs"].combine_chunks().flatten())
     docs, best = np.zeros(n_pairs, np.int64), np.zeros(n_pairs, np.int64)
@@ -296,7 +297,7 @@ def _counted(rows: pa.Table, known: pa.Table) -> pa.Table:
         of_unit = sums[stops] - sums[stops - arrays["unit_sizes"]]
         units, times = rows["units"].combine_chunks(), rows["times"].combine_chunks()
         sums = np.append(0, np.cumsum(of_unit[units.flatten().to_numpy()] * times.flatten().to_numpy()))
-        ends = np.append(0, np.cumsum(pa.compute.list_value_length(units).to_numpy(zero_copy_only=False)))
+        ends = np.append(0, np.cumsum(pc.list_value_length(units).to_numpy(zero_copy_only=False)))
         return sums[ends[1:]] - sums[ends[:-1]]
 
     columns = {c: rows[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ class Block:
         words = W.split([t or "" for t in texts], W.NOT_ALNUM)
         # rows of one item_id are one item
         self.item_ids = item_ids.unique()
-        number = pa.compute.index_in(item_ids, self.item_ids).to_numpy(zero_copy_only=False).astype(np.int64)
+        number = pc.index_in(item_ids, self.item_ids).to_numpy(zero_copy_only=False).astype(np.int64)
         self.vocabulary, term = np.unique(words.hash, return_inverse=True)
         size = max(1, len(self.vocabulary))
         held = np.unique(number[words.text] * size + term)
