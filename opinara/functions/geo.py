@@ -27,6 +27,18 @@ def _ladder(lowered: Column, rules, default: Column) -> Column:
     return out.otherwise(default)
 
 
+ACCENTS, PLAIN = "àâäçéèêëîïôöùûü", "aaaceeeeiioouuu"
+
+
+def fold_accents(text: Column) -> Column:
+    return F.translate(text, ACCENTS, PLAIN)
+
+
+def _folded(rules) -> list:
+    plain = str.maketrans(ACCENTS, PLAIN)
+    return [([s.lower().translate(plain) for s in spellings], value) for spellings, value in rules]
+
+
 def city(raw: Column | str, rules=CITY_RULES) -> Column:
     """Canonical city of a city name, ignoring case; unknown names pass through."""
     raw = _col(raw)
@@ -42,16 +54,15 @@ def with_place(df: DataFrame, address: str, region_from_city: bool = False) -> D
     """Add ``city`` and ``region`` of an address.
 
     The region rules know fewer spellings than the city rules; by default they
-    read the city as written, with ``region_from_city=True`` the canonical city.
-    The rules run on a column of their own, so the city text is cut out once per
+    read the city as written, with ``region_from_city=True`` the canonical city without
+    its accents, as the rules spell a city with or without them.  The rules run on a column of their own, so the city text is cut out once per
     row and not once per rule.
     """
     raw, low = F.col("__raw_city"), F.col("__low_city")
     named = df.withColumn("__raw_city", raw_city(address)).withColumn("__low_city", F.lower(raw))
     named = named.withColumn("city", _ladder(low, CITY_RULES, raw))
+    rules = REGION_RULES
     if region_from_city:
-        placed = named.withColumn("__low_city", F.lower("city"))
-    else:
-        placed = named
-    placed = placed.withColumn("region", _ladder(low, REGION_RULES, F.lit(UNKNOWN_REGION)))
+        named, rules = named.withColumn("__low_city", fold_accents(F.lower("city"))), _folded(REGION_RULES)
+    placed = named.withColumn("region", _ladder(low, rules, F.lit(UNKNOWN_REGION)))
     return placed.drop("__raw_city", "__low_city")

@@ -11,12 +11,15 @@ from pyspark.sql import types as T
 from ..functions import dates, geo, keys, language, ratings
 from ..functions import text as X
 from ..functions import topics as TF
-from ..functions.wordlists import TOPIC_RULES
+from ..functions.lexicon import default_lexicon
+from ..functions.wordlists import SEARCH_BANKS, TOPIC_RULES
 from ..operators import alerts, dedup, quality, sentiment, topics
 from ..operators import language as language_model
 from ..operators import statistics as stats
-from ..plans import marts, reports, staging
+from ..operators.keyed_join import join_unique
+from ..plans import live, marts, reports, staging
 from ..plans.enrichment import enrich
+from ..schemas import REVIEW
 from ..sources import pages as page_source
 from ..sources import search, tables
 from ..sources.reviews import documents, hash_number, reviews_from_documents, reviews_raw, table
@@ -277,6 +280,52 @@ def sentiment_row_route(spark, d):
     return scored.select("id", "language", "sentiment", "sentiment_score")
 
 
+ARABIC_TEXTS = ["خدمة ممتازة في هذا البنك", "موظف سيء وبطيء جدا", "ok", "الانتظار طويل", "أنصح الجميع بهذا الفرع", "service rapide et bon"]
+
+
+def _arabic_reviews(spark: SparkSession, d: str) -> DataFrame:
+    number = (hash_number(F.col("text"), 0) % (len(ARABIC_TEXTS) + 1) + 1).cast("int")
+    said = F.get(F.array(*[F.lit(t) for t in ARABIC_TEXTS]), number - 1)
+    ending = F.concat(F.lit(" "), (F.col("doc_id") % 10).cast("string"))
+    return documents(spark, d).select("doc_id", F.concat(said, ending).alias("final_text"))
+
+
+def load_arabic_classifier():
+    """A stand-in classifier: the label by a word, the confidence by the last digit."""
+    def classify(texts: list[str]) -> list[tuple[str, float]]:
+        label = lambda t: "POSITIVE" if "ممتاز" in t else "negative" if "سيء" in t else "neutral"
+        return [(label(t), int(t[-1]) / 10) for t in texts]
+
+    return classify
+
+
+@query
+def sentiment_arabic(spark, d):
+    """Arabic reviews scored by a classifier inside a worker, the others by the built-in lexicon."""
+    return _arabic_scored(spark, d, sentiment.model_score(load_arabic_classifier))
+
+
+@query
+def sentiment_arabic_lexicon(spark, d):
+    """The same reviews without a classifier: mean polarity of the Arabic words found."""
+    return _arabic_scored(spark, d, None)
+
+
+def _arabic_scored(spark: SparkSession, d: str, model) -> DataFrame:
+    reviews = language_model.add_language(_arabic_reviews(spark, d))
+    scored = sentiment.analyze_sentiment(reviews, default_lexicon(spark), arabic_score=model)
+    return scored.select("doc_id", "language", "sentiment", "sentiment_score")
+
+
+@query
+def normalize_text_arabic(spark, d):
+    """Cleaning that keeps Arabic letters, and French cleaning that keeps words of polarity."""
+    both = documents(spark, d).join(_arabic_reviews(spark, d).withColumnRenamed("doc_id", "of"), F.col("doc_id") == F.col("of"))
+    return both.select(
+        "doc_id", X.normalize_text("final_text", scripts=("latin", "arabic")).alias("arabic"),
+        X.normalize_text("text", languages=["fr"], keep_negation=True).alias("polar"))
+
+
 @query
 def classify_polarity(spark, d):
     label, score = sentiment.classify_polarity(F.col("polarity"))
@@ -376,6 +425,34 @@ def average_rating_per_bank(spark, d):
     ))
 
 
+def _thin_reviews(spark: SparkSession, d: str) -> DataFrame:
+    """Reviews of which a bank in three has no ratings, one in four only two, and a part are mostly signs."""
+    raw = reviews_raw(spark, d)
+    bank = F.regexp_extract("bank_name", "[0-9]+", 0).try_cast("int")
+    few = (bank % 4 == 1) & (F.col("doc_id") % 50 != 0)
+    signs = F.concat(F.substring("review_text", 1, 40), F.repeat(F.lit(" 12.34;"), 40))
+    return raw.withColumns({
+        "review_rating": F.when((bank % 3 == 0) | few, None).otherwise(F.col("review_rating")),
+        "bank_rating": F.when(bank % 3 == 0, None).otherwise(F.col("bank_rating")),
+        "review_text": F.when(F.col("doc_id") % 9 == 0, signs).otherwise(F.col("review_text")),
+    })
+
+
+@query
+def impute_global(spark, d):
+    """Cleaning of reviews whose banks lack ratings: global averages and low text quality occur."""
+    out = staging.staging(_thin_reviews(spark, d), processed_at=False)
+    return out.groupBy("rating_source", "review_rating", "bank_rating", "text_quality").agg(F.count("*").alias("review_count"))
+
+
+@query
+def impute_default(spark, d):
+    """Cleaning of reviews without any rating: the defaults."""
+    bare = reviews_raw(spark, d).withColumns({c: F.lit(None).cast(t) for c, t in (("review_rating", "int"), ("bank_rating", "string"))})
+    out = staging.staging(bare, processed_at=False)
+    return out.groupBy("rating_source", "review_rating", "bank_rating").agg(F.count("*").alias("review_count"))
+
+
 @query
 def dq_not_null(spark, d):
     """Nulls in raw reviews."""
@@ -413,6 +490,72 @@ def cap_links(spark, d):
     return dedup.cap_links(links, ["user_id"], "position", "url", 5)
 
 
+@query
+def read_reviews(spark, d):
+    """Reviews written as JSON Lines and read back: two lines of three are broken, a line of seven is an array."""
+    return _landed(spark, d)[0].select(*REVIEW.fieldNames())
+
+
+@query
+def rejected_records(spark, d):
+    """What the reader left out, by the kind of fault."""
+    kind = F.when(F.col("record").endswith('"cut'), "cut").when(F.contains("record", F.lit('"many"')), "type").otherwise("other")
+    return _landed(spark, d)[1].groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
+def _landed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    def build():
+        folder, rejected = new_folder(spark, "landing"), new_folder(spark, "rejected")
+        raw = reviews_raw(spark, d)
+        whole = F.to_json(F.struct(*REVIEW.fieldNames()))
+        typed = F.to_json(F.struct(
+            F.lit("many").alias("review_rating"), *[c for c in REVIEW.fieldNames() if c != "review_rating"]))
+        line = (
+            F.when(F.col("doc_id") % 10 == 0, F.concat(F.substring(whole, 1, 25), F.lit('"cut')))
+            .when(F.col("doc_id") % 10 == 1, typed)
+            .when(F.col("doc_id") % 7 == 2, F.concat(F.lit("["), whole, F.lit(","), whole, F.lit("]"))).otherwise(whole))
+        raw.select(line.alias("value")).write.text(folder)
+        good = write_once(tables.read_reviews(spark, folder, rejected=rejected), "landed")
+        return good, tables.read_rejected(spark, rejected)
+
+    return _once(spark, d, "landed", build)
+
+
+@query
+def replace_partition(spark, d):
+    """Cleaned reviews by rating source; the rows of one source are replaced, all others stay."""
+    folder = new_folder(spark, "by_source")
+    rows = staged(spark, d).select("id", "bank_name", "review_date", "review_rating", "rating_source")
+    tables.write_folder(rows, folder, ["rating_source"], ["bank_name", "review_date"])
+    better = rows.filter("rating_source = 'BANK_AVERAGE'").withColumn("review_rating", F.lit(5.0))
+    tables.write_folder(better, folder, ["rating_source"], ["bank_name", "review_date"], only_these=True)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
+@query
+def partition_pruning(spark, d):
+    """One row: a filter on the partition column reads fewer files than the folder has, and all its rows."""
+    folder = new_folder(spark, "by_source")
+    rows = staged(spark, d).select("id", "bank_name", "review_date", "rating_source")
+    tables.write_folder(rows, folder, ["rating_source"], ["bank_name"])
+    back = spark.read.schema(rows.schema).parquet(folder)
+    one = back.filter("rating_source = 'BANK_AVERAGE'")
+    return one.agg(F.count("*").alias("rows_of_source")).select(
+        "rows_of_source", F.lit(tables.files_scanned(one) < tables.files_scanned(back)).alias("fewer_files"))
+
+
+@query
+def sorted_output(spark, d):
+    """Cleaned reviews in presentation order as totally ordered files: nothing out of order in or between them."""
+    folder = new_folder(spark, "sorted")
+    rows = staged(spark, d)
+    tables.write_sorted(rows, folder, staging.presentation_order(rows))
+    rated = F.when(F.col("review_rating_clean").isNotNull(), 1).otherwise(2)
+    key = F.struct(rated, -F.col("retention_percentage"), -F.unix_date("review_date"), "bank_name")
+    files = tables.file_order(spark, folder, key)
+    return files.agg(F.sum("rows").alias("rows"), F.sum("inversions").cast("bigint").alias("inversions"))
+
+
 @query
 def append_batches(spark, d):
     raw = reviews_raw(spark, d)
@@ -427,6 +570,46 @@ TEST_SELECTORS = page_source.Selectors(
 )
 
 
+def _escaped(c: str) -> Column:
+    out = F.col(c)
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        out = F.replace(out, F.lit(sign), F.lit(name))
+    return out
+
+
+def review_pages(spark: SparkSession, d: str) -> DataFrame:
+    """A map page for every raw review that has a bank, found under one of the grid's addresses."""
+    raw = reviews_raw(spark, d).filter("bank_name IS NOT NULL")
+    number = (F.col("doc_id") % len(SEARCH_BANKS) + 1).cast("int")
+    searched = F.element_at(F.array(*[F.lit(b) for b in SEARCH_BANKS]), number)
+    said = F.concat_ws(" ", searched, F.lit("agence"), geo.raw_city("bank_location"), F.lit("Maroc"))
+    url = F.concat(F.lit(search.SEARCH_URL), F.replace(said, F.lit(" "), F.lit("+")))
+    stars = F.repeat(F.lit("<span class='elGi1d'></span>"), F.greatest("review_rating", F.lit(0)))
+    block = lambda text, date: F.concat(
+        F.lit("<div class='jftiEf fontBodyMedium'><span class='rsqaWe'>"), date, F.lit("</span>"), stars,
+        F.lit("<span class='wiI7pd'>"), text, F.lit("</span></div>"))
+    # a name on two pages of three; a second review without text, with the stars alone
+    name = F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("<h1>"), _escaped("bank_name"), F.lit("</h1>"))).otherwise("")
+    rating = F.when(F.col("bank_rating").isNotNull(), F.concat(
+        F.lit("<div class='F7nice'><span><span>"), F.col("bank_rating"), F.lit("</span></span></div>"))).otherwise("")
+    days = F.concat(F.lit("il y a "), (F.col("doc_id") % 11 + 1).cast("string"), F.lit(" jours"))
+    html = F.concat(
+        F.lit("<html><body>"), name, rating, F.lit("<div data-item-id='address'>"), _escaped("bank_location"), F.lit("</div>"),
+        block(_escaped("review_text"), days), block(F.lit(""), F.lit("hier")), F.lit("</body></html>"))
+    return raw.select(F.col("doc_id").alias("page_id"), url.alias("url"), html.alias("html"))
+
+
+@query
+def pages_to_raw_reviews(spark, d):
+    """Pages found by the grid's searches, read back and joined to their search by its address."""
+    cities = reviews_raw(spark, d).select(geo.raw_city("bank_location").alias("city")).distinct()
+    grid = search.search_grid(cities).select(
+        F.col("search_url").alias("url"), F.col("city").alias("town"), F.col("bank_name").alias("searched"))
+    found = page_source.pages_to_reviews(review_pages(spark, d))
+    found = join_unique(found, grid, ["url"], "inner")
+    return page_source.page_reviews_to_raw(found, F.col("searched"), F.col("town"), AS_OF)
+
+
 @query
 def pages_to_reviews(spark, d):
     return page_source.pages_to_reviews(table(spark, d, "pages"), TEST_SELECTORS)
@@ -557,6 +740,16 @@ def merge_topics(spark, d):
     return topics.merge_topics(reviews, assigned)
 
 
+@query
+def merge_repeated_topics(spark, d):
+    """Ids that occur several times on both sides: every review once, with the first of its topics."""
+    reviews = staged(spark, d).select(F.substring("id", 1, 2).alias("id"), "bank_name")
+    assigned = enriched(spark, d).filter("language = 'fr'").select(
+        F.substring("id", 1, 2).alias("id"), "topic_id", "topic_name", "topic_confidence")
+    merged = topics.merge_topics(reviews, assigned)
+    return merged.groupBy(*merged.columns).agg(F.count("*").alias("n"))
+
+
 # --- star schema and reports ------------------------------------------------------
 
 for _dim in ("bank", "branch", "date", "location", "sentiment", "topic"):
@@ -626,19 +819,51 @@ def negative_spike_alert_stream(spark, d):
     }))
 
 
+def review_store(spark: SparkSession, d: str) -> str:
+    """Reviews of three files, the newest first, taken in one by one; repeated and better copies come later."""
+    def build() -> str:
+        raw = reviews_raw(spark, d)
+        inbox, store, state = (new_folder(spark, x) for x in ("inbox", "incremental", "incremental_state"))
+        parts = [
+            F.col("review_date") >= "1999-06-01",
+            (F.col("review_date") < "1999-06-01") & (F.col("review_date") >= "1997-01-01"),
+            (F.col("review_date") < "1997-01-01") | F.col("review_date").isNull(),
+        ]
+        for number, part in enumerate(parts):
+            own = F.when(F.col("doc_id") % 2 == 0, part).otherwise(F.col("doc_id") % 3 == number)
+            again = F.crc32(F.col("review_text").cast("binary")) % 7 == number
+            raw.filter(own | again).write.parquet(f"{inbox}/{number}")
+            stream = incremental.read_review_stream(spark, f"{inbox}/*", raw.schema, "parquet")
+            live.live_reports(
+                stream, store, state, classify=with_topics, lexicon=lexicon(spark, d),
+                language_model=trained_language_model(spark, d)).awaitTermination()
+        return store
+
+    return _once(spark, d, "review_store", build)
+
+
 @query
 def incremental_reviews(spark, d):
-    """Reviews of three files, the newest first, taken in one by one: the batch result."""
-    raw = staging.early_filter(reviews_raw(spark, d))
-    inbox, store = new_folder(spark, "inbox"), new_folder(spark, "incremental")
-    parts = [
-        F.col("review_date") >= "1999-06-01",
-        (F.col("review_date") < "1999-06-01") & (F.col("review_date") >= "1997-01-01"),
-        (F.col("review_date") < "1997-01-01") | F.col("review_date").isNull(),
-    ]
-    state = new_folder(spark, "incremental_state")
-    for number, part in enumerate(parts):
-        raw.filter(part | (F.crc32(F.col("review_text").cast("binary")) % 7 == number)).write.parquet(f"{inbox}/{number}")
-        stream = incremental.read_review_stream(spark, f"{inbox}/*", raw.schema, "parquet")
-        incremental.incremental_reviews(stream, store, state).awaitTermination()
-    return incremental.stored_reviews(spark, store, raw.schema).drop("doc_id")
+    """Reviews of three files taken in one by one: the batch result."""
+    return incremental.stored_reviews(spark, review_store(spark, d), reviews_raw(spark, d).schema).drop("doc_id")
+
+
+def live_star(spark: SparkSession, d: str) -> marts.Star:
+    return _once(spark, d, "live_star", lambda: live.live_star(spark, review_store(spark, d)))
+
+
+# Every report from the counts that the three files left: the batch report.
+for _report in ("branch_performance", "sentiment_trends", "topic_analysis", "customer_experience"):
+    def _make_live(name):
+        return lambda spark, d: rounded(getattr(reports, name)(live_star(spark, d)))
+    QUERIES[f"{_report}_live"] = _make_live(_report)
+for _report in (
+    "reviews_by_sentiment_over_time", "sentiment_by_topic", "volume_by_topic_sentiment",
+    "branch_ranking_in_bank", "topic_share",
+):
+    QUERIES[f"{_report}_live"] = _make_live(_report)
+
+
+@query
+def sentiment_by_bank_live(spark, d):
+    return rounded(reports.sentiment_by_bank(live_star(spark, d), "2000-06-21"))

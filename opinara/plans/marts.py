@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -75,6 +75,17 @@ def dim_topic(reviews: DataFrame) -> DataFrame:
     return pairs.select(surrogate_key("topic_name").alias("topic_id"), "topic_name", "topic_confidence")
 
 
+def _fact_keys() -> list[Column]:
+    return [
+        surrogate_key("bank_name").alias("bank_id"),
+        surrogate_key("branch_name").alias("branch_id"),
+        surrogate_key("city", "region").alias("location_id"),
+        _sentiment_id().alias("sentiment_id"),
+        surrogate_key("topic_name").alias("topic_id"),
+        surrogate_key(date_text("review_date")).alias("date_id"),
+    ]
+
+
 def fact_reviews(reviews: DataFrame, region_from_city: bool = False) -> DataFrame:
     """One row per review with an address, and the keys of its dimensions.
 
@@ -84,21 +95,20 @@ def fact_reviews(reviews: DataFrame, region_from_city: bool = False) -> DataFram
     placed = geo.with_place(
         reviews.filter("bank_location IS NOT NULL"), "bank_location", region_from_city
     )
-    return placed.select(
-        F.col("id").alias("review_id"),
-        surrogate_key("bank_name").alias("bank_id"),
-        surrogate_key("branch_name").alias("branch_id"),
-        surrogate_key("city", "region").alias("location_id"),
-        _sentiment_id().alias("sentiment_id"),
-        surrogate_key("topic_name").alias("topic_id"),
-        surrogate_key(date_text("review_date")).alias("date_id"),
-        "final_text", "language", "review_rating",
+    return placed.select(F.col("id").alias("review_id"), *_fact_keys(), "final_text", "language", "review_rating")
+
+
+def fact_combinations(counted: DataFrame, region_from_city: bool = False) -> DataFrame:
+    """The fact of counted reviews: a row stands for ``copies`` reviews with the same keys and rating."""
+    placed = geo.with_place(
+        counted.filter("bank_location IS NOT NULL"), "bank_location", region_from_city
     )
+    return placed.select(*_fact_keys(), "review_rating", F.col("n").alias("copies"))
 
 
 @dataclass(frozen=True)
 class Star:
-    """The star schema as DataFrames."""
+    """The star schema as DataFrames; a fact with ``copies`` counts each row so often."""
 
     fact: DataFrame
     bank: DataFrame
@@ -111,8 +121,17 @@ class Star:
 
 def build_star(reviews: DataFrame, region_from_city: bool = False) -> Star:
     """Write every table of the star once; the reports read the written tables."""
+    return _written_star(fact_reviews(reviews, region_from_city), reviews, region_from_city)
+
+
+def star_of_combinations(counted: DataFrame, region_from_city: bool = False) -> Star:
+    """The star of counted reviews, for the same reports."""
+    return _written_star(fact_combinations(counted, region_from_city), counted, region_from_city)
+
+
+def _written_star(fact: DataFrame, reviews: DataFrame, region_from_city: bool) -> Star:
     tables = {
-        "fact": fact_reviews(reviews, region_from_city),
+        "fact": fact,
         "bank": dim_bank(reviews),
         "branch": dim_branch(reviews),
         "date": dim_date(reviews),

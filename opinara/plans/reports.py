@@ -63,18 +63,35 @@ def _ratio(total: Column, count: Column) -> Column:
     return F.try_divide(total.cast("double"), count.cast("double"))
 
 
+def _copies(fact: DataFrame) -> Column | None:
+    """How many reviews a row of the fact stands for, when rows are counted reviews."""
+    return F.col("copies") if "copies" in fact.columns else None
+
+
+def _count(fact: DataFrame, when: Column | None = None) -> Column:
+    copies = _copies(fact)
+    if copies is None:
+        return F.count("*") if when is None else F.count_if(when)
+    return F.sum(copies if when is None else F.when(when, copies).otherwise(0))
+
+
+def _total(fact: DataFrame, value: Column) -> Column:
+    copies = _copies(fact)
+    return F.sum(value if copies is None else (value * copies).cast("decimal(24,4)"))
+
+
 def _rated(star_fact: DataFrame, keys: list[str]) -> DataFrame:
     rating = F.col("review_rating")
     return star_fact.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.sum(rating.cast(RATING)).alias("rating_sum"),
-        F.count(rating).alias("rating_n"),
-        F.count_if(rating >= PROMOTER_FROM).alias("promoters"),
+        _count(star_fact).alias("n"),
+        _total(star_fact, rating.cast(RATING)).alias("rating_sum"),
+        _count(star_fact, rating.isNotNull()).alias("rating_n"),
+        _count(star_fact, rating >= PROMOTER_FROM).alias("promoters"),
     )
 
 
 def _counted(star_fact: DataFrame, keys: list[str]) -> DataFrame:
-    return star_fact.groupBy(*keys).agg(F.count("*").alias("n"))
+    return star_fact.groupBy(*keys).agg(_count(star_fact).alias("n"))
 
 
 def _bank(star: Star, grain_safe: bool) -> Dim:
@@ -184,9 +201,9 @@ def customer_experience(star: Star, grain_safe: bool = True) -> DataFrame:
     """
     r = F.round(F.col("review_rating") * 1000).cast("bigint")
     reduced = star.fact.groupBy("date_id", "topic_id", "sentiment_id").agg(
-        F.sum(F.col("review_rating").cast(RATING)).alias("rating_sum"),
-        F.count("review_rating").alias("n"),
-        F.sum(r).alias("sx"), F.sum(r * r).alias("sxx"),
+        _total(star.fact, F.col("review_rating").cast(RATING)).alias("rating_sum"),
+        _count(star.fact, F.col("review_rating").isNotNull()).alias("n"),
+        _total(star.fact, r).cast("bigint").alias("sx"), _total(star.fact, r * r).cast("bigint").alias("sxx"),
     )
     joined = _join_dims(reduced, [
         _sentiment(star, grain_safe), _date(star, grain_safe), _topic(star, grain_safe),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratings as R
@@ -25,8 +25,10 @@ def keep_informative(df: DataFrame) -> DataFrame:
     return df.withColumn("review_rating", rating).filter(has_text | rating.isNotNull())
 
 
-def normalise(df: DataFrame, scripts=("latin",), keep_negation: bool = False) -> DataFrame:
-    """Trimmed names, parsed ratings, cleaned text, text metrics and text choice.
+def normalise(
+    df: DataFrame, scripts=("latin",), keep_negation: bool = False, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Trimmed names, parsed ratings, cleaned text, text metrics and text choice; columns in ``keep`` stay.
 
     Rows whose cleaned text is too short stay in; ``text_selection`` drops them.
     Filtering here would evaluate the cleaning twice, in the filter and in the
@@ -38,7 +40,7 @@ def normalise(df: DataFrame, scripts=("latin",), keep_negation: bool = False) ->
         R.parse_decimal_comma("bank_rating").alias("bank_rating_decimal"),
         F.trim("bank_location").alias("bank_location"),
         R.clamp_rating("review_rating").alias("review_rating_clean"),
-        "review_date", "review_text", F.lower("review_text").alias("lower_text"),
+        "review_date", "review_text", F.lower("review_text").alias("lower_text"), *keep,
     )
     cleaned = cleaned.withColumn(
         "cleaned_text", X.clean_text_basic("lower_text", scripts=scripts, lowered=True)
@@ -57,13 +59,17 @@ def text_selection(df: DataFrame) -> DataFrame:
     return df.filter(F.col("normalized_length") >= 3)
 
 
-def final_filter(df: DataFrame) -> DataFrame:
-    return df.filter(
+def is_final() -> Column:
+    return (
         F.col("bank_name").isNotNull() & (F.col("bank_name") != "")
         & F.col("review_date").isNotNull() & X.is_valid_text("final_text", 3)
     )
 
 
+def final_filter(df: DataFrame) -> DataFrame:
+    return df.filter(is_final())
+
+
 def impute(df: DataFrame, rollup: DataFrame) -> DataFrame:
     """Fill ratings from bank and global averages, with their provenance.
 

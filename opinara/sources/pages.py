@@ -57,82 +57,116 @@ def _compile(selector: str) -> list[tuple]:
     return steps
 
 
-def _fits(step: tuple, tag: str, attrs: dict) -> bool:
+def _fits(step: tuple, tag: str, attrs: dict, own: set) -> bool:
     wanted, classes, attr, value = step
     return (
         (not wanted or wanted == tag)
-        and classes <= set((attrs.get("class") or "").split())
+        and classes <= own
         and (attr is None or (attr in attrs and (value is None or attrs[attr] == value)))
     )
 
 
 class _PageReader(HTMLParser):
-    """One pass over a page that collects page parts and review blocks."""
+    """One pass over a page that collects page parts and review blocks.
+
+    Every open element knows, for each selector, how many of its enclosing steps are met
+    on the way down to it, so a tag is matched without looking at what is above it.  Text is
+    kept once, in page order; a part is the stretch between an element's start and end.
+    """
 
     PAGE_PARTS = ("name", "address", "rating")
     REVIEW_PARTS = ("date", "text")
 
     def __init__(self, selectors: dict[str, list[list[tuple]]]):
         super().__init__(convert_charrefs=True)
-        self.selectors = selectors
-        self.page: dict[str, str] = {}
+        self.steps = [(part, steps[::-1]) for part, every in selectors.items() for steps in every]
+        self.page: dict[str, list] = {}
         self.reviews: list[dict] = []
-        # Open elements: tag, attributes, how many parts collect its text, own review.
-        self.stack: list[tuple[str, dict, int, dict | None]] = []
+        self.texts: list[str] = []
+        self.kept: list[list] = []
+        self.stars = 0
+        # Open elements: tag, steps met per selector, stretches that end with it, own review.
+        self.stack: list[tuple[str, tuple[int, ...], list[list], dict | None]] = []
         # The same by kind, so that no step looks through the whole stack.
         self.open: Counter[str] = Counter()
-        self.collecting: list[tuple[dict, str]] = []
-        self.inside: list[dict] = []
-
-    def _is(self, part: str, tag: str, attrs: dict) -> bool:
-        for inner, *outer in self.selectors[part]:
-            if not _fits(inner, tag, attrs):
-                continue
-            above = iter(reversed(self.stack))
-            if all(any(_fits(step, t, a) for t, a, _, _ in above) for step in outer):
-                return True
-        return False
+        # Open reviews that still lack a part, by part; an inner one stands behind an outer one.
+        self.waiting: dict[str, list[dict]] = {p: [] for p in self.REVIEW_PARTS}
 
     def handle_starttag(self, tag, attrs):
         attrs = dict(attrs)
-        collecting = []
+        own = set((attrs.get("class") or "").split())
+        above = self.stack[-1][1] if self.stack else (0,) * len(self.steps)
+        met, found = [], set()
+        for (part, steps), n in zip(self.steps, above):
+            if n == len(steps) - 1:
+                if _fits(steps[n], tag, attrs, own):
+                    found.add(part)
+                met.append(n)
+            else:
+                met.append(n + _fits(steps[n], tag, attrs, own))
+        ends = []
+
+        def stretch() -> list:
+            ends.append([len(self.texts), len(self.texts) if tag in _VOID else None])
+            return ends[-1]
+
         for part in self.PAGE_PARTS:
-            if part not in self.page and self._is(part, tag, attrs):
-                self.page[part] = ""
-                collecting.append((self.page, part))
-        if self.inside:
-            found = [p for p in self.REVIEW_PARTS if self._is(p, tag, attrs)]
-            star = self._is("star", tag, attrs)
-            for review in self.inside if found or star else ():
-                review["stars"] += star
-                for part in found:
-                    if part not in review:
-                        review[part] = ""
-                        collecting.append((review, part))
-        own = None
-        if self._is("review", tag, attrs):
-            own = {"stars": 0}
-            self.reviews.append(own)
+            if part in found and part not in self.page:
+                self.page[part] = stretch()
+        for part in self.REVIEW_PARTS:
+            if part in found and self.waiting[part]:
+                one = stretch()
+                for review in self.waiting[part]:
+                    review[part] = one
+                self.waiting[part] = []
+        self.stars += "star" in found
+        review = None
+        if "review" in found:
+            review = {"stars": [self.stars, self.stars if tag in _VOID else None]}
+            self.reviews.append(review)
         if tag not in _VOID:
-            self.stack.append((tag, attrs, len(collecting), own))
+            self.stack.append((tag, tuple(met), ends, review))
             self.open[tag] += 1
-            self.collecting += collecting
-            if own is not None:
-                self.inside.append(own)
+            if review is not None:
+                for part in self.REVIEW_PARTS:
+                    self.waiting[part].append(review)
 
     def handle_endtag(self, tag):
         while self.open[tag]:
-            top, _, collecting, own = self.stack.pop()
-            self.open[top] -= 1
-            del self.collecting[len(self.collecting) - collecting :]
-            if own is not None:
-                self.inside.pop()
+            top = self.stack[-1][0]
+            self._end()
             if top == tag:
                 break
 
+    def _end(self) -> None:
+        top, _, ends, review = self.stack.pop()
+        self.open[top] -= 1
+        for stretch in ends:
+            stretch[1] = len(self.texts)
+        if review is not None:
+            review["stars"][1] = self.stars
+            for part in self.REVIEW_PARTS:
+                if self.waiting[part] and self.waiting[part][-1] is review:
+                    self.waiting[part].pop()
+
+    def close(self):
+        super().close()
+        while self.stack:
+            self._end()
+        said: dict[int, str] = {}  # reviews may share a stretch
+        for owner, parts in ((self.page, self.PAGE_PARTS), *((r, self.REVIEW_PARTS) for r in self.reviews)):
+            for part in parts:
+                if part in owner:
+                    one = owner[part]
+                    if id(one) not in said:
+                        said[id(one)] = "".join(self.texts[one[0] : one[1]])
+                        self.kept.append(one)
+                    owner[part] = said[id(one)]
+        for review in self.reviews:
+            review["stars"] = review["stars"][1] - review["stars"][0]
+
     def handle_data(self, data):
-        for owner, part in self.collecting:
-            owner[part] += data
+        self.texts.append(data)
 
 
 def _page_rows(page_id, url, html, selectors) -> list[tuple]:

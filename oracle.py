@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from opinara.functions import wordlists as L
 from opinara.operators.language import EVIDENCE, TRIGRAMS, WEIGHT_UNIT
-from opinara.plans.catalog import ALERT, AS_OF, CURVE, RELATIVE_FORMS, TOPIC_NAMES
+from opinara.functions.lexicon import POLARITY, INTENSITY
+from opinara.plans.catalog import ALERT, ARABIC_TEXTS, AS_OF, CURVE, RELATIVE_FORMS, TOPIC_NAMES
 from opinara.sources.reviews import TEST_CITIES
 
 
@@ -102,6 +103,16 @@ def ladder(c: str, rules, default: str) -> str:
     return f"CASE {arms} ELSE {default} END"
 
 
+def plain_ladder(c: str, rules, default: str) -> str:
+    """The ladder with accents ignored on both sides."""
+    arms = " ".join(
+        "WHEN " + " OR ".join(f"contains(strip_accents(lower({c})), strip_accents(lower({text(s)})))" for s in spellings)
+        + f" THEN {text(value)}"
+        for spellings, value in rules
+    )
+    return f"CASE {arms} ELSE {default} END"
+
+
 RAW_CITY = (
     "CASE WHEN contains(bank_location, ',') THEN "
     "trim(regexp_extract(bank_location, '(?s).*,\\s*(.*)$', 1), ' ') END"
@@ -525,6 +536,53 @@ GROUP BY 1, 2""")
 
 ONE_TOPIC = "(SELECT DISTINCT topic_id, topic_name FROM dim_topic) t ON f.topic_id = t.topic_id"
 
+def arabic_reviews() -> str:
+    n = len(ARABIC_TEXTS)
+    return f"""WITH r AS (SELECT doc_id, text, {listed(ARABIC_TEXTS)}[{hash_number('text', 0)} % {n + 1} + 1]
+      || ' ' || (doc_id % 10) AS final_text FROM documents),
+    l AS (SELECT *, CASE WHEN final_text IS NULL OR length({trim('final_text')}) < 3 THEN 'unknown'
+      WHEN regexp_matches(final_text, '[{L.ARABIC_BLOCK}]') THEN 'ar' ELSE {by_indicators('final_text')} END AS language FROM r)"""
+
+
+def arabic_scored(model: bool) -> str:
+    rows = [(x, "p", t, w) for x, some in POLARITY.items() for t, w in some.items()] + [("en", "i", t, w) for t, w in INTENSITY.items()]
+    values = ", ".join(f"({text(x)}, {text(k)}, {text(t)}, CAST({w} AS DOUBLE))" for x, k, t, w in rows)
+    by_model = """CASE WHEN contains(final_text, 'ممتاز') THEN 1 WHEN contains(final_text, 'سيء') THEN -1 ELSE 0 END
+      * CAST(right(final_text, 1) AS INTEGER) / 10"""
+    mean = "coalesce(pol / nullif(pol_n, 0), 0)"
+    return arabic_reviews() + f""",
+    lex AS (SELECT * FROM (VALUES {values}) AS v(lang, kind, term, weight)),
+    w AS (SELECT *, CASE WHEN language IN ('fr', 'ar') THEN language ELSE 'en' END AS lang FROM l),
+    s AS (SELECT doc_id, coalesce(sum(weight) FILTER (kind = 'p'), 0) AS pol, count(*) FILTER (kind = 'p') AS pol_n,
+        coalesce(sum(weight) FILTER (kind = 'i'), 0) AS s
+      FROM (SELECT doc_id, lang, unnest({words('final_text', LETTERS + L.ARABIC_BLOCK)}) AS term FROM w)
+      JOIN lex USING (lang, term) GROUP BY 1),
+    p AS (SELECT w.*, CASE WHEN lang = 'en' THEN coalesce(s, 0) / sqrt(coalesce(s, 0) * coalesce(s, 0) + 15) * 0.6 + {mean} * 0.4
+      WHEN lang = 'ar' AND {'true' if model else 'false'} THEN {by_model} ELSE {mean} END AS polarity
+      FROM w LEFT JOIN s USING (doc_id))
+    SELECT doc_id, language, CASE WHEN length({trim('final_text')}) >= 3 THEN {label('polarity')} ELSE 'unknown' END AS sentiment,
+      CASE WHEN length({trim('final_text')}) >= 3 THEN {exact_round('polarity', 3)} ELSE 0.0 END AS sentiment_score FROM p"""
+
+
+def thin(body: str, replaced: str) -> str:
+    """Cleaning steps over changed raw reviews."""
+    steps = with_steps("staged", body)
+    return steps.replace("valid_raw AS (\nSELECT * FROM reviews_raw", f"valid_raw AS (\nSELECT * FROM (SELECT * REPLACE ({replaced}) FROM reviews_raw)")
+
+
+def page_reviews() -> str:
+    strip = lambda c: f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+    return with_steps("reviews_raw", f"""
+    , p AS (SELECT *, CASE WHEN doc_id % 3 <> 0 THEN {strip('bank_name')} ELSE {listed(L.SEARCH_BANKS)}[doc_id % 6 + 1] END AS name,
+      nullif(greatest(coalesce(review_rating, 0), 0), 0) AS stars FROM reviews_raw WHERE bank_name IS NOT NULL)
+    SELECT name AS bank_name, name || ' - ' || bank_location AS branch_name, bank_rating, bank_location,
+      strftime(DATE '{AS_OF}' - CAST(doc_id % 11 + 1 AS INTEGER), '%Y-%m-%d') AS review_date,
+      {strip('review_text')} AS review_text, stars AS review_rating FROM p
+    UNION ALL
+    SELECT name, name || ' - ' || bank_location, bank_rating, bank_location,
+      strftime(DATE '{AS_OF}' - 1, '%Y-%m-%d'), '', stars FROM p WHERE stars IS NOT NULL""")
+
+
 def build() -> dict[str, str]:
     enriched = lambda body: with_steps("enriched", body)
     sql = {
@@ -559,7 +617,7 @@ def build() -> dict[str, str]:
             "reviews_raw",
             f"SELECT doc_id, {surrogate('bank_name', 'review_date')} AS row_key FROM reviews_raw"),
         "city_and_region": with_steps("reviews_raw", f"""SELECT doc_id, city, region,
-            {ladder('city', L.REGION_RULES, text(L.UNKNOWN_REGION))} AS region_by_city
+            {plain_ladder('city', L.REGION_RULES, text(L.UNKNOWN_REGION))} AS region_by_city
             FROM (SELECT doc_id, {CITY} AS city, {REGION} AS region
               FROM (SELECT doc_id, {RAW_CITY} AS raw_city FROM reviews_raw))"""),
         "parse_relative_date": relative_forms(),
@@ -641,6 +699,46 @@ def build() -> dict[str, str]:
         "cap_links": """SELECT user_id, event_type AS url, min(event_id) AS position FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
             WHERE rn <= 5 GROUP BY 1, 2""",
+        "pages_to_raw_reviews": page_reviews(),
+        "read_reviews": with_steps("reviews_raw", """
+            SELECT * EXCLUDE (doc_id) FROM reviews_raw WHERE doc_id % 10 > 1
+            UNION ALL SELECT * EXCLUDE (doc_id) FROM reviews_raw WHERE doc_id % 10 > 1 AND doc_id % 7 = 2"""),
+        "rejected_records": """
+            SELECT CASE doc_id % 10 WHEN 0 THEN 'cut' ELSE 'type' END AS kind, count(*) AS n
+            FROM documents WHERE doc_id % 10 < 2 GROUP BY 1""",
+        "replace_partition": with_steps("staged", """
+            SELECT id, bank_name, review_date,
+            CASE WHEN rating_source = 'BANK_AVERAGE' THEN 5.0::DOUBLE ELSE review_rating END AS review_rating,
+            rating_source FROM staged"""),
+        "partition_pruning": with_steps("staged", """
+            SELECT count(*) AS rows_of_source, true AS fewer_files FROM staged WHERE rating_source = 'BANK_AVERAGE'"""),
+        "sorted_output": with_steps("staged", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS inversions FROM staged"),
+        "sentiment_arabic": arabic_scored(True),
+        "sentiment_arabic_lexicon": arabic_scored(False),
+        "normalize_text_arabic": arabic_reviews() + f""" SELECT doc_id, CASE WHEN length({trim('final_text')}) >= 2 THEN
+            {joined(without(words('final_text', '0-9' + LETTERS + L.ARABIC_BLOCK),
+                            L.french_stop_words() + L.ARABIC_STOP_WORDS + L.ENGLISH_STOP_WORDS))} END AS arabic,
+            CASE WHEN length({trim('text')}) >= 2 THEN
+            {joined(without(words('text', '0-9' + LETTERS), L.stop_words('fr', True)))} END AS polar FROM r""",
+        "impute_global": thin("""
+            SELECT rating_source, review_rating, bank_rating, text_quality, count(*) AS review_count
+            FROM staged GROUP BY ALL""", """
+            CASE WHEN K % 3 = 0 OR (K % 4 = 1 AND doc_id % 50 <> 0) THEN NULL ELSE review_rating END AS review_rating,
+            CASE WHEN K % 3 = 0 THEN NULL ELSE bank_rating END AS bank_rating,
+            CASE WHEN doc_id % 9 = 0 THEN substr(review_text, 1, 40) || repeat(' 12.34;', 40) ELSE review_text END AS review_text""".replace(
+            "K %", "TRY_CAST(regexp_extract(bank_name, '[0-9]+') AS INTEGER) %")),
+        "impute_default": thin("""
+            SELECT rating_source, review_rating, bank_rating, count(*) AS review_count FROM staged GROUP BY ALL""", """
+            CAST(NULL AS INTEGER) AS review_rating, CAST(NULL AS VARCHAR) AS bank_rating"""),
+        "merge_repeated_topics": enriched("""
+            , assigned AS (SELECT id, topic_id, topic_name, topic_confidence FROM (
+              SELECT * EXCLUDE (id), substr(id, 1, 2) AS id,
+                row_number() OVER (PARTITION BY substr(id, 1, 2) ORDER BY topic_id, topic_name, topic_confidence)
+                AS rn FROM enriched WHERE language = 'fr') WHERE rn = 1)
+            SELECT substr(s.id, 1, 2) AS id, s.bank_name, coalesce(a.topic_id, -1) AS topic_id,
+              coalesce(a.topic_name, 'Unclassified') AS topic_name,
+              coalesce(a.topic_confidence, 0.0) AS topic_confidence, count(*) AS n
+            FROM staged s LEFT JOIN assigned a ON substr(s.id, 1, 2) = a.id GROUP BY ALL"""),
         "append_batches": with_steps("reviews_raw", "SELECT * FROM reviews_raw"),
         "preprocess_for_topics":
             f"SELECT doc_id, {joined(TOPIC_TOKENS)} AS processed_text FROM documents",
@@ -725,4 +823,9 @@ def build() -> dict[str, str]:
     ):
         sql[name] = make(True)
         sql[f"{name}_as_joined"] = make(False)
+    for name in (
+        "branch_performance", "sentiment_trends", "topic_analysis", "customer_experience", "reviews_by_sentiment_over_time",
+        "sentiment_by_bank", "sentiment_by_topic", "volume_by_topic_sentiment", "branch_ranking_in_bank", "topic_share",
+    ):
+        sql[f"{name}_live"] = sql[name]
     return sql

@@ -145,3 +145,57 @@ def test_bank_and_city_of_the_search_are_columns(spark):
         spark.createDataFrame([(1, "u", "<x>")], "page_id long, url string, html string").limit(0))
     searched = found.withColumns({"bank": F.lit("CIH"), "town": F.lit("Rabat")})
     assert pages.page_reviews_to_raw(searched, F.col("bank"), F.col("town"), "2024-03-31").count() == 0
+
+
+def test_broken_records_are_kept_aside(spark, tmp_path):
+    lines = [json.dumps(RECORDS[0]), "{broken", json.dumps([RECORDS[1], RECORDS[1]]), json.dumps(RECORDS[0] | {"review_rating": "many"}), ""]
+    (tmp_path / "in.json").write_text("\n".join(lines), encoding="utf-8")
+    good = tables.read_reviews(spark, str(tmp_path / "in.json"), rejected=str(tmp_path / "bad"))
+    assert good.count() == 3
+    assert values(good, "bank_name", "review_rating") == [("BOA", 2), ("BOA", 2), ("CIH", 5)]
+    bad = tables.read_rejected(spark, str(tmp_path / "bad"))
+    assert sorted(r["record"] for r in bad.collect()) == sorted([lines[1], lines[3]])
+    assert all(r["file"].endswith("in.json") for r in bad.collect())
+    array = tmp_path / "array.json"
+    array.write_text(json.dumps(RECORDS, indent=1), encoding="utf-8")
+    assert tables.read_reviews(spark, str(array)).count() == 2
+    array.write_text(json.dumps(RECORDS, indent=1)[:-20], encoding="utf-8")
+    tables.read_reviews(spark, str(array), rejected=str(tmp_path / "bad2"))
+    assert tables.read_rejected(spark, str(tmp_path / "bad2")).count() >= 1
+
+
+def test_partitions_are_replaced_alone_and_pruned(spark, tmp_path):
+    df = spark.range(300).selectExpr("id", "CASE WHEN id < 200 THEN 'hot' ELSE concat('p', id % 3) END AS part", "0 AS v")
+    folder = str(tmp_path / "t")
+    tables.write_folder(df, folder, ["part"], ["id"])
+    tables.write_folder(df.filter("part = 'p1'").selectExpr("id", "part", "1 AS v"), folder, ["part"], only_these=True)
+    back = spark.read.parquet(folder)
+    assert back.count() == 300 and back.filter("v = 1").select("part").distinct().collect()[0]["part"] == "p1"
+    assert tables.files_scanned(back.filter("part = 'p1'")) < tables.files_scanned(back)
+    with pytest.raises(ValueError):
+        tables.write_folder(df, folder, only_these=True)
+    tables.write_folder(df.limit(1), folder, ["part"])
+    assert spark.read.parquet(folder).count() == 1
+
+
+def test_sorted_files_ascend(spark, tmp_path):
+    df = spark.range(0, 20_000, 1, 7).selectExpr("id", "crc32(cast(id AS string)) % 1000 AS n")
+    tables.write_sorted(df, str(tmp_path / "good"), [F.col("n").desc(), "id"])
+    files = tables.file_order(spark, str(tmp_path / "good"), F.struct(-F.col("n"), "id"))
+    assert files.agg(F.sum("rows"), F.sum("inversions")).first()[:] == (20_000, 0)
+    df.write.parquet(str(tmp_path / "bad"))
+    assert tables.file_order(spark, str(tmp_path / "bad"), F.struct(-F.col("n"), "id")).agg(F.sum("inversions")).first()[0] > 100
+
+
+def test_nested_unclosed_reviews_take_linear_time(spark):
+    import time
+
+    from opinara.sources.pages import _compile, _page_rows
+
+    selectors = {p: [_compile(x)] for p, x in (
+        ("name", "h1"), ("address", "h2"), ("rating", "h3"), ("review", "div.r"), ("date", "b"), ("text", "div p"), ("star", "li i"))}
+    start = time.perf_counter()
+    rows = _page_rows(1, "u", "<div class=r><li><i></i>" * 25_000 + "<p>said</p>", selectors)
+    assert time.perf_counter() - start < 5
+    assert len(rows) == 25_000 and {r[7] for r in rows} == {"said"}
+    assert [r[8] for r in rows[:2]] == [25_000, 24_999] and rows[-1][8] == 1

@@ -74,3 +74,79 @@ def test_alert_stream_updates_windows(spark, tmp_path):
     spark.sql("SELECT timestamp'2024-01-01 09:00:00' ts, 'p' s").write.mode("append").json(inbox)
     incremental.refresh_stream(alerts, refresh, state, mode="update").awaitTermination()
     assert seen == [(2, 0.5)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_batch_reads_its_own_buckets_and_no_text(spark, tmp_path):
+    inbox, store, state = (str(tmp_path / x) for x in ("in", "store", "state"))
+    stream = incremental.read_review_stream(spark, f"{inbox}/*.json", REVIEW)
+    for day in range(2):
+        rows(spark, [(f"2024-01-{day + 1:02d}", f"text {i}") for i in range(40)]).write.mode("append").json(inbox)
+        incremental.incremental_reviews(stream, store, state, buckets=8).awaitTermination()
+    facts = incremental._facts_of(None, incremental._keyed(rows(spark, [("2024-01-01", "x")]), 8)).schema
+    held = incremental.held_keys(spark, store, facts, [3], 9)
+    want = [f for f in spark.read.parquet(f"{store}-keys").inputFiles() if "bucket=3/" in f]
+    plan = plan_of(held)
+    assert "PartitionFilters: [bucket" in plan.replace("isnotnull(bucket#", "[bucket") or "bucket" in plan.split("PartitionFilters")[1][:200]
+    assert "review_text" not in plan and "bank_location" not in plan
+    assert 0 < held.count() < 80 and 0 < len(want)
+    from opinara.sources.tables import files_scanned
+    keys = incremental._read(spark, f"{store}-keys", incremental._key_schema(facts))
+    assert files_scanned(keys.filter("bucket = 3").select("key_hash")) == len(want) < files_scanned(keys.select("key_hash"))
+
+
+def test_counts_follow_replaced_rows(spark, tmp_path):
+    """Facts of a replaced row are taken off; equal ranks are settled by the rule, texts and all."""
+    inbox, store, state = (str(tmp_path / x) for x in ("in", "store", "state"))
+    stream = incremental.read_review_stream(spark, f"{inbox}/*.json", REVIEW)
+    files = [
+        [("4,0", "x, Rabat", "Bon service", None), (None, "x, Rabat", "lent", 2), ("1,0", "z, Fes", "egal", 3)],
+        [("3,0", "x, Rabat", "bon service ", 4), (None, "a, Rabat", "LENT", 2), ("1,0", "b, Fes", "egal", 3)],
+        [(None, "x, Rabat", "bon SERVICE", 4), ("5,0", "q, Rabat", "lent", 2), ("1,0", "b, Fes", "Egal", 3)],
+        [("4,0", "x, Rabat", "Bon service", None), ("5,0", "q, Rabat", "lent", 2)],
+    ]
+    describe = lambda df: df.select("key_hash", "bank_location", "review_rating", "review_text")
+    every = None
+    for spec in files:
+        new = spark.createDataFrame([("cih", "a", b, place, "2024-01-01", t, s) for b, place, t, s in spec], REVIEW).coalesce(1)
+        new.write.mode("append").json(inbox)
+        every = new if every is None else every.union(new)
+        incremental.incremental_reviews(stream, store, state, buckets=4, describe=describe).awaitTermination()
+        want = dedup_reviews(every)
+        assert values(incremental.stored_reviews(spark, store, REVIEW)) == values(want)
+        counted = incremental.combinations(spark, store)
+        assert values(counted, "bank_location", "review_rating", "review_text", "n") == values(
+            want.select("bank_location", "review_rating", "review_text", F.lit(1).alias("n")))
+
+
+def test_live_reports_are_tables_after_every_batch(spark, tmp_path):
+    from opinara.plans import live, reports, staging
+    from opinara.plans.enrichment import enrich
+    from opinara.plans.marts import build_star
+
+    inbox, store, state = (str(tmp_path / x) for x in ("in", "store", "state"))
+    classify = lambda df: df.withColumns({
+        "topic_name": F.when(F.length("final_text") > 12, "long").otherwise("short"), "topic_confidence": F.lit(0.5)})
+    stream = incremental.read_review_stream(spark, f"{inbox}/*.json", REVIEW)
+    spark.sql("CREATE DATABASE IF NOT EXISTS opinara_live")
+    every = None
+    try:
+        for day in ("2024-01-01", "2024-01-02"):
+            data = [(f"bank{i % 3}", f"b{i % 5}", None, f"{i % 2}, Rabat", day if i % 4 else "2024-01-01", f"très bon service {i % 9}",
+                     None if i % 3 == 0 and day.endswith("1") else i % 6) for i in range(40)]
+            new = spark.createDataFrame(data, REVIEW)
+            new.write.mode("append").json(inbox)
+            every = new if every is None else every.union(new)
+            live.live_reports(stream, store, state, "opinara_live", classify=classify).awaitTermination()
+            star = build_star(classify(enrich(staging.staging(every, processed_at=False))))
+            for name in ("branch_performance", "customer_experience", "topic_share"):
+                spark.catalog.refreshTable(f"opinara_live.{name}")  # another session wrote it
+            for name in ("branch_performance", "customer_experience"):
+                want = getattr(reports, name)(star)
+                assert values(spark.table(f"opinara_live.{name}")) == values(want)
+            assert values(spark.table("opinara_live.topic_share")) == values(reports.topic_share(star))
+    finally:
+        spark.sql("DROP DATABASE opinara_live CASCADE")
