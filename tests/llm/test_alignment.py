@@ -1,6 +1,8 @@
 import hashlib
-from collections import Counter, defaultdict
+from collections import Counter, defaultdict, deque
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from opinara.llm import alignment, tokens
@@ -31,12 +33,12 @@ def brute_force(aligner, texts):
             want = (" " + text).encode()
             if b"".join(x for _, x in a) == want and b"".join(x for _, x in b) == want:
                 a_ends, b_ends = ends(a), ends(b)
-                begin = 0
+                left, right = deque(zip(a, a_ends)), deque(zip(b, b_ends))
                 for stop in sorted(set(a_ends) & set(b_ends)):
-                    groups.append((
-                        [t for (t, _), e in zip(a, a_ends) if begin < e <= stop],
-                        [t for (t, _), e in zip(b, b_ends) if begin < e <= stop]))
-                    begin = stop
+                    groups.append(([], []))
+                    for own, side in zip(groups[-1], (left, right)):
+                        while side and side[0][1] <= stop:
+                            own.append(side.popleft()[0][0])
         all_groups.append(groups)
     held = Counter()
     for groups in all_groups:
@@ -81,31 +83,42 @@ def test_equals_whole_texts(spark, sf_dir, make_docs, odd_docs, aligner):
 
 
 def test_chunks_share_their_counts(make_docs, aligner, monkeypatch):
-    """Many chunks, units that fall out of the cache, and one text in a third of the rows."""
+    """Many chunks, and one text in a third of the rows."""
     texts = [f"word{i % 7} shared words here {i}" if i % 3 else "the very same text" for i in range(90)]
-    monkeypatch.setattr(alignment, "CHUNK", 200)
-    monkeypatch.setattr(alignment.W, "groups", lambda x, size=0: ((i, [t or ""]) for i, t in enumerate(x)))
-    df = make_docs(texts)
-    rows = alignment._documents(aligner, alignment._Chunk(0), df.toArrow()["doc_id"].combine_chunks(), [t for t in texts])
-    assert rows.num_rows == 90
-    assert got(alignment.align(df)) == brute_force(aligner, texts)
-
-
-def test_small_cache(aligner, monkeypatch):
-    monkeypatch.setattr(alignment, "CACHE_BYTES", 2_000)
-    units = ["one", "two", "three", "four", "five", "six", "one"]
-    hashes = [1, 2, 3, 4, 5, 6, 1]
-    first = aligner.units(hashes[:6], lambda i: units[i])
-    again = aligner.units(hashes[:6], lambda i: units[i])
-    assert [u.text for u in first] == [u.text for u in again]
-    assert aligner.bytes <= 4_000
-    aligner.known, aligner.bytes = {}, 0
+    docs = make_docs(texts)
+    batch = docs.toArrow().combine_chunks().to_batches()[0]
+    parts = [x for at in range(0, 90, 10) for x in alignment._documents(
+        aligner, at, batch.column("doc_id").slice(at, 10), batch.column("text").slice(at, 10).to_pylist())]
+    rows = docs.sparkSession.createDataFrame(pa.Table.from_batches(parts), alignment.ALIGNED)
+    monkeypatch.setattr(alignment, "aligned_chunks", lambda *a: rows)
+    assert got(alignment.align(docs)) == brute_force(aligner, texts)
+
+
+def test_units_fall_out_of_memory(aligner, monkeypatch):
+    monkeypatch.setattr(alignment, "KNOWN_UNITS", 6)
+    aligner.forget()
+    want = {w: [x.codes.tolist() for x in aligner.align([w])] for w in (f"word{i}" for i in range(40))}
+    for turn in range(60):
+        texts = [f"word{(turn * 3 + i) % 40}" for i in range(5)]
+        hashes = np.sort(np.array([int(t[4:]) for t in texts], np.uint64))
+        found = aligner.units(hashes, lambda i: f"word{hashes[i]}")
+        for row, h in enumerate(hashes.tolist()):
+            assert [x.rows(np.array([row])).codes.tolist() for x in found] == want[f"word{h}"]
+        assert len(aligner.hashes) <= 11
+    aligner.forget()
+
+
+def test_large_groups_are_counted_before_they_are_paired(aligner, monkeypatch):
+    units = ["word", "日本語のテキスト", "xxxxxxxxxxxxxxxxx", "é" * 30, "ꙮꙮꙮꙮ"]
+    want = [x.tolist() for x in alignment.unit_links(*aligner.align(units))]
+    monkeypatch.setattr(alignment, "LARGE_GROUP", 1)
+    assert [x.tolist() for x in alignment.unit_links(*aligner.align(units))] == want
 
 
 def test_ends_by_spans_and_by_bytes():
-    decoded = [b" ", b"\xe6\x97", b"\xa5", b"ab"]
-    assert alignment.token_ends([0, 1, 2, 3], [(0, 1), (1, 4), (1, 4), (4, 6)], decoded) == [1, 3, 4, 6]
-    assert alignment.token_ends([0, 3], [(1, 1), (1, 3)], decoded) == [1, 3]
+    ends = lambda spans, sizes: alignment.token_ends(*np.array(spans).T, np.array(sizes)).tolist()
+    assert ends([(0, 1), (1, 4), (1, 4), (4, 6)], [1, 2, 1, 2]) == [1, 3, 4, 6]
+    assert ends([(1, 1), (1, 3)], [1, 2]) == [1, 3]
 
 
 def test_empty_table_and_other_columns(spark, make_docs, aligner):
