@@ -29,7 +29,7 @@ from .components import components
 from .jaccard_join import shingle_sets
 
 BANDS, ROWS = 26, 5
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 2
 PARITY_BITS = 10  # 1024 bits in 16 longs
 
 
@@ -148,6 +148,18 @@ def confirm(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, perc
     return pairs.join(left, "a").join(right, "b").mapInArrow(compare, "a binary, b binary")
 
 
+def _merged(links: DataFrame) -> DataFrame:
+    """``node, label`` of linked nodes: the greatest node within two steps.
+
+    Equal labels are connected, but connected nodes may differ; a pivot is the greatest of its
+    bucket at first, so its links fall together.
+    """
+    both = links.select("a", "b").union(links.select("b", "a"))
+    moves = both.groupBy("a").agg(F.max("b").alias("b")).select("a", F.greatest("a", "b").alias("to"))
+    onward = moves.select(F.col("a").alias("to"), F.col("to").alias("label"))
+    return write_once(moves.join(onward, "to").select(F.col("a").alias("node"), "label"), "minhash_groups")
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
@@ -169,7 +181,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     links = groups = tried = None
 
     def compare(pairs: DataFrame) -> None:
-        """Confirm pairs not compared before; the classes that all links make."""
+        """Confirm pairs not compared before, and merge what all links connect."""
         nonlocal links, groups, tried
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tried is not None:
@@ -178,7 +190,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
         tried = pairs if tried is None else tried.union(pairs)
         found = write_once(confirm(pairs, docs, nodes, size, percent), "minhash_links")
         links = found if links is None else links.union(found)
-        groups = components(links)
+        groups = _merged(links)
 
     def grouped(rows: DataFrame) -> DataFrame:
         if groups is None:
@@ -208,6 +220,8 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
             apart = (F.col("group_a") < F.col("group_b")) & _may_link(percent)
             compare(side("a").join(side("b"), "key").filter(apart).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
 
+    if links is not None:
+        groups = components(links)
     first = grouped(nodes.select("node", "first_doc"))
     least = first.groupBy("group").agg(F.min("first_doc").alias("component_id"))
     by_node = first.join(least, "group").select("node", "component_id")
