@@ -3,9 +3,9 @@
 Environment: BENCH_SF_DIR (input tables), BENCH_CPUS (local cores), BENCH_RUNS
 (runs per query, the fastest counts), BENCH_QUERIES (comma-separated subset).
 
-Tables that several queries share (cleaned, staged, enriched reviews, star
-schema) are built once and timed on their own as ``build_*``; every other query
-runs in full each time.
+Tables that several queries share (cleaned, staged, enriched reviews, language
+model, star schema, review store) are built once and timed on their own as
+``build_*``; every other query runs in full each time.
 """
 
 from __future__ import annotations
@@ -27,9 +27,10 @@ HEADLINE = [
     "average_rating_per_bank", "bank_statistics", "detect_language", "language_model_accuracy",
     "sentiment_by_lexicon_join", "topic_vocabulary", "assign_topics", "fact_reviews",
     "branch_performance", "sentiment_trends", "topic_analysis", "customer_experience",
-    "branch_ranking_in_bank", "negative_spike_alert", "incremental_reviews", "pages_to_reviews",
+    "branch_ranking_in_bank", "negative_spike_alert", "incremental_reviews", "branch_performance_live",
+    "pages_to_reviews", "pages_to_raw_reviews", "read_reviews",
 ]
-SHARED = ["cleaned", "staged", "enriched", "star"]
+SHARED = ["cleaned", "staged", "trained_language_model", "enriched", "star", "review_store", "live_star"]
 
 
 def main() -> None:

@@ -87,6 +87,10 @@ def lexicon(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("lang", "source", "term", ((digit - 8) / F.col("unit")).alias("weight"))
 
 
+def written_lexicon(spark: SparkSession, d: str) -> DataFrame:
+    return _once(spark, d, "lexicon", lambda: write_once(lexicon(spark, d), "lexicon"))
+
+
 def with_topics(df: DataFrame) -> DataFrame:
     """Stand-in topics from a hash of the text."""
     number = hash_number(F.col("final_text"), 0)
@@ -835,7 +839,7 @@ def review_store(spark: SparkSession, d: str) -> str:
             raw.filter(own | again).write.parquet(f"{inbox}/{number}")
             stream = incremental.read_review_stream(spark, f"{inbox}/*", raw.schema, "parquet")
             live.live_reports(
-                stream, store, state, classify=with_topics, lexicon=lexicon(spark, d),
+                stream, store, state, classify=with_topics, lexicon=written_lexicon(spark, d),
                 language_model=trained_language_model(spark, d)).awaitTermination()
         return store
 

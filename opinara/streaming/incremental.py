@@ -109,12 +109,15 @@ def incremental_reviews(
     the end of every batch.
     """
 
+    shape: list[T.StructType] = []  # of the facts, once for the stream
+
     def take_in(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         new = write_once(_keyed(dedup_reviews(batch), buckets), "new_reviews")
         own = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most ``buckets``
-        shape = _facts_of(describe, new).schema
-        held = held_keys(spark, store, shape, own, batch_id)
+        if not shape:
+            shape.append(_facts_of(describe, new).schema)
+        held = held_keys(spark, store, shape[0], own, batch_id)
         keys = write_once(_preferred(new, held, store, batch_id), "accepted_keys")
         accepted = new.join(keys.select("key_hash"), "key_hash").select(*new.columns)
         facts = write_once(_facts_of(describe, accepted, keyed=True), "facts")
