@@ -15,9 +15,10 @@ import unicodedata
 import numpy as np
 
 from . import words as W
+from .wordcache import RaggedCache
 
 SAFE = 0x250  # below: each letter lower-cases to one letter and is its own composed form
-CACHED_PIECES = 1_000_000
+CACHED_PIECES = 500_000
 _LETTER, _DIGIT, _SPACE, _OTHER = range(4)
 
 
@@ -48,7 +49,7 @@ class PieceTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = False
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[int, bytes] = {}
+        self.known = RaggedCache(CACHED_PIECES)
 
     @classmethod
     def load(cls, path: str) -> PieceTokenizer:
@@ -78,22 +79,16 @@ class PieceTokenizer:
         solid = kind[edges[:-1]] != _SPACE
         start, end = edges[:-1][solid], edges[1:][solid]
         hashes, first, which = np.unique(W.run_hashes(points, start, end), return_index=True, return_inverse=True)
-        if len(self.known) > CACHED_PIECES:
-            self.known = {}
-        lowered = None
-        coded = []
-        for h, i in zip(hashes.tolist(), first.tolist()):
-            ids = self.known.get(h)
-            if ids is None:
-                if lowered is None:
-                    lowered = points.tobytes().decode("utf-32-le")
-                ids = self.known[h] = np.array(self._piece(lowered[start[i] : end[i]]), np.uint32).tobytes()
-            coded.append(ids)
-        if not coded:
+        if not len(hashes):
             return [np.empty(0, np.uint32) for _ in texts]
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        lowered: list[str] = []
+
+        def code(new: list[int]) -> list[list[int]]:
+            lowered.append(points.tobytes().decode("utf-32-le"))
+            return [self._piece(lowered[0][start[i] : end[i]]) for i in first[new].tolist()]
+
+        sizes, flat = self.known.get(hashes, code)
         begins = np.cumsum(sizes) - sizes
-        flat = np.frombuffer(b"".join(coded), np.uint32)
         n = sizes[which]
         ends = np.cumsum(n)
         ids = flat[np.repeat(begins[which] - (ends - n), n) + np.arange(ends[-1])]
