@@ -41,13 +41,19 @@ def _words_of_block(values: np.ndarray) -> np.ndarray:
     taken = np.ones(n, np.int64)
     selector = np.full(n, 14, np.uint8)
     selector[values >= np.uint64(1 << 60)] = ESCAPE
+    # bits of each value (60 for all that selector 14 holds), and the most in runs of 1, 2, 4, ... values
+    bits = np.minimum(np.frexp(values.astype(np.float64))[1], 60).astype(np.uint8)
+    bits[selector == ESCAPE] = 64
+    most = [bits]
+    while 2 << len(most) <= 2 * n:
+        half = 1 << (len(most) - 1)
+        most.append(np.maximum(most[-1][:-half], most[-1][half:]))
     for k in range(13, -1, -1):
-        count, bits = COUNTS[k], BITS[k]
+        count = COUNTS[k]
         if count > n:
             break
-        large = np.zeros(n + 1, np.int64)
-        np.cumsum(values >> np.uint64(bits) != 0, out=large[1:])
-        fits = np.flatnonzero(large[count:] == large[:-count])
+        run = most[count.bit_length() - 1]  # two runs that overlap cover ``count`` values
+        fits = np.flatnonzero(np.maximum(run[: n - count + 1], run[len(run) - (n - count + 1) :]) <= BITS[k])
         taken[fits], selector[fits] = count, k
     places, at, steps = [], 0, taken.tolist()
     while at < n:

@@ -51,3 +51,24 @@ def test_each_letter_is_coded_as_by_the_tokenizer():
     texts = [f"a{chr(c)}b {chr(c)}{chr(c)}" for c in [*range(0x260), 0x301, 0x3A3, 0x4E00]]
     for text, ids in zip(texts, coder.encode(texts)):
         assert ids.tolist() == coder.whole(text).tolist(), text
+
+
+@pytest.mark.parametrize("limit", [3, 10, 1000])
+def test_ragged_cache_gives_what_was_made(limit):
+    from opinara.llm.wordcache import RaggedCache
+
+    cache, rng = RaggedCache(limit), np.random.default_rng(limit)
+    for _ in range(60):
+        hashes = np.unique(rng.integers(0, 30, 8).astype(np.uint64))
+        sizes, flat = cache.get(hashes, lambda new: [[int(hashes[i])] * int(hashes[i] % 4) for i in new])
+        assert sizes.tolist() == [int(h % 4) for h in hashes]
+        assert flat.tolist() == [int(h) for h in hashes for _ in range(int(h % 4))]
+        assert len(cache.hashes) <= max(limit, limit // 2 + 16)
+
+
+def test_a_small_cache_changes_no_ids(monkeypatch, odd_docs):
+    coder = tokens.PieceTokenizer(tokens.path())
+    coder.known = tokens.RaggedCache(2)
+    texts = [t or "" for t in ODD_TEXTS]
+    for _ in range(2):
+        assert [x.tolist() for x in coder.encode(texts)] == [coder.whole(t).tolist() for t in texts]
