@@ -24,8 +24,11 @@ def _whole(docs: DataFrame) -> Column:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter go, and those of no learnt language (a posterior under one half)."""
     model = language_id.learn(docs.filter(wordcache.remainder("doc_id", 4) != 2), tokens.path())
-    found = language_id.predict(docs.select("text", _whole(docs)), model, tokens.path())
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= 0.5)).select("row.*")
+    # names that clash with nothing; the text goes through Python once
+    names = {c: "text" if c == "text" else f"column_{i}" for i, c in enumerate(docs.columns)}
+    found = language_id.predict(docs.select(*(docs[c].alias(n) for c, n in names.items())), model, tokens.path(), keep_text=True)
+    kept = found.filter((F.col("lang_pred") != "und") & (F.col("score") >= 0.5))
+    return kept.select(*(kept[n].alias(c) for c, n in names.items()))
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
