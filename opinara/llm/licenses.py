@@ -1,7 +1,9 @@
 """License scan: phrases by place, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text, as the set of its words; it carries a template's label when it
-contains at least ``percent`` of the template's words.  Template words are ordered by their
+A block is a window of ``WINDOW`` words, every ``STRIDE`` words, as the set of its words, so a
+notice is found however its lines are wrapped or commented, and words far apart are not
+taken for one; any ``STRIDE`` words in a row lie in one block, and no template is longer.  A
+block carries a template's label when it contains at least ``percent`` of its words.  Template words are ordered by their
 number of documents in the whole table, rarest first.  A block that contains enough of a
 template has one of the template's first ``size - needed + 1`` words (prefix filter), has
 enough template words at all (length filter), and has enough of them left after the first
@@ -27,7 +29,10 @@ PHRASES = {
 TEMPLATES = [
     ("agpl", "licensed under the gnu affero general public license"),
     ("apache", "licensed under the apache license version 2 0"),
+    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
     ("gpl", "this work is licensed under the gnu general public license version 3"),
@@ -36,9 +41,11 @@ TEMPLATES = [
     ("lgpl", "licensed under the gnu lesser general public license"),
     ("mit", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
     ("mpl", "subject to the terms of the mozilla public license v 2 0"),
 ]
 PERCENT = 90
+WINDOW, STRIDE = 80, 40  # words; no template has more than STRIDE
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PHRASE = "(?<= )(?:" + "|".join(PHRASES) + ")(?= )"
 
@@ -97,16 +104,18 @@ def template_table(docs: DataFrame, percent: int = PERCENT) -> tuple[list[tuple[
 def scan(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document row: ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score``.
 
-    ``labels`` holds the base labels and those of all templates that a line contains
+    ``labels`` holds the base labels and those of all templates that a block contains
     enough of; both lists are distinct, sorted and joined by commas.  ``score`` is 1 with a phrase, else the best
     share of a template found, else 0.  Null and empty texts have no words and no labels.
     """
     templates, order = template_table(docs, percent)
     prefixes = sorted({w for _, tokens, needed in templates for w in tokens[: len(tokens) - needed + 1]})
     known = F.array(*map(F.lit, order))
-    table = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("spaced", spaced(F.col("text")))
-    maybe = F.arrays_overlap(F.split("spaced", " "), F.array(*map(F.lit, prefixes)))
-    blocks = F.transform(F.split("text", "\n"), lambda line: F.array_intersect(known, F.split(spaced(line), " ")))
+    table = docs.select("doc_id", spaced(F.coalesce("text", F.lit(""))).alias("spaced"))
+    table = table.withColumn("words", F.split(F.trim("spaced"), " "))
+    maybe = F.arrays_overlap("words", F.array(*map(F.lit, prefixes)))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(STRIDE))
+    blocks = F.transform(starts, lambda i: F.array_intersect(known, F.slice("words", i, WINDOW)))
 
     def matches(block: Column) -> Column:
         """Templates contained in a block, given as its template words in the common order."""

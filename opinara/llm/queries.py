@@ -155,9 +155,7 @@ h AS (
   SELECT r, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list(DISTINCT label) AS labels FROM h GROUP BY r
 ), t AS (SELECT label, string_split(words, ' ') AS words FROM (VALUES @TEMPLATES@) AS t(label, words)),
 l AS (
-  SELECT r, list_distinct(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
-  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)
+  SELECT r, list_distinct(w[i + 1 : i + @WINDOW@]) AS w FROM (SELECT r, w, unnest(range(0, len(w), @STRIDE@)) AS i FROM d)
 ), m AS (
   SELECT r, list(DISTINCT label) AS labels, max(share) AS share FROM (
     SELECT r, label, len(list_intersect(w, words)) / len(list_distinct(words)) AS share,
@@ -170,7 +168,8 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
   CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(m.share, 0.0)::DOUBLE END AS score
 FROM d LEFT JOIN b USING (r) LEFT JOIN m USING (r)
 """.replace("@PHRASES@", ", ".join(f"('{p}', '{x}', {len(p.split())})" for p, x in licenses.PHRASES.items())
-).replace("@TEMPLATES@", ", ".join(f"('{x}', '{t}')" for x, t in licenses.TEMPLATES)).replace("@PERCENT@", str(licenses.PERCENT))
+).replace("@TEMPLATES@", ", ".join(f"('{x}', '{t}')" for x, t in licenses.TEMPLATES)).replace("@PERCENT@", str(licenses.PERCENT)
+).replace("@WINDOW@", str(licenses.WINDOW)).replace("@STRIDE@", str(licenses.STRIDE))
 
 
 @query

@@ -16,10 +16,10 @@ def brute_force(text):
     w = words(text)
     hits = [(i, label) for p, label in licenses.PHRASES.items() for i in range(len(w)) if w[i : i + len(p.split())] == p.split()]
     shares = []
-    for line in (text or "").split("\n"):
+    for start in range(0, len(w), licenses.STRIDE):
         for label, template in licenses.TEMPLATES:
             t = set(template.split())
-            both = len(t & set(words(line)))
+            both = len(t & set(w[start : start + licenses.WINDOW]))
             if 100 * both >= licenses.PERCENT * len(t):
                 shares.append((label, both / len(t)))
     places = [i for i, _ in hits]
@@ -59,3 +59,17 @@ def test_no_python_on_the_way(make_docs):
 
 def test_no_documents(make_docs):
     assert licenses.scan(make_docs([])).count() == 0
+
+
+def test_wrapped_and_commented_notices(make_docs):
+    """A notice is found across lines and comment marks, wherever it begins; words far apart are none."""
+    grant = next(t for x, t in licenses.TEMPLATES if x == "mit" and "granted" in t).split()
+    wrapped = "\n".join(" ".join(grant[i : i + 6]) for i in range(0, len(grant), 6))
+    bsd = next(t for x, t in licenses.TEMPLATES if x == "bsd").split()
+    commented = " * " + " ".join(bsd[:11]) + ",\n * " + " ".join(bsd[11:])
+    filler = " ".join(f"filler{i}" for i in range(35))
+    texts = [wrapped, commented, f"{filler} {wrapped} {filler}", f"{filler}\n{filler} # {commented}",
+             f" {filler} {filler} {filler} ".join(grant)]
+    rows = licenses.scan(make_docs(texts)).orderBy("doc_id").collect()
+    assert [r["labels"] for r in rows] == ["mit", "bsd", "mit", "bsd", ""]
+    assert max(len(t.split()) for _, t in licenses.TEMPLATES) <= licenses.STRIDE
