@@ -29,7 +29,7 @@ from .components import components
 from .jaccard_join import shingle_sets
 
 BANDS, ROWS = 26, 5
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 4
 PARITY_BITS = 10  # 1024 bits in 16 longs
 
 
@@ -179,10 +179,11 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     shared = members.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     members = write_once(members.join(write_once(shared, "minhash_keys").select("key"), "key"), "minhash_buckets")
     links = groups = tried = None
+    whole = False  # whether ``groups`` are the classes of all links
 
-    def compare(pairs: DataFrame) -> None:
-        """Confirm pairs not compared before, and merge what all links connect."""
-        nonlocal links, groups, tried
+    def compare(pairs: DataFrame) -> DataFrame:
+        """The links among pairs not compared before."""
+        nonlocal links, tried
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -190,7 +191,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
         tried = pairs if tried is None else tried.union(pairs)
         found = write_once(confirm(pairs, docs, nodes, size, percent), "minhash_links")
         links = found if links is None else links.union(found)
-        groups = _merged(links)
+        return found
 
     def grouped(rows: DataFrame) -> DataFrame:
         if groups is None:
@@ -199,6 +200,9 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
         return rows.join(found, "node", "left").withColumn("group", F.coalesce("group", "node"))
 
     for turn in range(PIVOT_ROUNDS + 1):
+        if links is not None:  # whole classes before the last round, whose pairs they save
+            whole = turn == PIVOT_ROUNDS
+            groups = components(links) if whole else _merged(links)
         rows = write_once(grouped(members), "minhash_members")
         order = F.xxhash64("node", F.lit(turn))
         classes = rows.groupBy("key", "group").agg(
@@ -218,9 +222,10 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
             rows = rows.join(buckets.select("key"), "key").join(nodes.select("node", "parity"), "node")
             side = lambda x: rows.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "group", "parity")))  # noqa: B023, E731
             apart = (F.col("group_a") < F.col("group_b")) & _may_link(percent)
-            compare(side("a").join(side("b"), "key").filter(apart).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+            found = compare(side("a").join(side("b"), "key").filter(apart).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+            whole = whole and found.isEmpty()
 
-    if links is not None:
+    if links is not None and not whole:
         groups = components(links)
     first = grouped(nodes.select("node", "first_doc"))
     least = first.groupBy("group").agg(F.min("first_doc").alias("component_id"))
