@@ -40,6 +40,18 @@ def write_once(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete results of ``write_once`` that nothing reads any more; what was made from them must be written already."""
+    for table in tables:
+        spark = table.sparkSession
+        own = f"{checkpoint_dir(spark)}/opinara/".split(":", 1)[-1].lstrip("/")
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            if own not in folder:
+                raise ValueError(f"not a table of write_once: {folder}")
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give a source with fewer splits than cores one partition per core.
 
