@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import write_once
+from ..sources.scratch import discard, write_once
 from . import words as W
 from .components import components
 
@@ -76,67 +76,105 @@ def _parity(shingles: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n, node``, the minima of the set under each hash function, and its parity bits."""
+def _prefix_size(n: int, percent: int) -> int:
+    return n - -(-percent * n // 100) + 1
+
+
+def _first_size(n: int, percent: int) -> int:
+    """Prefix of the smaller (or equal) set of a pair."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1
+
+
+def _counted(n: int, percent: int) -> int:
+    return max(_prefix_size(n, percent), int(COUNTED * n)) if n else 0
+
+
+def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``doc_id, n, node``, the minima of the set under each hash function, its parity bits, and its lowest tokens.
+
+    ``low`` holds the tokens of the lowest hashes, in their order: somewhat more than the prefix of most sets.
+    """
     salts = W.mix(np.arange(1, PERMUTATIONS + 1).astype(np.uint64))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _each(batches, size):
             least = [[int(W.mix(s ^ salt).min().view(np.int64)) for salt in salts] if len(s) else [] for s in sets]
+            low = [s[: _counted(len(s), percent)].view(np.int64) for s in sets]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "n": pa.array(map(len, sets), pa.int64()),
                 "node": pa.array(map(_node, sets), pa.int64()), "least": pa.array(least, pa.list_(pa.int64())),
-                "parity": pa.array([_parity(s) if len(s) else None for s in sets], pa.binary()),
+                "parity": pa.array([_parity(s) if len(s) else None for s in sets], pa.binary()), "low": _lists(low),
             })
 
-    return docs.mapInArrow(make, "doc_id long, n long, node long, least array<long>, parity binary")
+    return docs.mapInArrow(make, "doc_id long, n long, node long, least array<long>, parity binary, low array<long>")
 
 
-def _prefix_size(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *arrays])))
 
 
-def _first_size(n: int, percent: int) -> int:
-    """Prefix of the smaller (or equal) set of a pair."""
-    return n - -(-2 * percent * n // (100 + percent)) + 1
-
+def whole_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``node, n, low`` of the nodes ``wanted(node)`` with all their tokens as ``low``, from a text of each."""
 
-def _counted(s: np.ndarray, percent: int) -> int:
-    return max(_prefix_size(len(s), percent), int(COUNTED * len(s)))
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, sets in _each(batches, size):
+            own = [(node, s.view(np.int64)) for node, s in zip(batch.column("node").to_pylist(), sets) if _node(s) == node]
+            yield pa.RecordBatch.from_pydict({  # other texts of a repeated doc_id drop out
+                "node": pa.array([x for x, _ in own], pa.int64()), "n": pa.array([len(s) for _, s in own], pa.int64()),
+                "low": _lists([s for _, s in own]),
+            })
 
+    at = nodes.select("node", F.col("first_doc").alias("doc")).join(wanted, "node")
+    texts = docs.join(at, F.col("doc_id").eqNullSafe(F.col("doc"))).select("node", "text")
+    return texts.mapInArrow(make, "node long, n long, low array<long>")
 
-def low_tokens(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The lowest tokens of every set, by hash: somewhat more than the prefix of most."""
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _each(batches, size):
-            low = [s[: _counted(s, percent)] for s in sets if len(s)]
-            if low:
-                yield pa.RecordBatch.from_pydict({"token": pa.array(np.concatenate(low).view(np.int64))})
+def _prefixes(batch: pa.RecordBatch, many: list[tuple[int, np.ndarray]], percent: int):
+    """The tokens of a batch of ``n, low``, and per set its row, first place, n, and the places of its prefix.
 
-    return docs.mapInArrow(make, "token long")
+    Tokens held by more sets come later, else lower hashes first.  ``None``: the prefix may
+    hold tokens beyond ``low``.
+    """
+    lists = batch.column("low")
+    tokens, bounds = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
+    level = sum(holds(filled, tokens).astype(np.int8) for filled in many)
+    found = []
+    for row, (a, b, n) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), batch.column("n").to_pylist())):
+        size = _prefix_size(n, percent)
+        places = np.flatnonzero(level[a:b] == 0)[:size]
+        if len(places) < size:
+            places = np.argsort(level[a:b], kind="stable")[:size] if b - a == n else None
+        found.append((row, a, n, None if places is None else places + a))
+    return tokens, bounds, found
+
+
+def deep_nodes(lows: DataFrame, percent: int, many) -> DataFrame:
+    """``node`` of the sets whose prefix may hold tokens beyond ``low``."""
 
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            deep = [row for row, _, _, places in _prefixes(batch, many.value, percent)[2] if places is None]
+            yield batch.select(["node"]).take(pa.array(deep, pa.int64()))
 
-def _prefix(s: np.ndarray, many: list[tuple[int, np.ndarray]], percent: int) -> np.ndarray:
-    level = sum(holds(filled, s).astype(np.int8) for filled in many)
-    return s[np.argsort(level, kind="stable")[: _prefix_size(len(s), percent)]]
+    return lows.select("node", "n", "low").mapInArrow(make, "node long")
 
 
-def late_tokens(docs: DataFrame, size: int, percent: int, many, whole: bool) -> DataFrame:
-    """Of sets whose prefix goes beyond what ``low_tokens`` counts: its tokens beyond, or all of theirs (``whole``)."""
+def late_tokens(sets: DataFrame, percent: int, many, whole: bool) -> DataFrame:
+    """Of whole sets whose prefix goes beyond their counted tokens: the tokens beyond in it, or all of theirs (``whole``)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _each(batches, size):
-            found = [np.empty(0, np.uint64)]
-            for s in sets:
-                if len(s):
-                    prefix, counted = _prefix(s, many.value, percent), _counted(s, percent)
-                    beyond = prefix[prefix > s[counted - 1]]
-                    if len(beyond):
-                        found.append(s[counted:] if whole else beyond)
-            yield pa.RecordBatch.from_pydict({"token": pa.array(np.concatenate(found).view(np.int64))})
+        for batch in batches:
+            tokens, bounds, found = _prefixes(batch, many.value, percent)
+            late = [np.empty(0, np.uint64)]
+            for row, a, n, places in found:
+                counted = a + _counted(n, percent)
+                beyond = places[places >= counted]
+                if len(beyond):
+                    late.append(tokens[counted : bounds[row + 1]] if whole else tokens[beyond])
+            yield pa.RecordBatch.from_pydict({"token": pa.array(np.concatenate(late).view(np.int64))})
 
-    return docs.mapInArrow(make, "token long")
+    return sets.select("n", "low").mapInArrow(make, "token long")
 
 
 def bit_set(tokens: DataFrame, n: int, max_bits: int = MAX_BITS) -> tuple[int, np.ndarray]:
@@ -155,10 +193,11 @@ def holds(filled: tuple[int, np.ndarray], tokens: np.ndarray) -> np.ndarray:
     return (filled[1][place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def postings(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def postings(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
     """``token, node, n, first``: the prefix tokens that another set may hold too.
 
     ``first`` marks those in the shorter prefix that is enough for the smaller set of a pair.
+    Most prefixes lie within ``low``; texts are split again only for the sets of the others.
     """
     spread = docs.sparkSession.sparkContext.broadcast
 
@@ -166,29 +205,40 @@ def postings(docs: DataFrame, size: int, percent: int) -> DataFrame:
         some = [counts.filter(F.col("count") > n) for n in MANY]
         return spread([bit_set(x, x.count()) for x in some])
 
-    low = write_once(low_tokens(docs, size, percent).groupBy("token").count().filter("count > 1"), "token_counts")
-    late = late_tokens(docs, size, percent, levels(low), whole=True).groupBy("token").count().filter("count > 1")
+    def deep_sets(many) -> DataFrame:
+        deep = write_once(deep_nodes(nodes, percent, many), "deep_nodes")
+        return write_once(whole_sets(docs, nodes, deep, size), "deep_sets")
+
+    low = write_once(nodes.select(F.explode("low").alias("token")).groupBy("token").count().filter("count > 1"), "token_counts")
+    many = levels(low)
+    deep = deep_sets(many)
+    late = late_tokens(deep, percent, many, whole=True).groupBy("token").count().filter("count > 1")
     counts = write_once(low.union(late).groupBy("token").agg(F.sum("count").alias("count")), "token_counts")
+    discard(low, deep)
     many = levels(counts)
-    beyond = write_once(late_tokens(docs, size, percent, many, whole=False).distinct(), "late_tokens")
+    deep = deep_sets(many)
+    beyond = write_once(late_tokens(deep, percent, many, whole=False).distinct(), "late_tokens")
     several = spread(bit_set(counts.select("token").union(beyond), counts.count() + beyond.count()))
+    discard(counts, beyond)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _each(batches, size):
-            sets = [s for s in sets if len(s)]
-            prefixes = [_prefix(s, many.value, percent) for s in sets]
-            keep = [holds(several.value, p) for p in prefixes]
-            first = [np.arange(len(p)) < _first_size(len(s), percent) for p, s in zip(prefixes, sets)]
-            held = [int(k.sum()) for k in keep]
-            if sum(held):
-                yield pa.RecordBatch.from_pydict({
-                    "token": pa.array(np.concatenate([p[k] for p, k in zip(prefixes, keep)]).view(np.int64)),
-                    "node": pa.array(np.repeat(np.array(list(map(_node, sets)), np.int64), held)),
-                    "n": pa.array(np.repeat(np.array(list(map(len, sets)), np.int64), held)),
-                    "first": pa.array(np.concatenate([f[k] for f, k in zip(first, keep)])),
-                })
-
-    return docs.mapInArrow(make, "token long, node long, n long, first boolean")
+        for batch in batches:
+            tokens, _, found = _prefixes(batch, many.value, percent)
+            found = [(row, n, places) for row, _, n, places in found if places is not None]
+            if not found:
+                continue
+            places = np.concatenate([x for _, _, x in found])
+            keep = holds(several.value, tokens[places])
+            sizes = [len(x) for _, _, x in found]
+            first = np.concatenate([np.arange(len(x)) < _first_size(n, percent) for _, n, x in found])
+            rows = np.repeat(np.array([row for row, _, _ in found]), sizes)[keep]
+            yield pa.RecordBatch.from_pydict({
+                "token": pa.array(tokens[places[keep]].view(np.int64)), "node": batch.column("node").take(pa.array(rows)),
+                "n": batch.column("n").take(pa.array(rows)), "first": pa.array(first[keep]),
+            })
+
+    sets = nodes.select("node", "n", "low").union(deep.select("node", "n", "low"))
+    return sets.mapInArrow(make, "token long, node long, n long, first boolean")
 
 
 def near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -209,8 +259,8 @@ def near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(compare, "a long, b long")
 
 
-def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` of nodes whose sets are similar enough, from their whole texts."""
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` of nodes whose sets are similar enough, from their whole texts, as a written table."""
     pairs = write_once(near(pairs, nodes, percent), "near_pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     texts = write_once(
@@ -235,7 +285,10 @@ def verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, perce
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    links = write_once(both.mapInArrow(compare, "a long, b long"), "links")
+    discard(pairs, texts)
+    return links
 
 
 def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -246,16 +299,19 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
     and stay alone.  Rows of one doc_id count as several documents.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    table = write_once(sketches(docs, size), "sketches")
-    nodes = write_once(
-        table.filter("n > 0").groupBy("node")
-        .agg(F.min("doc_id").alias("first_doc"), F.first("n").alias("n"), F.first("least").alias("least"), F.first("parity").alias("parity")), "nodes")
+    sketched = write_once(sketches(docs, size, percent), "sketches")
+    same = [F.first(c).alias(c) for c in ("n", "least", "parity", "low")]
+    nodes = write_once(sketched.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_doc"), *same), "nodes")
+    table = write_once(sketched.select("doc_id", "n", "node"), "sets")
+    discard(sketched)
     sizes = nodes.select("node", "n")
     fits = lambda x, y: (100 * F.col(x) >= percent * F.col(y)) & (100 * F.col(y) >= percent * F.col(x))
 
     minima = write_once(nodes.select("node", "n", F.posexplode("least").alias("permutation", "value")), "minima")
-    minima = write_once(minima.join(
-        minima.groupBy("permutation", "value").count().filter("count > 1").drop("count"), ["permutation", "value"]), "minima")
+    every = minima
+    minima = write_once(every.join(
+        every.groupBy("permutation", "value").count().filter("count > 1").drop("count"), ["permutation", "value"]), "minima")
+    discard(every)
     links = groups = tried = None
 
     def grouped(rows: DataFrame) -> DataFrame:
@@ -274,7 +330,7 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
         if pairs.isEmpty():
             return False
         tried = pairs if tried is None else tried.union(pairs)
-        found = write_once(verify(pairs, docs, nodes, size, percent), "links")
+        found = verified(pairs, docs, nodes, size, percent)
         links = found if links is None else links.union(found)
         groups = components(links)
         return True
@@ -294,11 +350,13 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
 
     shared = lambda posts, by: (
         posts.groupBy("token").agg(F.min(by).alias("low"), F.max(by).alias("high")).filter("low <> high").select("token"))
-    posts = write_once(postings(docs, size, percent), "postings")
-    posts = write_once(posts.join(shared(posts, "node"), "token").distinct(), "postings")
+    held = write_once(postings(docs, nodes, size, percent), "postings")
+    posts = write_once(held.join(shared(held, "node"), "token").distinct(), "postings")
+    discard(held)
     for turn in range(WITNESSES + 1):
-        rows = write_once(grouped(posts), "matrix_rows")
-        rows = write_once(rows.join(shared(rows, "group"), "token"), "matrix_rows")
+        every = write_once(grouped(posts), "matrix_rows")
+        rows = write_once(every.join(shared(every, "group"), "token"), "matrix_rows")
+        discard(every)
         matrix = rows.groupBy("token", "group").agg(
             F.min("n").alias("n_low"), F.max("n").alias("n_high"), F.min(F.when(F.col("first"), F.col("n"))).alias("first_low"),
             F.count("*").alias("members"),
@@ -326,6 +384,7 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
                 .filter(fits("n", "n_b") & shares).select("a", "b")
             )
         compare(pairs)
+        discard(rows)
 
     firsts = grouped(nodes.select("node", "first_doc"))
     least = firsts.groupBy("group").agg(F.min("first_doc").alias("component_id"))
