@@ -27,7 +27,6 @@ from .tokens import _BYTES
 from .wordcache import WordCache, bounded_sample
 
 END = 0x110000  # the word end, beyond all code points
-MAX_PIECE = 7  # code points of a piece, its word end among them
 MAX_WORD = 40  # longer words are scored in parts
 SLOTS = 18
 LETTERS = np.ones(129, bool)
@@ -46,6 +45,7 @@ class Pieces:
 
     def __init__(self, names: list[str]):
         self.names = names
+        self.longest = max((len(n.removesuffix("</w>")) + n.endswith("</w>") for n in names), default=1)
         points = [np.array([*map(ord, n.removesuffix("</w>")), *[END] * n.endswith("</w>")], np.uint32) for n in names]
         hashes = np.concatenate([W.run_hashes(p, np.array([0]), np.array([len(p)])) for p in points])
         self.hashes = np.append(hashes, np.uint64(0))
@@ -63,15 +63,18 @@ class Pieces:
             left = np.delete(left, first)
 
     def __getstate__(self) -> tuple:
-        return self.names, self.hashes  # the tables are many times larger and soon filled again
+        return self.names, self.longest, self.hashes  # the tables are many times larger and soon filled again
 
     def __setstate__(self, state: tuple) -> None:
-        self.names, self.hashes = state
+        self.names, self.longest, self.hashes = state
         self._fill()
 
     @classmethod
     def of_vocabulary(cls, path: str) -> Pieces:
-        """Pieces of whole characters and at most ``MAX_PIECE`` code points in a byte-level vocabulary with word ends."""
+        """All pieces of whole characters, however long, in a byte-level vocabulary with word ends.
+
+        A piece that ends inside a character spells no run of code points of any word.
+        """
         from tokenizers import Tokenizer
 
         byte = {c: b for b, c in enumerate(_BYTES)}
@@ -82,7 +85,7 @@ class Pieces:
                 core = bytes(byte[c] for c in core).decode()
             except (UnicodeDecodeError, KeyError):
                 continue
-            if 0 < len(core) + end <= MAX_PIECE:
+            if core or end:
                 names.add(core + "</w>" * end)
         return cls(sorted(names))
 
@@ -113,15 +116,15 @@ def _by_length(words: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray
 
 
 def _spans(points: np.ndarray, pieces: Pieces) -> Iterator[tuple[int, int, np.ndarray]]:
-    """Start, end and piece number of every span of up to MAX_PIECE code points of same-length words."""
-    up, _ = W.powers(MAX_PIECE + 1)
+    """Start, end and piece number of every span of same-length words that is no longer than the longest piece."""
     n = points.shape[1]
+    up, _ = W.powers(n + 1)
     value = points.astype(np.uint64) + np.uint64(1)
     for end in range(1, n + 1):
-        for start in range(max(0, end - MAX_PIECE), end):
-            total = np.zeros(len(points), np.uint64)
-            for i in range(start, end):
-                total += value[:, i] * up[i - start]
+        total = np.zeros(len(points), np.uint64)
+        # a span one code point longer at its front: the sum so far moves up by one power
+        for start in range(end - 1, max(0, end - pieces.longest) - 1, -1):
+            total = value[:, start] + total * up[1]
             yield start, end, pieces.find(W.mix(total))
 
 
@@ -202,11 +205,16 @@ def learn(docs: DataFrame, vocabulary: str, rows: int = 500, rounds: int = 2) ->
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros_like(current.value)
             for batch in batches:
-                words = [word_points(w, 0, MAX_WORD) for w in batch.column("word").to_pylist()]
+                words, owner = [], []  # long words in parts, as they are scored
+                for nth, word in enumerate(batch.column("word").to_pylist()):
+                    for s in range(0, len(word), MAX_WORD):
+                        words.append(word_points(word, s, min(s + MAX_WORD, len(word))))
+                        owner.append(nth)
                 if not words:
                     continue
                 weight = np.zeros((len(words), len(languages)))
-                weight[np.arange(len(words)), [languages.index(x) for x in batch.column("lang").to_pylist()]] = batch.column("n")
+                lang = np.array([languages.index(x) for x in batch.column("lang").to_pylist()])
+                weight[np.arange(len(words)), lang[owner]] = batch.column("n").to_numpy()[owner]
                 for part, points in _by_length(words):
                     if first:
                         for _, _, piece in _spans(points, shared.value):

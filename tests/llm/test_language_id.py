@@ -52,6 +52,24 @@ def test_pieces_are_found_in_a_crowded_table(monkeypatch):
     assert pieces.find(np.array([12345], np.uint64))[0] == len(names)
 
 
+def test_no_piece_of_the_vocabulary_is_left_out_for_its_length():
+    pieces = L.Pieces.of_vocabulary(tokens.path())
+    names = set(pieces.names)
+    assert {"artificialintelligence</w>", "transformationtuesday</w>", "the</w>"} <= names and pieces.longest > 20
+    place = pieces.names.index("artificialintelligence</w>")
+    probability = np.zeros((len(pieces.names) + 1, 1))
+    probability[place] = 0.25
+    points = L.word_points("artificialintelligence", 0, 99)[None]
+    assert L.forward(points, pieces, probability, np.array([0.0]))[0, -1] == pytest.approx([0.25])
+
+
+def test_long_words_are_learnt_to_their_end(spark, make_docs):
+    known = make_docs(["a" * L.MAX_WORD + "qqqqqqqq"] * 3)
+    pieces = L.Pieces.of_vocabulary(tokens.path())
+    model = L.learn(known, tokens.path(), rounds=0)
+    assert model.probability[pieces.names.index("q"), 0] > 100 * model.probability[pieces.names.index("z"), 0]
+
+
 def test_held_out_accuracy(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = L.learn(docs.filter(wordcache.remainder("doc_id", 4) != 2), tokens.path(), rows=20)
