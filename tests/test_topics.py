@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import values
+from helpers import plan, values
 from opinara.operators import topics as T
 from opinara.sources.scratch import write_once
 
@@ -163,6 +163,20 @@ def test_lemmas_with_repeated_ids_and_several_lemmas(spark):
     assert values(T.lemmatise(df, lemmas), "tokens") == [(["carte", "x"],), (["y", "carte"],), (["y", "carte"],)]
 
 
+def test_lemma_tables_are_looked_up_without_a_shuffle(spark):
+    lists = [["cartes", "x", "cartes"], [], None, ["y"], ["x", None, "cartes"]] * 9
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lists)], "id int, tokens array<string>")
+    lemmas = spark.createDataFrame([("cartes", "carte"), ("x", "cartes"), ("x", "z")], "token string, lemma string")
+    found = T.lemmatise(df, lemmas)
+    assert "Exchange" not in plan(found)
+    of = {"cartes": "carte", "x": "cartes"}
+    want = {i: None if t is None else [of.get(x, x) for x in t] for i, t in enumerate(lists)}
+    assert {r["id"]: r["tokens"] for r in found.collect()} == want
+    assert {r["id"]: r["tokens"] for r in T.lemmatise(df, lemmas, at_once=0).collect()} == want
+    none = T.lemmatise(df, lemmas.filter("false"))
+    assert {r["id"]: r["tokens"] for r in none.collect()} == dict(enumerate(lists))
+
+
 def test_registered_query_runs_the_whole_step(monkeypatch):
     from opinara.plans import catalog
 
