@@ -178,6 +178,25 @@ class TestSentiment:
         text = plan(S.analyze_sentiment(docs, default_lexicon(spark)))
         assert "Exchange" not in text and "Python" not in text
 
+    def test_middling_lexicon_needs_no_shuffle(self, spark, monkeypatch):
+        base = [("good good bad service", "en"), ("nul et lent", "fr"), ("", "en"), ("rien", "fr"), (None, "fr"),
+                ("خدمة ممتازة", "ar"), ("Bad, GOOD été", None), ("gut", "other")]
+        rows = [(i, *base[i % len(base)]) for i in range(40)]
+        df = spark.createDataFrame(rows, "i int, final_text string, language string")
+        want = values(S.analyze_sentiment(df, default_lexicon(spark), method="row"))
+        monkeypatch.setattr(S, "MAX_TERMS", 3)
+        found = S.analyze_sentiment(df, default_lexicon(spark))
+        assert "Exchange" not in plan(found) and values(found) == want
+        assert values(S.analyze_sentiment(df, default_lexicon(spark), broadcast_rows=3), *found.columns) == want
+
+    def test_texts_nobody_reads_are_not_shuffled(self, spark):
+        df = spark.range(50).select("id", F.lit("en").alias("language"), F.concat(F.lit("good bad w"), F.col("id")).alias("final_text"))
+        found = S.analyze_sentiment(df, default_lexicon(spark), method="join", broadcast_rows=0).select("id", "sentiment_score")
+        tree = found._jdf.queryExecution().optimizedPlan().toString()
+        joined = tree.split("Join", 1)
+        assert len(joined) == 2 and "final_text" not in joined[0]
+        assert "AS final_text" not in joined[1].split("Project", 1)[0]
+
     def test_long_lexicons_are_joined(self, spark):
         lex = spark.range(S.MAX_TERMS + 1).select(
             F.lit("en").alias("lang"), F.lit("polarity").alias("source"),
