@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from helpers import values
+from helpers import plan, values
 from opinara.operators.dedup import dedup_reviews
 from opinara.plans.staging import early_filter
 from opinara.schemas import REVIEW
@@ -48,6 +48,23 @@ def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     assert values(take_in(spark, inbox, store, str(tmp_path / "lost_state"))) == first
 
 
+def test_facts_come_from_the_stored_rows(spark, tmp_path):
+    """Accepted texts are joined and moved once; what describes them reads the store."""
+    inbox, store, state = (str(tmp_path / x) for x in ("in", "store", "state"))
+    plans = []
+
+    def describe(reviews):
+        plans.append(plan(reviews))
+        return reviews.select("key_hash", F.length("review_text").alias("size"))
+
+    for spec in ([("2024-01-05", "Bon service"), ("2024-01-06", "lent")], [("2024-01-05", "Bon service"), ("2024-01-07", "vite")]):
+        rows(spark, spec).coalesce(1).write.mode("append").json(inbox)
+        stream = incremental.read_review_stream(spark, f"{inbox}/*.json", REVIEW, files_per_batch=1)
+        incremental.incremental_reviews(stream, store, state, describe=describe).awaitTermination()
+    assert plans and not any("Join" in p or "Exchange" in p for p in plans)
+    assert values(incremental.combinations(spark, store), "size", "n") == [(11, 1), (4, 2)]
+
+
 def test_stream_equals_the_batch(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     stream = incremental.read_review_stream(spark, sf_dir, docs.schema, "parquet", glob="documents.parquet")
