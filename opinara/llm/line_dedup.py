@@ -28,17 +28,10 @@ from . import words as W
 from .winnowing import _bit_set, _places
 
 
-def lines(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First and past-last character of every line (its break and blanks after it belong to it), hash, and words.
-
-    Blank lines join the line before; the hash leaves out blanks at both ends.
-    """
-    points = W.code_points(text)
+def line_places(points: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and past-last character of every line of a text that is not empty, and the words before every character."""
     n = len(points)
-    if not n:
-        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64), np.empty(0, np.int64))
-    blank = W.SPACE[np.minimum(points, 128)]
-    stop = np.isin(points, [0x2E, 0x21, 0x3F])  # . ! ?
+    stop = (points == 0x2E) | (points == 0x21) | (points == 0x3F)  # . ! ?
     ends = points == 10
     ends[1:] |= stop[:-1] & blank[1:]
     starts_word = ~blank
@@ -50,7 +43,19 @@ def lines(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         solid[0] = True
     first = cuts[:-1][solid]
     first[0] = 0
-    last = np.append(first[1:], n)
+    return first, np.append(first[1:], n), words_before
+
+
+def lines(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First and past-last character of every line (its break and blanks after it belong to it), hash, and words.
+
+    Blank lines join the line before; the hash leaves out blanks at both ends.
+    """
+    points = W.code_points(text)
+    if not len(points):
+        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64), np.empty(0, np.int64))
+    blank = W.SPACE[np.minimum(points, 128)]
+    first, last, words_before = line_places(points, blank)
     solid_at = np.flatnonzero(~blank)
     if len(solid_at):
         begin = solid_at[np.minimum(np.searchsorted(solid_at, first), len(solid_at) - 1)]
@@ -148,7 +153,10 @@ def cut(text: str, first: list[int], min_words: int) -> tuple[int, int, int, str
 
     Blanks after a word go with it, and those before the first word of the text with that one.
     """
-    begin, end, _, _ = lines(text)
+    points = W.code_points(text)
+    if not len(points):
+        return 0, 0, 0, text
+    begin, end, _ = line_places(points, W.SPACE[np.minimum(points, 128)])  # without hashes, which only ``lines`` needs
     if not first:
         return len(begin), 0, 0, text
     start = W.split([text], lower=False).start

@@ -127,3 +127,11 @@ def test_equals_comparing_all_runs(make_docs):
         want = kept_words(texts, n)
         assert [r["text"].split() for r in rows] == want
         assert [r["words_removed"] for r in rows] == [len(t.split()) - len(w) for t, w in zip(texts, want)]
+
+
+def test_deleting_needs_no_line_hashes(monkeypatch):
+    texts = ["", "  \n ", "a", "One two. Three!\n\n four  five? ", "\n\n x\ty " + "word " * 60]
+    want = [(len(L.lines(t)[0]), 0, 0, t) for t in texts]
+    monkeypatch.setattr(L.W, "run_hashes", None)
+    monkeypatch.setattr(L, "lines", None)
+    assert [L.cut(t, [], 50) for t in texts] == want
