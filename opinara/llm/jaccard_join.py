@@ -14,7 +14,8 @@ the matrix row leaves room for enough overlap.
    skips tokens of a single one.  A node and a *different*, not smaller group that share such a token and whose
    sizes fit are a qualifying pair: ``WITNESSES`` times one member of the group is compared
    and groups that turn out to be linked are joined; then, for pairs still apart, every
-   member that shares a token is.
+   member is that shares a token and whose parity bits leave room for the overlap.  The bits
+   are part of that join's condition, so a large group makes no rows of pairs that are far apart.
 
 Tokens of one and of many documents are known from counts over all documents, handed to
 the workers as bit sets of at most 2**28 bits; a wrong bit only changes the common order or
@@ -25,10 +26,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import discard, write_once
@@ -40,6 +42,7 @@ MANY = (8, 64, 512, 4096)
 PIVOT_ROUNDS = 5
 WITNESSES = 2
 PARITY_BITS = 11
+FOLDED_WORDS = 16  # of 64 parity bits, which the last join carries
 MAX_BITS = 28
 COUNTED = 0.35  # share of a set's tokens, lowest hashes first, that is counted
 
@@ -70,10 +73,28 @@ def _each(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Rec
             yield batch.slice(at, len(texts)), shingle_sets(texts, size)
 
 
-def _parity(shingles: np.ndarray) -> bytes:
+def _parity(shingles: np.ndarray) -> np.ndarray:
     """For each value of a token's top bits, whether an odd number of tokens has it."""
     odd = np.bincount((shingles >> np.uint64(64 - PARITY_BITS)).astype(np.int64), minlength=1 << PARITY_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).tobytes()
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _folded(name: str) -> list[Column]:
+    """The parity bits of a row on ``FOLDED_WORDS`` columns ``name0, name1, ...``; bits that meet are added without carry."""
+    words = range((1 << PARITY_BITS) // 64)
+    own = [[F.col("parity")[k] for k in words[i::FOLDED_WORDS]] for i in range(FOLDED_WORDS)]
+    return [reduce(lambda x, y: x.bitwiseXOR(y), w).alias(f"{name}{i}") for i, w in enumerate(own)]
+
+
+def _may_link(percent: int) -> Column:
+    """Whether sets of ``n, n_b`` tokens can differ so little: folded parity bits differ in at most as many places as the sets do.
+
+    A quarter of the bits tells most pairs apart.
+    """
+    differ = lambda words: sum((F.bit_count(F.col(f"p{i}").bitwiseXOR(F.col(f"q{i}"))) for i in range(words)), F.lit(0))
+    least_common = F.expr(f"({percent} * (n + n_b) + {99 + percent}) div {100 + percent}")
+    room = F.col("n") + F.col("n_b") - 2 * least_common
+    return (differ(FOLDED_WORDS // 4) <= room) & (differ(FOLDED_WORDS) <= room)
 
 
 def _prefix_size(n: int, percent: int) -> int:
@@ -103,10 +124,10 @@ def sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "n": pa.array(map(len, sets), pa.int64()),
                 "node": pa.array(map(_node, sets), pa.int64()), "least": pa.array(least, pa.list_(pa.int64())),
-                "parity": pa.array([_parity(s) if len(s) else None for s in sets], pa.binary()), "low": _lists(low),
+                "parity": _lists([_parity(s) if len(s) else s.view(np.int64) for s in sets]), "low": _lists(low),
             })
 
-    return docs.mapInArrow(make, "doc_id long, n long, node long, least array<long>, parity binary, low array<long>")
+    return docs.mapInArrow(make, "doc_id long, n long, node long, least array<long>, parity array<long>, low array<long>")
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -248,8 +269,8 @@ def near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not len(batch):
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(len(batch), -1) for c in ("p_a", "p_b"))
-            differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+            a, b = (batch.column(c).flatten().to_numpy().reshape(len(batch), -1) for c in ("p_a", "p_b"))
+            differ = np.bitwise_count((a ^ b).view(np.uint64)).sum(axis=1, dtype=np.int64)
             total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
             both = -(-percent * total // (100 + percent))  # least intersection of sets of these sizes
             keep = pa.array(differ <= total - 2 * both)
@@ -376,13 +397,20 @@ def similar_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
                 .select("a", F.col("w.node").alias("b"))
             )
         else:
-            members = rows.select(
-                "token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("other"), F.col("first").alias("first_b"))
+            asked = write_once(qualifying.select("token", F.col("node").alias("a"), "n", "first", "other", "others", "first_low", "w"), "asked")
             shares = (F.col("first") & (F.col("n") <= F.col("n_b"))) | (F.col("first_b") & (F.col("n_b") <= F.col("n")))
-            pairs = (
-                qualifying.select("token", F.col("node").alias("a"), "n", "first", "other").join(members, ["token", "other"])
-                .filter(fits("n", "n_b") & shares).select("a", "b")
-            )
+            likely = fits("n", "n_b") & shares
+            # the only member that has the token is known; several are met in a join
+            one = asked.filter("others = 1").select(
+                "a", "n", "first", F.col("w.node").alias("b"), F.col("w.n").alias("n_b"), F.col("first_low").isNotNull().alias("first_b"))
+            many = asked.filter("others > 1").select("token", "a", "n", "first", "other")
+            met = many.select("token", "other").distinct()
+            members = rows.select(
+                "token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("other"), F.col("first").alias("first_b")
+            ).join(met, ["token", "other"], "left_semi").join(nodes.select(F.col("node").alias("b"), *_folded("q")), "b")
+            many = many.join(nodes.select(F.col("node").alias("a"), *_folded("p")), "a")
+            pairs = one.filter(likely).select("a", "b").union(
+                many.join(members, ["token", "other"]).filter(likely & _may_link(percent)).select("a", "b"))
         compare(pairs)
         discard(rows)
 

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from opinara.llm import jaccard_join
@@ -73,6 +74,37 @@ def test_equals_brute_force(make_docs, rows, monkeypatch, permutations, many):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_force(rows)
 
 
+def test_a_large_group_is_not_paired_with_what_is_far_from_it(make_docs, monkeypatch):
+    rng = random.Random(5)
+    base = ["b" + str(i) for i in range(100)]
+    texts = [" ".join(base[:i] + ["x" + str(i)] + base[i + 1 :]) for i in range(0, 100, 2)]
+    texts += [" ".join(base[:45] + ["y" + str(rng.random()) for _ in range(60)]) for _ in range(40)]
+    rows = list(enumerate(texts))
+    monkeypatch.setattr(jaccard_join, "MANY", (1000,))  # all tokens alike: shared ones are in the prefixes
+    asked, verified = [], jaccard_join.verified
+    monkeypatch.setattr(jaccard_join, "verified", lambda pairs, *rest: asked.append(pairs.count()) or verified(pairs, *rest))
+    got = jaccard_join.similar_groups(make_docs(rows)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_force(rows)
+    assert asked[-1] < 100
+
+
+def test_folded_bits_keep_every_link(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows, similar = [], []
+    for n in (1, 3, 20, 150, 900, 4000, 9000):
+        for share in (0, 0.05, 0.1, 0.11, 0.3, 1):
+            a, new = (np.unique(rng.integers(0, 2**64, k, np.uint64)) for k in (n, round(n * share)))
+            b = np.unique(np.concatenate([a[len(new) :], new]))
+            both = len(np.intersect1d(a, b))
+            rows.append((len(rows), len(a), jaccard_join._parity(a).tolist(), len(b), jaccard_join._parity(b).tolist()))
+            similar.append(100 * both >= 80 * (len(a) + len(b) - both))
+    table = spark.createDataFrame(rows, "id int, n long, parity array<long>, n_b long, parity_b array<long>")
+    table = table.select("*", *jaccard_join._folded("p")).drop("parity").withColumnRenamed("parity_b", "parity")
+    table = table.select("*", *jaccard_join._folded("q"))
+    kept = {r["id"] for r in table.filter(jaccard_join._may_link(80)).collect()}
+    assert kept >= {i for i, s in enumerate(similar) if s} and len(kept) < len(rows)
+
+
 def test_repeated_ids_and_empty_table(make_docs):
     assert jaccard_join.similar_groups(make_docs([])).count() == 0
     rows = [(7, "a b c d e f g h i j"), (7, "x y z"), (8, "x y z"), (9, "a b c d e f g h i j")]
