@@ -23,12 +23,13 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import write_once
 from . import words as W
-from .tokens import _BYTES
+from .tokens import _BYTES, PieceTokenizer
 from .wordcache import WordCache, bounded_sample
 
 END = 0x110000  # the word end, beyond all code points
 MAX_WORD = 40  # longer words are scored in parts
 SLOTS = 18
+WORDS_AT_ONCE = 50_000  # new words that a worker scores together
 LETTERS = np.ones(129, bool)
 LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B), 128]] = False
 _MAY_HAVE_LETTER = re.compile(r"[^\W\d_]")
@@ -254,25 +255,27 @@ def predict(docs: DataFrame, model: Model, vocabulary: str, evidence: int = 40,
     others = [c for c in docs.columns if c not in ("lang_pred", "score") and (keep_text or c != "text")]  # the new columns replace any of their names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        PieceTokenizer.forget()  # of a step before, whose worker this was
         pieces, probability = shared.value
         cache = WordCache.of(key, len(languages))
         for batch in batches:
-            for at, texts in W.groups(batch.column("text").to_pylist()):
+            for at, texts in W.column_groups(batch.column("text")):
                 lowered = [t.lower() for t in texts]
                 words = W.split(lowered, LETTERS)
                 hashes, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
 
                 def score(new: np.ndarray) -> np.ndarray:
-                    parts, owner = [], []
-                    for nth, i in enumerate(first[new].tolist()):
-                        text = lowered[words.text[i]]
-                        for s in range(words.start[i], words.end[i], MAX_WORD):
-                            parts.append(word_points(text, s, min(s + MAX_WORD, words.end[i])))
-                            owner.append(nth)
                     out = np.zeros((len(new), len(languages)))
-                    for part, points in _by_length(parts):
-                        got = np.log(np.maximum(forward(points, pieces, probability, unknown)[:, -1], 1e-300))
-                        np.add.at(out, np.array(owner)[part], got)
+                    for begin in range(0, len(new), WORDS_AT_ONCE):
+                        parts, owner = [], []
+                        for nth, i in enumerate(first[new[begin : begin + WORDS_AT_ONCE]].tolist(), begin):
+                            text = lowered[words.text[i]]
+                            for s in range(words.start[i], words.end[i], MAX_WORD):
+                                parts.append(word_points(text, s, min(s + MAX_WORD, words.end[i])))
+                                owner.append(nth)
+                        for part, points in _by_length(parts):
+                            got = np.log(np.maximum(forward(points, pieces, probability, unknown)[:, -1], 1e-300))
+                            np.add.at(out, np.array(owner)[part], got)
                     return np.maximum(out, out.max(axis=1, keepdims=True) - 8) if len(languages) else out
 
                 known = cache.get(hashes, score)
@@ -289,6 +292,7 @@ def predict(docs: DataFrame, model: Model, vocabulary: str, evidence: int = 40,
                      pa.array([languages[b] if o else "und" for b, o in zip(best, ok)], pa.string()),
                      pa.array([float(s[b]) if o else 0.0 for s, b, o in zip(share, best, ok)], pa.float64())],
                     [*others, "lang_pred", "score"])
+            del batch  # before the next one is read
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in others)
     return docs.mapInArrow(run, f"{kinds}, lang_pred string, score double")

@@ -57,6 +57,11 @@ class PieceTokenizer:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
+    @classmethod
+    def forget(cls) -> None:
+        """A worker that goes on with other work need not keep tokenizers and their pieces."""
+        cls._loaded.clear()
+
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 

@@ -11,6 +11,8 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 SLAB = 1 << 20
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -118,6 +120,17 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def column_groups(column: pa.Array, size: int = 2 * SLAB) -> Iterator[tuple[int, list[str]]]:
+    """The ``groups`` of an Arrow column; only the texts of one group at a time are Python strings."""
+    sizes = pc.fill_null(pc.utf8_length(column), 0).to_pylist()
+    at, total = 0, 0
+    for i, n in enumerate([*sizes, size]):
+        if i > at and total + n > size or i == len(sizes) > at:
+            yield at, [t or "" for t in column.slice(at, i - at).to_pylist()]
+            at, total = i, 0
+        total += n
+
+
 def groups(texts: list[str | None], size: int = 2 * SLAB) -> Iterator[tuple[int, list[str]]]:
     """Consecutive texts of about ``size`` characters together, nulls as empty, with the first one's place."""
     at, total, some = 0, 0, []

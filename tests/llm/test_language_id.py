@@ -1,11 +1,15 @@
 import itertools
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from opinara.llm import language_id as L
 from opinara.llm import tokens, wordcache
+from opinara.llm import words as W
 
 from .conftest import ODD_TEXTS
 
@@ -92,6 +96,33 @@ def test_odd_rows_and_empty_tables(make_docs):
     assert L.predict(make_docs([]).select("doc_id", "text"), model, tokens.path()).count() == 0
 
 
+def test_texts_of_one_group_at_a_time_are_python_strings():
+    texts = ["ab", None, "", "é" * 9, "x" * 30, "日本語", None]
+    for size in (1, 5, 12, 100):
+        for column in (pa.array(texts), pa.array(["skipped", *texts]).slice(1), pa.array(texts[:0], pa.string())):
+            assert list(W.column_groups(column, size)) == list(W.groups(column.to_pylist(), size))
+
+
+def test_a_batch_of_many_texts_takes_little_memory():
+    model = L.Model(["en"], np.full((len(L.Pieces.of_vocabulary(tokens.path()).names) + 1, 1), 1e-5), np.full(1, 1e-9), "little")
+    made = []
+    docs = SimpleNamespace(
+        columns=["doc_id", "text"], schema=[], mapInArrow=lambda run, ddl: made.append(run),
+        sparkSession=SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda x: SimpleNamespace(value=x))))
+    L.predict(docs, model, tokens.path(), keep_text=True)
+
+    def peak(n):
+        batch = pa.RecordBatch.from_pydict({"doc_id": range(n), "text": ["one or two words " * 2_000] * n})
+        tracemalloc.start()
+        assert sum(len(b) for b in made[0](iter([batch]))) == n
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    peak(1)
+    assert peak(1_800) < 1.2 * peak(180)  # 61 and 6 million characters, 2 million in a group
+
+
 def test_bounded_sample(spark):
     ids = spark.range(20_000).selectExpr("id AS doc_id", "if(id % 50 = 0, 'rare', if(id = 7, 'once', 'often')) AS lang")
     got = dict(wordcache.bounded_sample(ids, "lang", 300).groupBy("lang").count().collect())
