@@ -190,3 +190,24 @@ def test_registered_query_runs_the_whole_step(monkeypatch):
 class _Frame:
     def select(self, *columns):
         return self
+
+
+def test_long_lemma_tables_take_no_list_apart(spark, monkeypatch):
+    """Lists of many chunks against a table that is too long to be sent; repeated, empty and null lists, null words."""
+    monkeypatch.setattr(T, "CHUNK_TOKENS", 40)
+    lists = [[f"w{(i * j) % 37}" if j % 9 else None for j in range(i % 14)] for i in range(90)] + [None, [], ["w1"], ["w1"]] * 5
+    df = spark.createDataFrame([(i % 50, t) for i, t in enumerate(lists)], "id int, tokens array<string>").repartition(3)
+    lemmas = spark.createDataFrame([(f"w{i}", f"l{i}") for i in range(0, 37, 2)] + [("w2", "z")], "token string, lemma string")
+    written = []
+
+    def write(table, label, one=T.write_once):
+        written.append((label, table))
+        return one(table, label)
+
+    monkeypatch.setattr(T, "write_once", write)
+    found = T.lemmatise(df, lemmas, at_once=0)
+    of = {f"w{i}": f"l{i}" for i in range(0, 37, 2)}
+    want = sorted(((i % 50, None if t is None else [of.get(x, x) for x in t]) for i, t in enumerate(lists)), key=str)
+    assert sorted(((r["id"], r["tokens"]) for r in found.collect()), key=str) == want
+    assert [label for label, _ in written] == ["lemma_table", "token_lists", "list_keys", "lemmas"]  # no table has a row per word
+    assert found.columns == df.columns
